@@ -27,6 +27,19 @@ _FOLDER_KEYS = (
     StructField("dt", DateType()),
 )
 
+# Writer tasks one date is spread over before adaptive execution resizes them.
+_WRITERS_PER_DATE = 8
+
+
+def _by_date(df: DataFrame) -> DataFrame:
+    """Rows placed and ordered for folders by date: few files per date instead of one per task
+    and date, and symbols in runs that a reader's filter can skip."""
+    spread = F.pmod(F.xxhash64("symbol", "event_time"), F.lit(_WRITERS_PER_DATE))
+    dated = df.withColumn("dt", F.to_date("event_time"))
+    return dated.hint("rebalance", F.col("dt"), spread).sortWithinPartitions(
+        "dt", "symbol", "event_time"
+    )
+
 
 def _exists(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match `pattern`, by the cluster's own file system."""
@@ -57,9 +70,8 @@ class CandleStore:
         A micro-batch runs once, here; what follows reads the files in the store's own session,
         where adaptive execution is on.
         """
-        dated = candles.withColumn("dt", F.to_date("event_time"))
         path = self._batch("candles", name, batch_id)
-        stored, rows = written(dated, path, ("dt",), self.spark)
+        stored, rows = written(_by_date(candles), path, ("dt",), self.spark)
         return stored.drop("dt"), rows
 
     def candles(self, columns: StructType | None = None, since: str | None = None) -> DataFrame:
@@ -81,8 +93,8 @@ class CandleStore:
     # Labelled candles of one writer
 
     def write_labels(self, rows: DataFrame, batch_id: int, name: str) -> DataFrame:
-        dated = rows.withColumn("dt", F.to_date("event_time"))
-        return written(dated, self._batch("labels", name, batch_id), ("dt",))[0].drop("dt")
+        path = self._batch("labels", name, batch_id)
+        return written(_by_date(rows), path, ("dt",), self.spark)[0].drop("dt")
 
     def labels(self, columns: StructType, name: str, since: str | None = None) -> DataFrame:
         return self._table("labels", columns, since).filter(F.col("writer") == name)

@@ -44,6 +44,14 @@ _SINGLE_RSI = """100 - 100 / (1 +
   (CASE WHEN close - open > 0 THEN close - open ELSE 0.001 END) /
   (CASE WHEN close - open < 0 THEN open - close ELSE 0.001 END)) AS rsi"""
 
+
+
+def _half_up(value: str, digits: int) -> str:
+    """Half-up on the decimal digits of a double; plain `round` works on its binary value and
+    takes 8.1025 to 8.102."""
+    return f"CAST(round(CAST(CAST({value} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 _W = "(PARTITION BY symbol ORDER BY event_time"
 
 
@@ -53,7 +61,7 @@ def _over(expr: str, before: int) -> str:
 
 def _change(source: str, digits: int | None = None) -> str:
     diff = f"close - lag(close) OVER {_W})"
-    diff = diff if digits is None else f"round({diff}, {digits})"
+    diff = diff if digits is None else _half_up(diff, digits)
     return f"""change AS (SELECT *, lag(close) OVER {_W}) AS prev_close, {diff} AS change
   FROM {source}),
 moves AS (SELECT *, CASE WHEN change > 0 THEN change ELSE 0 END AS gain,
@@ -65,17 +73,17 @@ _RSI_WARM = f"""means AS (SELECT *, {_over("avg(gain)", 13)} AS g, {_over("avg(l
 strength AS (SELECT *, CASE WHEN filled < 14 THEN NULL WHEN l = 0 THEN 100
   ELSE 100 - 100 / (1 + g / l) END AS rsi_14 FROM means)"""
 
-_RSI_ROUNDED = f"""means AS (SELECT *, round({_over("avg(gain)", 13)}, 3) AS g,
-  round({_over("avg(loss)", 13)}, 3) AS l FROM moves),
+_RSI_ROUNDED = f"""means AS (SELECT *, {_half_up(_over("avg(gain)", 13), 3)} AS g,
+  {_half_up(_over("avg(loss)", 13), 3)} AS l FROM moves),
 strength AS (SELECT *, CASE WHEN l = 0 THEN 100
-  ELSE round(100 - 100 / (1 + g / l), 3) END AS RSI FROM means)"""
+  ELSE {_half_up("100 - 100 / (1 + g / l)", 3)} END AS RSI FROM means)"""
 
 
 def _macd(source: str) -> str:
     return f"""macd AS (SELECT *, {_over("avg(close)", 11)} - {_over("avg(close)", 25)} AS macd_line
   FROM {source}),
 signal AS (SELECT *, {_over("avg(macd_line)", 8)} AS signal_line FROM macd),
-histogram AS (SELECT *, round(macd_line - signal_line, 3) AS MACD_Histogram FROM signal)"""
+histogram AS (SELECT *, {_half_up("macd_line - signal_line", 3)} AS MACD_Histogram FROM signal)"""
 
 
 def _spike(source: str) -> str:
@@ -90,8 +98,8 @@ def _band_stats(source: str) -> str:
   {_over("stddev_samp(close)", 19)} AS dev, {_over("count(close)", 19)} AS n20 FROM {source})"""
 
 
-_BANDS_ROUNDED = """bands AS (SELECT *, round(mid + 2 * dev, 3) AS BB_Upper,
-  round(mid - 2 * dev, 3) AS BB_Lower FROM stats)"""
+_BANDS_ROUNDED = f"""bands AS (SELECT *, {_half_up("mid + 2 * dev", 3)} AS BB_Upper,
+  {_half_up("mid - 2 * dev", 3)} AS BB_Lower FROM stats)"""
 
 _BANDS_WARM = """warm AS (SELECT *, CASE WHEN n20 >= 20 THEN mid END AS bb_middle,
   CASE WHEN n20 >= 20 THEN mid + 2 * dev END AS bb_upper,
@@ -105,7 +113,7 @@ def _obv(source: str) -> str:
     return f"""steps AS (SELECT *, close - lag(close) OVER {_W}) AS step FROM {source}),
 signed AS (SELECT *, CASE WHEN step > 0 THEN volume WHEN step < 0 THEN -volume ELSE 0 END
   AS v FROM steps),
-totals AS (SELECT *, round(sum(v) OVER {_W} ROWS UNBOUNDED PRECEDING), 3) AS OBV FROM signed),
+totals AS (SELECT *, {_half_up(f"sum(v) OVER {_W} ROWS UNBOUNDED PRECEDING)", 3)} AS OBV FROM signed),
 obvs AS (SELECT *, lag(OBV) OVER {_W}) AS OBV_prv FROM totals)"""
 
 
@@ -129,9 +137,14 @@ def _case(rules: RuleList) -> str:
     return f"CASE {arms} ELSE '{rules.default}' END AS advice"
 
 
+def _edge(value: str) -> str:
+    """Six digits, as `edge` in the queries: noise goes at the ninth digit, then half-up. Adding
+    0 turns a negative zero into zero."""
+    return f"CAST(round(CAST({value} AS DECIMAL(38, 9)), 6) AS DOUBLE) + 0.0"
+
+
 def _r(*names: str) -> str:
-    """Rounded doubles; adding 0 turns a negative zero into zero, as the first engine prints."""
-    return ", ".join(f"round({n}, 6) + 0.0 AS {n}" for n in names)
+    return ", ".join(f"{_edge(n)} AS {n}" for n in names)
 
 
 def _with(*parts: str, select: str) -> str:
@@ -202,7 +215,7 @@ def _chart(time: str, columns: tuple[str, ...], where: str) -> str:
 def _panel(n: int, titles: dict[str, str], lead: str = "symbol, time, ") -> str:
     numbers = {"close", "bb_upper", "bb_middle", "bb_lower", "sma_9", "sma_21", "rsi_14"}
     columns = ", ".join(
-        f'{f"round({c}, 6) + 0.0" if c in numbers else c} AS "{title}"'
+        f'{_edge(c) if c in numbers else c} AS "{title}"'
         for c, title in titles.items()
     )
     return _with(
@@ -330,7 +343,10 @@ ORACLE: dict[str, str] = {
         plain=f"{_case(signals.RSI14)}, ",
     ),
     "advice_cross": _with(*_CROSS_PARTS, select=f"SELECT {_CROSS_ROW} FROM labels"),
-    "chart_event_time": _chart("event_time", (*_OHLC, "rsi"), "event_time IS NOT NULL"),
+    "chart_event_time": _with(
+        *_VWAP_PARTS, _newest("labels", "event_time", panels.CHART_ROWS),
+        select=f"SELECT symbol, time, advice, {_r(*_OHLC, 'rsi')} FROM newest",
+    ),
     "chart_window_start": _chart(
         "window_start", (*_OHLC, "volume", "vwap", "rsi"), "window_start IS NOT NULL"
     ),
