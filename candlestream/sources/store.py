@@ -35,10 +35,9 @@ def _by_date(df: DataFrame) -> DataFrame:
     """Rows placed and ordered for folders by date: few files per date instead of one per task
     and date, and symbols in runs that a reader's filter can skip."""
     spread = F.pmod(F.xxhash64("symbol", "event_time"), F.lit(_WRITERS_PER_DATE))
-    dated = df.withColumn("dt", F.to_date("event_time"))
-    return dated.hint("rebalance", F.col("dt"), spread).sortWithinPartitions(
-        "dt", "symbol", "event_time"
-    )
+    dated = df.withColumns({"dt": F.to_date("event_time"), "spread": spread})
+    placed = dated.hint("rebalance", "dt", "spread").drop("spread")
+    return placed.sortWithinPartitions("dt", "symbol", "event_time")
 
 
 def _exists(spark: SparkSession, pattern: str) -> list[str]:
