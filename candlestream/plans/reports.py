@@ -12,10 +12,13 @@ GRADE_CLASSES = ((15, "Gioi"), (10, "Kha"))
 LOWEST_CLASS = "Yeu"
 
 # What separates words: the characters Unicode calls white space plus the four ASCII
-# separators, as the body of a regular-expression class (fixed values).
-WORD_BREAKS = (
-    r"\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# separators (fixed values), as a regular-expression class. The class tests a character against
+# a table up to U+00FF and looks at the rest only between U+1680 and U+3000; as one flat list of
+# ranges it takes twice as long.
+WORD_BREAK = (
+    r"[\x{9}\x{a}\x{b}\x{c}\x{d}\x{1c}\x{1d}\x{1e}\x{1f}\x{20}\x{85}\x{a0}"
+    r"[\x{1680}-\x{3000}&&"
+    r"[\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]]]+"
 )
 
 
@@ -101,7 +104,7 @@ def by_address(students: DataFrame) -> DataFrame:
 
 def word_count(df: DataFrame, col: str = "value") -> DataFrame:
     """Words separated by white space and their counts, in byte order of the word."""
-    words = df.select(F.explode(F.split(col, f"[{WORD_BREAKS}]+")).alias("word"))
+    words = df.select(F.explode(F.split(col, WORD_BREAK)).alias("word"))
     return (
         words.filter("word != ''").groupBy("word").agg(F.count("*").alias("n")).orderBy("word")
     )
@@ -109,7 +112,7 @@ def word_count(df: DataFrame, col: str = "value") -> DataFrame:
 
 def sum_pairs(df: DataFrame, col: str = "value") -> DataFrame:
     """Sums of `word<TAB>count` lines per word; lines without a whole-number count are skipped."""
-    line = F.regexp_replace(col, f"^[{WORD_BREAKS}]+|[{WORD_BREAKS}]+$", "")
+    line = F.regexp_replace(col, f"^{WORD_BREAK}|{WORD_BREAK}$", "")
     parts = F.split(line, "\t", 2)
     return (
         df.select(
