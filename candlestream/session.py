@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# State of many (symbol, window) groups stays off the executor heap.
+STREAM_DEFAULTS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
 # What a new session should start with. `shuffle.partitions` is left to the cluster and AQE.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # State of many (symbol, window) groups stays off the executor heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    **STREAM_DEFAULTS,
 }
 
 
@@ -29,6 +33,25 @@ def build_session(app: str = "candlestream", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session of the same cluster to read a stream in.
+
+    A stateful stream keeps the number of shuffle partitions of its first start for good, and
+    adaptive execution does not merge them. So the number is chosen for the stream (one per core
+    by default), and the caller's own settings are left alone.
+    """
+    partitions = state_partitions or spark.sparkContext.defaultParallelism
+    own = spark.newSession()
+    settings = {
+        **STREAM_DEFAULTS,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.session.timeZone": spark.conf.get("spark.sql.session.timeZone"),
+    }
+    for key, value in settings.items():
+        own.conf.set(key, value)
+    return own
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in `spark.checkpoint.dir`.
 

@@ -17,7 +17,7 @@ from candlestream.operators.ingest import decode_trades, normalize_raw, to_topic
 from candlestream.operators.latest import latest_n, recent
 from candlestream.plans import panels, reports, strategies
 from candlestream.plans.batch import advice, stored_candles
-from candlestream.session import new_folder
+from candlestream.session import new_folder, stream_session
 from candlestream.sources.files import tab_lines
 from candlestream.sources.store import CandleStore
 from candlestream.streaming.audit import LATE, stream_audit
@@ -211,7 +211,7 @@ def _events(sf_dir: str) -> str:
 
 def streamed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, strategy = _store(spark), strategies.VWAP
-    trades = tb.trade_stream(spark, _events(sf_dir))
+    trades = tb.trade_stream(stream_session(spark), _events(sf_dir))
     query = stream_candles(trades, strategy, store, _name("candles"), WIDTH, DELAY)
     query.awaitTermination()
     return tb.zoneless(edge(streamed(store, query.name)))
@@ -225,7 +225,7 @@ def _name(purpose: str) -> str:
 def streamed_labels(strategy: strategies.Strategy, **options: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = _store(spark)
-        trades = tb.trade_stream(spark, _events(sf_dir))
+        trades = tb.trade_stream(stream_session(spark), _events(sf_dir))
         name = _name("labels")
         stream_labels(
             trades, strategy, store, name, WIDTH, DELAY, **options
@@ -242,7 +242,8 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     late = f"{store.path}/late"
     events = tb.table(spark, sf_dir, "events")
     events.limit(0).write.parquet(late)
-    trades = tb.trade_stream(spark, _events(sf_dir)).union(tb.trade_stream(spark, late))
+    own = stream_session(spark)
+    trades = tb.trade_stream(own, _events(sf_dir)).union(tb.trade_stream(own, late))
     candle_stream, audit_stream = _name("late"), _name("audit")
 
     def run() -> None:
