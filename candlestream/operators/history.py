@@ -5,14 +5,14 @@ of them into one task. `split_history` cuts the history of long symbols into blo
 each block a *halo*: copies of the candles just before it. A frame of finite reach then sees
 exactly the rows it would see in the whole history. Indicators partition by
 `partition_keys(...)`, which includes the block when there is one, and `drop_halo` removes the
-copies afterwards. Running totals, whose reach is unbounded, go through `running_total`.
+copies afterwards. Running totals, whose reach is unbounded, add `earlier_totals`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK, HALO = "history_block", "history_halo"
@@ -31,15 +31,6 @@ def partition_keys(c: DataFrame, by: Sequence[str]) -> list[str]:
     return [*by, BLOCK] if BLOCK in c.columns else list(by)
 
 
-def ordered(c: DataFrame, by: Sequence[str], time: str) -> WindowSpec:
-    return Window.partitionBy(*partition_keys(c, by)).orderBy(time)
-
-
-def last_rows(c: DataFrame, n: int, by: Sequence[str], time: str) -> WindowSpec:
-    """The current row and the n - 1 before it."""
-    return ordered(c, by, time).rowsBetween(1 - n, Window.currentRow)
-
-
 def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
     """NULL-safe equality of `keys` with their prefixed twins."""
     test = F.lit(True)
@@ -147,31 +138,17 @@ def drop_halo(c: DataFrame) -> DataFrame:
     return c.filter(~F.col(HALO)).drop(BLOCK, HALO) if BLOCK in c.columns else c
 
 
-def running_total(
-    c: DataFrame, value: str, name: str, by: Sequence[str], time: str
+def earlier_totals(
+    c: DataFrame, value: str, by: Sequence[str], prefix: str, name: str
 ) -> DataFrame:
-    """Running sum of `value` over a symbol's whole history, split or not.
+    """Per block: the sum of `value` over all earlier blocks of its symbol, keys prefixed.
 
-    With blocks: running sums inside each block, plus the sum of all earlier blocks. The second
-    input has one row per block and is joined on the keys the rows are already placed by.
+    A task here sees one row per block of a symbol, never the symbol's candles.
     """
-    running = ordered(c, by, time).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    if BLOCK not in c.columns:
-        return c.withColumn(name, F.sum(value).over(running))
-    own = c.withColumn(value, F.when(F.col(HALO), 0.0).otherwise(F.col(value)))
     earlier = (
         Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
-        own.groupBy(*by, BLOCK).agg(F.sum(value).alias("block_sum"))
-        .select(
-            *[F.col(k).alias(f"o_{k}") for k in (*by, BLOCK)],
-            F.coalesce(F.sum("block_sum").over(earlier), F.lit(0.0)).alias("before"),
-        )
-    )
-    within = own.withColumn(name, F.sum(value).over(running))
-    return (
-        within.join(offsets, same_keys(within, offsets, (*by, BLOCK), "o_"), "left")
-        .withColumn(name, F.col(name) + F.col("before"))
-        .drop("before", *[f"o_{k}" for k in (*by, BLOCK)])
+    return c.groupBy(*by, BLOCK).agg(F.sum(value).alias("block_sum")).select(
+        *[F.col(k).alias(prefix + k) for k in (*by, BLOCK)],
+        F.coalesce(F.sum("block_sum").over(earlier), F.lit(0.0)).alias(name),
     )

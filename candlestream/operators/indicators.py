@@ -1,203 +1,327 @@
 """Rolling indicators over candles, per symbol in time order.
 
-Each function adds its columns and leaves the rest alone. All of them order by the same keys,
-so a chain of them costs one shuffle and one sort. `digits` rounds every step half-up, which is
-part of the rounded indicator family's definition; `warmup` makes a value NULL until its frame
-is full.
+An indicator is a small value such as `Rsi(n=14)` that says in *stages* which columns to add;
+a stage may use the columns of the stages before it. `add_indicators(c, Rsi(), SmaCross(), ...)`
+adds the first stages of all of them together, then the second ones: every stage of window
+functions becomes one pass over the sorted candles, however many indicators there are, and the
+whole chain costs one shuffle and one sort.
+
+`digits` rounds every step half-up, which is part of the rounded indicator family's definition;
+`warmup` makes a value NULL until its frame is full. Helper columns begin with "_" and are
+dropped at the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from itertools import zip_longest
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlestream.operators.history import last_rows, ordered, running_total
+from candlestream.operators.history import (
+    BLOCK, HALO, earlier_totals, partition_keys, same_keys,
+)
 
 BY: tuple[str, ...] = ("symbol",)
 TIME = "event_time"
+Stages = list[dict[str, Column]]
 
 
 def _rounded(value: Column, digits: int | None) -> Column:
     return value if digits is None else F.round(value, digits)
 
 
-def _when_full(value: Column, rows: Column, n: int) -> Column:
-    return F.when(rows >= n, value)
+@dataclass(frozen=True)
+class Frames:
+    """The window frames of one candle table."""
+
+    order: WindowSpec
+    split: bool
+
+    @staticmethod
+    def of(c: DataFrame, by: Sequence[str], time: str) -> Frames:
+        order = Window.partitionBy(*partition_keys(c, by)).orderBy(time)
+        return Frames(order, BLOCK in c.columns)
+
+    def last(self, n: int) -> WindowSpec:
+        """The current row and the n - 1 before it."""
+        return self.order.rowsBetween(1 - n, Window.currentRow)
+
+    def past(self, n: int) -> WindowSpec:
+        """The n rows before the current one."""
+        return self.order.rowsBetween(-n, -1)
+
+    def until(self, offset: int) -> WindowSpec:
+        """All rows up to `offset` from the current one."""
+        return self.order.rowsBetween(Window.unboundedPreceding, offset)
+
+    def previous(self, value: str | Column) -> Column:
+        return F.lag(value).over(self.order)
+
+    def mean(self, column: str, n: int, warmup: bool = False) -> Column:
+        mean = F.avg(column).over(self.last(n))
+        return F.when(F.count(column).over(self.last(n)) >= n, mean) if warmup else mean
+
+
+class Indicator:
+    """Base of the indicators: the stages, and the column whose running total a stage needs."""
+
+    total_of: str | None = None
 
+    def stages(self, at: Frames) -> Stages:
+        raise NotImplementedError
 
-def close_change(
-    c: DataFrame, digits: int | None = None, by: Sequence[str] = BY, time: str = TIME
+
+def add_indicators(
+    c: DataFrame, *indicators: Indicator, by: Sequence[str] = BY, time: str = TIME
 ) -> DataFrame:
+    """Candles with the columns of all `indicators`."""
+    at = Frames.of(c, by, time)
+    totals = [i.total_of for i in indicators if i.total_of]
+    for number, stage in enumerate(zip_longest(*(i.stages(at) for i in indicators), fillvalue={})):
+        c = c.withColumns({name: value for part in stage for name, value in part.items()})
+        if number == 0 and at.split:
+            for column in totals:
+                c = _with_earlier(c, column, by)
+    return c.drop(*[name for name in c.columns if name.startswith("_")])
+
+
+def _with_earlier(c: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
+    """In a split history: `column` without the halo copies, and its sum over earlier blocks.
+
+    The second input has one row per block and is joined on the keys the rows are already
+    placed by.
+    """
+    own = c.withColumn(column, F.when(F.col(HALO), 0.0).otherwise(F.col(column)))
+    earlier = earlier_totals(own, column, by, "o_", f"{column}_before")
+    return own.join(earlier, same_keys(own, earlier, (*by, BLOCK), "o_"), "left").drop(
+        *[f"o_{k}" for k in (*by, BLOCK)]
+    )
+
+
+@dataclass(frozen=True)
+class CloseChange(Indicator):
     """Previous close, change, and the change split into gain and loss (0 on the first row)."""
-    before = F.lag("close").over(ordered(c, by, time))
-    change = F.col("change")
-    return c.withColumn("prev_close", before).withColumn(
-        "change", _rounded(F.col("close") - F.col("prev_close"), digits)
-    ).withColumns({
-        "gain": F.when(change > 0, change).otherwise(0.0),
-        "loss": F.when(change < 0, -change).otherwise(0.0),
-    })
 
+    digits: int | None = None
 
-def rsi(
-    c: DataFrame,
-    n: int = 14,
-    warmup: bool = True,
-    digits: int | None = None,
-    name: str | None = None,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
+    def stages(self, at: Frames) -> Stages:
+        change = F.col("change")
+        return [
+            {"prev_close": at.previous("close")},
+            {"change": _rounded(F.col("close") - F.col("prev_close"), self.digits)},
+            {
+                "gain": F.when(change > 0, change).otherwise(0.0),
+                "loss": F.when(change < 0, -change).otherwise(0.0),
+            },
+        ]
+
+
+@dataclass(frozen=True)
+class Rsi(Indicator):
     """Relative strength from plain means of gain and loss; 100 when nothing was lost."""
-    name = name or (f"rsi_{n}" if warmup else "RSI")
-    frame = last_rows(c, n, by, time)
-    means = close_change(c, digits, by, time).withColumns({
-        "mean_gain": _rounded(F.avg("gain").over(frame), digits),
-        "mean_loss": _rounded(F.avg("loss").over(frame), digits),
-        "filled": F.count("close").over(frame),
-    })
-    index = F.when(F.col("mean_loss") == 0, 100.0).otherwise(
-        _rounded(100 - 100 / (1 + F.col("mean_gain") / F.col("mean_loss")), digits)
-    )
-    value = _when_full(index, F.col("filled"), n) if warmup else index
-    helpers = ["prev_close", "change", "gain", "loss", "mean_gain", "mean_loss", "filled"]
-    return means.withColumn(name, value).drop(*helpers)
 
+    n: int = 14
+    warmup: bool = True
+    digits: int | None = None
+    name: str | None = None
 
-def macd_sma(
-    c: DataFrame,
-    fast: int = 12,
-    slow: int = 26,
-    signal: int = 9,
-    digits: int | None = 3,
-    lines: bool = False,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
-    """Histogram of a MACD built on simple means. `lines` keeps the two lines it is made of."""
-    def mean(column: str, n: int) -> Column:
-        return F.avg(column).over(last_rows(c, n, by, time))
-
-    out = (
-        c.withColumn("macd_line", mean("close", fast) - mean("close", slow))
-        .withColumn("signal_line", mean("macd_line", signal))
-        .withColumn(
-            "MACD_Histogram", _rounded(F.col("macd_line") - F.col("signal_line"), digits)
+    def stages(self, at: Frames) -> Stages:
+        name = self.name or (f"rsi_{self.n}" if self.warmup else "RSI")
+        change, gain, loss = F.col("_change"), F.col("_mean_gain"), F.col("_mean_loss")
+
+        def mean(side: Column) -> Column:
+            return _rounded(F.avg(side).over(at.last(self.n)), self.digits)
+
+        index = F.when(loss == 0, 100.0).otherwise(
+            _rounded(100 - 100 / (1 + gain / loss), self.digits)
         )
-    )
-    return out if lines else out.drop("macd_line", "signal_line")
+        return [
+            {"_change": _rounded(F.col("close") - at.previous("close"), self.digits)},
+            {
+                "_mean_gain": mean(F.when(change > 0, change).otherwise(0.0)),
+                "_mean_loss": mean(F.when(change < 0, -change).otherwise(0.0)),
+                "_closes": F.count("close").over(at.last(self.n)),
+            },
+            {name: F.when(F.col("_closes") >= self.n, index) if self.warmup else index},
+        ]
 
 
-def volume_spike(
-    c: DataFrame,
-    n: int = 20,
-    factor: float = 1.5,
-    mean: bool = False,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
-    """1 where volume exceeds `factor` times the mean of the n candles before, else 0."""
-    past = F.avg("volume").over(ordered(c, by, time).rowsBetween(-n, -1))
-    out = c.withColumn("past_volume", past).withColumn(
-        "Volume_Spike",
-        F.coalesce((F.col("volume") > F.col("past_volume") * factor).cast("int"), F.lit(0)),
-    )
-    return out if mean else out.drop("past_volume")
+@dataclass(frozen=True)
+class MacdSma(Indicator):
+    """Histogram of a MACD built on simple means. `lines` keeps the two lines it is made of."""
 
+    fast: int = 12
+    slow: int = 26
+    signal: int = 9
+    digits: int | None = 3
+    lines: bool = False
 
-def bollinger(
-    c: DataFrame,
-    n: int = 20,
-    k: float = 2,
-    warmup: bool = True,
-    digits: int | None = None,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
+    def stages(self, at: Frames) -> Stages:
+        line, signal = ("macd_line", "signal_line") if self.lines else ("_macd", "_signal")
+        return [
+            {line: at.mean("close", self.fast) - at.mean("close", self.slow)},
+            {signal: at.mean(line, self.signal)},
+            {"MACD_Histogram": _rounded(F.col(line) - F.col(signal), self.digits)},
+        ]
+
+
+@dataclass(frozen=True)
+class VolumeSpike(Indicator):
+    """1 where volume exceeds `factor` times the mean of the n candles before, else 0.
+    `mean` keeps that mean."""
+
+    n: int = 20
+    factor: float = 1.5
+    mean: bool = False
+
+    def stages(self, at: Frames) -> Stages:
+        past = "past_volume" if self.mean else "_past_volume"
+        above = F.col("volume") > F.col(past) * self.factor
+        return [
+            {past: F.avg("volume").over(at.past(self.n))},
+            {"Volume_Spike": F.coalesce(above.cast("int"), F.lit(0))},
+        ]
+
+
+@dataclass(frozen=True)
+class Bollinger(Indicator):
     """Mean plus and minus k sample deviations.
 
     With `warmup`: `bb_middle`, `bb_upper`, `bb_lower` and the position label `bb_signal`.
     Without: the rounded pair `BB_Upper`, `BB_Lower` from the first row on.
     """
-    frame = last_rows(c, n, by, time)
-    stats = c.withColumns({
-        "mid": F.avg("close").over(frame),
-        "dev": F.stddev_samp("close").over(frame),
-        "filled": F.count("close").over(frame),
-    })
-    upper = _rounded(F.col("mid") + F.col("dev") * k, digits)
-    lower = _rounded(F.col("mid") - F.col("dev") * k, digits)
-    if not warmup:
-        return stats.withColumns({"BB_Upper": upper, "BB_Lower": lower}).drop(
-            "mid", "dev", "filled"
-        )
-    full = F.col("filled")
-    return (
-        stats.withColumns({
-            "bb_middle": _when_full(_rounded(F.col("mid"), digits), full, n),
-            "bb_upper": _when_full(upper, full, n),
-            "bb_lower": _when_full(lower, full, n),
-        })
-        .withColumn("bb_signal", F.expr(
+
+    n: int = 20
+    k: float = 2
+    warmup: bool = True
+    digits: int | None = None
+
+    def stages(self, at: Frames) -> Stages:
+        middle, reach = F.col("_mid"), F.col("_dev") * self.k
+        stats = {
+            "_mid": at.mean("close", self.n, self.warmup),
+            "_dev": F.stddev_samp("close").over(at.last(self.n)),
+        }
+        upper = _rounded(middle + reach, self.digits)
+        lower = _rounded(middle - reach, self.digits)
+        if not self.warmup:
+            return [stats, {"BB_Upper": upper, "BB_Lower": lower}]
+        bands = {
+            "bb_middle": _rounded(middle, self.digits), "bb_upper": upper, "bb_lower": lower,
+        }
+        position = F.expr(
             "CASE WHEN bb_upper IS NULL THEN 'NOT ENOUGH DATA'"
             " WHEN close > bb_upper THEN 'ABOVE UPPER BAND'"
             " WHEN close < bb_lower THEN 'BELOW LOWER BAND' ELSE 'INSIDE BAND' END"
-        ))
-        .drop("mid", "dev", "filled")
-    )
+        )
+        return [stats, bands, {"bb_signal": position}]
 
 
-def obv(
-    c: DataFrame,
-    carried: str | None = None,
-    digits: int | None = 3,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
+@dataclass(frozen=True)
+class Obv(Indicator):
     """On-balance volume `OBV`, the previous row's `OBV_prv`, and the exact `obv_total`.
 
     `carried` names a column that replaces a candle's own signed volume where it is not NULL:
     the stored total on the last known candle and 0 on those before it lets a run go on from
     there.
     """
-    step = F.col("close") - F.lag("close").over(ordered(c, by, time))
-    signed = F.when(step > 0, F.col("volume")).when(step < 0, -F.col("volume")).otherwise(0.0)
-    if carried is not None:
-        signed = F.coalesce(F.col(carried), signed)
-    total = running_total(c.withColumn("signed", signed), "signed", "obv_total", by, time)
-    total = total.withColumn("OBV", _rounded(F.col("obv_total"), digits)).drop("signed")
-    return total.withColumn("OBV_prv", F.lag("OBV").over(ordered(total, by, time)))
 
+    carried: str | None = None
+    digits: int | None = 3
+    total_of = "_signed"
 
-def sma_cross(
-    c: DataFrame,
-    short: int = 9,
-    long: int = 21,
-    digits: int | None = None,
-    by: Sequence[str] = BY,
-    time: str = TIME,
-) -> DataFrame:
+    def stages(self, at: Frames) -> Stages:
+        step, volume = F.col("close") - at.previous("close"), F.col("volume")
+        signed = F.when(step > 0, volume).when(step < 0, -volume).otherwise(0.0)
+        if self.carried is not None:
+            signed = F.coalesce(F.col(self.carried), signed)
+        before = F.col("_signed_before") if at.split else F.lit(0.0)
+
+        def total(until: int) -> Column:
+            return F.sum("_signed").over(at.until(until)) + before
+
+        return [
+            {"_signed": signed},
+            {"obv_total": total(0), "_previous_total": total(-1)},
+            {
+                "OBV": _rounded(F.col("obv_total"), self.digits),
+                "OBV_prv": _rounded(F.col("_previous_total"), self.digits),
+            },
+        ]
+
+
+@dataclass(frozen=True)
+class SmaCross(Indicator):
     """Short and long means with warm-up, and the label of their crossing.
 
     `digits` rounds the gap before its sign is taken, for prices whose means differ by float
     noise only.
     """
-    def mean(n: int) -> Column:
-        frame = last_rows(c, n, by, time)
-        return _when_full(F.avg("close").over(frame), F.count("close").over(frame), n)
 
-    near, far = f"sma_{short}", f"sma_{long}"
-    gaps = c.withColumns({near: mean(short), far: mean(long)}).withColumn(
-        "gap", _rounded(F.col(near) - F.col(far), digits)
-    )
-    gaps = gaps.withColumn("prev_gap", F.lag("gap").over(ordered(c, by, time)))
-    label = F.expr(
-        "CASE WHEN gap IS NULL THEN 'NOT ENOUGH DATA'"
-        " WHEN prev_gap <= 0 AND gap > 0 THEN 'GOLDEN CROSS'"
-        " WHEN prev_gap >= 0 AND gap < 0 THEN 'DEATH CROSS'"
-        f" WHEN gap > 0 THEN 'SMA{short} ABOVE SMA{long}'"
-        f" WHEN gap < 0 THEN 'SMA{short} BELOW SMA{long}' ELSE 'NO CROSS' END"
-    )
-    return gaps.withColumn("sma_crossover", label).drop("gap", "prev_gap")
+    short: int = 9
+    long: int = 21
+    digits: int | None = None
+
+    def stages(self, at: Frames) -> Stages:
+        near, far = f"sma_{self.short}", f"sma_{self.long}"
+        gap = _rounded(F.col(near) - F.col(far), self.digits)
+        label = F.expr(
+            "CASE WHEN _gap IS NULL THEN 'NOT ENOUGH DATA'"
+            " WHEN _prev_gap <= 0 AND _gap > 0 THEN 'GOLDEN CROSS'"
+            " WHEN _prev_gap >= 0 AND _gap < 0 THEN 'DEATH CROSS'"
+            f" WHEN _gap > 0 THEN 'SMA{self.short} ABOVE SMA{self.long}'"
+            f" WHEN _gap < 0 THEN 'SMA{self.short} BELOW SMA{self.long}' ELSE 'NO CROSS' END"
+        )
+        means = {
+            near: at.mean("close", self.short, warmup=True),
+            far: at.mean("close", self.long, warmup=True),
+        }
+        return [means, {"_gap": gap, "_prev_gap": at.previous(gap)}, {"sma_crossover": label}]
+
+
+# Each indicator as a function from candles to candles.
+
+def close_change(c: DataFrame, digits: int | None = None, **keys) -> DataFrame:
+    return add_indicators(c, CloseChange(digits), **keys)
+
+
+def rsi(
+    c: DataFrame, n: int = 14, warmup: bool = True, digits: int | None = None,
+    name: str | None = None, **keys,
+) -> DataFrame:
+    return add_indicators(c, Rsi(n, warmup, digits, name), **keys)
+
+
+def macd_sma(
+    c: DataFrame, fast: int = 12, slow: int = 26, signal: int = 9, digits: int | None = 3,
+    lines: bool = False, **keys,
+) -> DataFrame:
+    return add_indicators(c, MacdSma(fast, slow, signal, digits, lines), **keys)
+
+
+def volume_spike(
+    c: DataFrame, n: int = 20, factor: float = 1.5, mean: bool = False, **keys
+) -> DataFrame:
+    return add_indicators(c, VolumeSpike(n, factor, mean), **keys)
+
+
+def bollinger(
+    c: DataFrame, n: int = 20, k: float = 2, warmup: bool = True, digits: int | None = None,
+    **keys,
+) -> DataFrame:
+    return add_indicators(c, Bollinger(n, k, warmup, digits), **keys)
+
+
+def obv(
+    c: DataFrame, carried: str | None = None, digits: int | None = 3, **keys
+) -> DataFrame:
+    return add_indicators(c, Obv(carried, digits), **keys)
+
+
+def sma_cross(
+    c: DataFrame, short: int = 9, long: int = 21, digits: int | None = None, **keys
+) -> DataFrame:
+    return add_indicators(c, SmaCross(short, long, digits), **keys)

@@ -60,21 +60,21 @@ def _vwap(c: DataFrame, _carried: str | None) -> DataFrame:
 
 
 def _multi(c: DataFrame, carried: str | None) -> DataFrame:
-    c = risk_level(candle_features(c))
-    c = ind.rsi(c, warmup=False, digits=3)
-    c = ind.macd_sma(c)
-    c = ind.volume_spike(c)
-    c = ind.bollinger(c, warmup=False, digits=3)
-    return ind.obv(c, carried)
+    return ind.add_indicators(
+        risk_level(candle_features(c)),
+        ind.Rsi(warmup=False, digits=3), ind.MacdSma(), ind.VolumeSpike(),
+        ind.Bollinger(warmup=False, digits=3), ind.Obv(carried),
+    )
 
 
 def _rsi14(c: DataFrame, _carried: str | None) -> DataFrame:
-    return ind.rsi(complete(c))
+    return ind.add_indicators(complete(c), ind.Rsi())
 
 
 def _cross(c: DataFrame, _carried: str | None) -> DataFrame:
-    c = candle_features(complete(c))
-    return ind.rsi(ind.sma_cross(ind.bollinger(c)))
+    return ind.add_indicators(
+        candle_features(complete(c)), ind.Bollinger(), ind.SmaCross(), ind.Rsi()
+    )
 
 
 BASIC = Strategy(

@@ -39,18 +39,19 @@ def stream_candles(
     watermark: str | None = None,
     tie: str | None = None,
     trigger: str | None = None,
+    sink: tuple[str, dict[str, str]] | None = None,
 ) -> StreamingQuery:
-    """Final candles, labelled row by row, straight into a Parquet folder (not for rolling
-    strategies). Append mode: a candle is written once, after the watermark has passed it."""
+    """Final candles, labelled row by row, straight into a Parquet folder or another `sink`
+    (format and options, such as a document store's). Not for rolling strategies. Append mode: a
+    candle is written once, after the watermark has passed it."""
     if strategy.rolling:
         raise ValueError(f"{strategy.name} looks back over candles: use stream_labels")
     candles = ohlcv(
         trades, width or strategy.width, tie=tie, watermark=watermark or strategy.watermark
     )
     rows = strategy.label(candles).select(*strategy.columns)
-    writer = rows.writeStream.format("parquet").outputMode("append").option(
-        "path", f"{store.path}/streamed/{name}"
-    )
+    kind, options = sink or ("parquet", {"path": f"{store.path}/streamed/{name}"})
+    writer = rows.writeStream.format(kind).options(**options).outputMode("append")
     return start(writer, store, name, trigger)
 
 

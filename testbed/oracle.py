@@ -390,6 +390,13 @@ ORACLE: dict[str, str] = {
     "word_lines": _WORDS + "SELECT word || chr(9) || n AS value FROM counts",
     "pair_sum": f"""SELECT event_type AS word, CAST(sum(CAST({_K} AS BIGINT)) AS BIGINT) AS n
   FROM events WHERE value >= 1 AND value <= 100 GROUP BY event_type""",
+    "text_pairs": _WORDS + "SELECT word, n FROM counts",
+    "csv_revenue": """WITH totals AS (SELECT CAST(l_suppkey AS VARCHAR) AS Country,
+  sum(round(l_quantity * (l_extendedprice / l_quantity), 2)) AS total FROM lineitem GROUP BY 1)
+SELECT Country, round(total, 2) AS Total_Revenue FROM totals ORDER BY total DESC, Country
+LIMIT 10""",
+    "csv_students": _STUDENTS
+    + "SELECT address, round(avg(G3), 6) AS Avg_G3 FROM students GROUP BY address",
     "store_tail": _with(
         _candles(), _newest("candles", "event_time", 33),
         select=f"SELECT {_CANDLE_ROW} FROM newest",
@@ -397,7 +404,7 @@ ORACLE: dict[str, str] = {
     "stream_candles": _with(
         *_VWAP_PARTS, select=f"SELECT {_VWAP_ROW} FROM labels WHERE {_CLOSED}"
     ),
-    "stream_cross": _with(
+    "stream_indicators": _with(
         *_CROSS_PARTS, select=f"SELECT {_CROSS_ROW} FROM labels WHERE {_CLOSED}"
     ),
     "stream_multi": _with(

@@ -17,8 +17,9 @@ from candlestream.operators.ingest import decode_trades, normalize_raw, to_topic
 from candlestream.operators.latest import latest_n, recent
 from candlestream.plans import panels, reports, strategies
 from candlestream.plans.batch import advice, stored_candles
+from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA
 from candlestream.session import new_folder, stream_session
-from candlestream.sources.files import tab_lines
+from candlestream.sources.files import read_csv, read_lines, tab_lines, write_tab_lines
 from candlestream.sources.store import CandleStore
 from candlestream.streaming.audit import LATE, stream_audit
 from candlestream.streaming.jobs import stream_candles, stream_labels, streamed
@@ -182,6 +183,34 @@ def word_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tab_lines(word_count(spark, sf_dir), "word", "n")
 
 
+def csv_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines written as CSV and read back by name with fixed types."""
+    path = new_folder(spark, "csv")
+    tb.order_lines(spark, sf_dir).withColumnRenamed("l_suppkey", "Country").write.csv(
+        path, header=True
+    )
+    return reports.revenue_by_key(read_csv(spark, path, SALES_SCHEMA), n=10).withColumn(
+        "Total_Revenue", F.round("Total_Revenue", 2)
+    )
+
+
+def csv_students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with another separator."""
+    path = new_folder(spark, "csv")
+    tb.students(spark, sf_dir).write.csv(path, header=True, sep=";")
+    return edge(reports.mean_grade(read_csv(spark, path, STUDENT_SCHEMA, ";"), "address"))
+
+
+def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word counts per language as tab-separated text, read back and summed per word."""
+    path = new_folder(spark, "pairs")
+    words = tb.table(spark, sf_dir, "documents").select(
+        "lang", F.explode(F.split("text", reports.WORD_BREAK)).alias("word")
+    ).filter("word != ''")
+    write_tab_lines(words.groupBy("lang", "word").agg(F.count("*").alias("n")), path, "word", "n")
+    return reports.sum_pairs(read_lines(spark, path))
+
+
 # Store
 
 def _store(spark: SparkSession) -> CandleStore:
@@ -325,10 +354,13 @@ QUERIES: dict[str, Query] = {
     "word_count": word_count,
     "word_lines": word_lines,
     "pair_sum": pair_sum,
+    "text_pairs": text_pairs,
+    "csv_revenue": csv_revenue,
+    "csv_students": csv_students,
     "store_tail": store_tail,
     "store_published": store_published,
     "stream_candles": streamed_candles,
-    "stream_cross": streamed_labels(strategies.CROSS),
+    "stream_indicators": streamed_labels(strategies.CROSS),
     "stream_multi": streamed_labels(strategies.MULTI),
     "stream_multi_split": streamed_labels(strategies.MULTI, rows_per_block=SMALL_BLOCK),
     "stream_late_drop": stream_late_drop,
