@@ -15,7 +15,7 @@ TRADE_SCHEMA = _struct(symbol=_S, price=_D, quantity=_D, timestamp=_L)
 # One exchange message. The exchange quotes its numbers, so price and quantity are text here.
 RAW_MESSAGE_SCHEMA = _struct(s=_S, p=_S, q=_S, E=_L)
 
-SALES_SCHEMA = _struct(Quantity=_L, UnitPrice=_D, Country=_S)
+SALES_SCHEMA = _struct(Quantity=_D, UnitPrice=_D, Country=_S)
 
 STUDENT_SCHEMA = _struct(
     higher=_S, Mjob=_S, romantic=_S, address=_S,
