@@ -20,11 +20,16 @@ BLOCK, HALO = "history_block", "history_halo"
 # Preceding candles the widest finite indicator needs: 26-row mean, then a 9-row mean of it.
 REACH = 33
 
-# Candles of one symbol one task may hold before its history is split.
-ROWS_PER_BLOCK = 1 << 18
+# Candles of one symbol one task may hold before its history is split. Each row costs some
+# hundred aggregate updates over its frames, so blocks are small enough to spread well.
+ROWS_PER_BLOCK = 1 << 16
 
-# Placement rows (about 60 bytes each) up to which the block map is broadcast, else shuffled.
-BROADCAST_ROWS = 200_000
+# Time cells a block is made of at one candle per slot; a halo copies one cell or two.
+CELLS_PER_BLOCK = 32
+
+# Map rows (about 60 bytes each) up to which the block map is broadcast, else shuffled. Enough
+# for the split symbols of a table of a billion candles.
+BROADCAST_ROWS = 500_000
 
 
 def partition_keys(c: DataFrame, by: Sequence[str]) -> list[str]:
@@ -129,9 +134,9 @@ def split_history(
 
 
 def cell_of(width: str, rows_per_block: int) -> str:
-    """A time grain of 1/64 block at one candle per `width`, so a halo copies little."""
+    """The time grain blocks are cut at, for candles of `width`."""
     count, unit = width.split()
-    return f"{int(count) * max(rows_per_block // 64, 1)} {unit}"
+    return f"{int(count) * max(rows_per_block // CELLS_PER_BLOCK, 1)} {unit}"
 
 
 def drop_halo(c: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ def test_no_task_gets_a_hot_symbol(spark):
     rows = walk(1, {"HOT": 2000, **{f"S{i}": 10 for i in range(100)}})
     c = split_history(candles(spark, rows), cell_of("1 minute", 128), rows_per_block=128)
     sizes = c.groupBy("symbol", BLOCK).count().collect()
-    cell = 128 // 64
+    cell = 128 // history.CELLS_PER_BLOCK
     assert max(r["count"] for r in sizes) <= 128 + cell + history.REACH + cell
     assert len([r for r in sizes if r.symbol == "HOT"]) == -(-2000 // 128)
     assert drop_halo(c).count() == len(rows)
