@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, HALO = "history_block", "history_halo"
+KEY, BLOCK, HALO = "history_key", "history_block", "history_halo"
 
 # Preceding candles the widest finite indicator needs: 26-row mean, then a 9-row mean of it.
 REACH = 33
@@ -33,15 +33,14 @@ BROADCAST_ROWS = 500_000
 
 
 def partition_keys(c: DataFrame, by: Sequence[str]) -> list[str]:
-    return [*by, BLOCK] if BLOCK in c.columns else list(by)
+    """What a symbol's rolling windows are partitioned by."""
+    return [KEY, BLOCK] if BLOCK in c.columns else list(by)
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: str) -> Column:
-    """NULL-safe equality of `keys` with their prefixed twins."""
-    test = F.lit(True)
-    for key in keys:
-        test = test & left[key].eqNullSafe(right[prefix + key])
-    return test
+def _key(by: Sequence[str]) -> Column:
+    """The symbol as a struct: never NULL itself, and equal to itself where the symbol is. So
+    joins by it are plain equalities, which windows by it share their partitioning with."""
+    return F.struct(*by).alias(KEY)
 
 
 def _block_map(
@@ -54,47 +53,43 @@ def _block_map(
     cell's end. Any two neighbouring blocks span more than `rows_per_block` rows together, so
     with `reach` below that no cell is needed beyond the second block after its own.
     """
-    per_symbol = Window.partitionBy(*by)
+    per_symbol = Window.partitionBy(KEY)
+    until_here = F.sum("n").over(per_symbol.orderBy("cell"))
     cells = (
-        c.groupBy(*by, F.window(time, cell).start.alias("cell"))
+        c.groupBy(_key(by), F.window(time, cell).start.alias("cell"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
-            *by, "cell",
-            F.sum("n").over(per_symbol.orderBy("cell")).alias("end"),
-            (F.sum("n").over(per_symbol.orderBy("cell")) - F.col("n")).alias("start"),
+            KEY, "cell",
+            until_here.alias("end"),
+            (until_here - F.col("n")).alias("start"),
             F.sum("n").over(per_symbol).alias("total"),
         )
         .filter(F.col("total") > rows_per_block)
         .withColumn(BLOCK, F.floor(F.col("start") / rows_per_block))
     )
     following = per_symbol.orderBy(BLOCK)
-    blocks = (
-        cells.groupBy(*by, BLOCK).agg(F.min("start").alias("start"))
-        .select(
-            *[F.col(k).alias(f"b_{k}") for k in (*by, BLOCK)],
-            *[
-                F.struct(
-                    F.lead(BLOCK, ahead).over(following).alias(BLOCK),
-                    F.lead("start", ahead).over(following).alias("start"),
-                ).alias(f"next{ahead}")
-                for ahead in (1, 2)
-            ],
+
+    def ahead(n: int) -> Column:
+        return F.struct(
+            F.lead(BLOCK, n).over(following).alias(BLOCK),
+            F.lead("first", n).over(following).alias("first"),
         )
+
+    blocks = cells.groupBy(KEY, BLOCK).agg(F.min("start").alias("first")).select(
+        KEY, BLOCK, ahead(1).alias("next1"), ahead(2).alias("next2")
     )
-    own = F.struct(F.col(BLOCK).alias(BLOCK), F.lit(False).alias(HALO))
+    own = F.struct(F.col(BLOCK), F.lit(False).alias(HALO))
     as_halo = [
         F.when(
-            F.col(f"next{ahead}.start") < F.col("end") + reach,
-            F.struct(F.col(f"next{ahead}.{BLOCK}").alias(BLOCK), F.lit(True).alias(HALO)),
+            F.col(f"{later}.first") < F.col("end") + reach,
+            F.struct(F.col(f"{later}.{BLOCK}").alias(BLOCK), F.lit(True).alias(HALO)),
         )
-        for ahead in (1, 2)
+        for later in ("next1", "next2")
     ]
-    placed = cells.join(blocks, same_keys(cells, blocks, (*by, BLOCK), "b_"))
-    return placed.select(
-        *[F.col(k).alias(f"m_{k}") for k in by],
-        F.col("cell").alias("m_cell"),
-        F.explode(F.array_compact(F.array(own, *as_halo))).alias("place"),
-    ).select(*[f"m_{k}" for k in by], "m_cell", "place.*")
+    places = F.explode(F.array_compact(F.array(own, *as_halo)))
+    return cells.join(blocks, [KEY, BLOCK]).select(KEY, "cell", places.alias("place")).select(
+        KEY, "cell", "place.*"
+    )
 
 
 def split_history(
@@ -122,38 +117,29 @@ def split_history(
         return c
     if size <= BROADCAST_ROWS:
         block_map = F.broadcast(block_map)
-    keyed = c.withColumn("cell", F.window(time, cell).start)
-    return (
-        keyed.join(block_map, same_keys(keyed, block_map, (*by, "cell"), "m_"), "left")
-        .withColumns({
-            BLOCK: F.coalesce(F.col(BLOCK), F.lit(0)),
-            HALO: F.coalesce(F.col(HALO), F.lit(False)),
-        })
-        .drop("cell", *[f"m_{k}" for k in (*by, "cell")])
-    )
+    keyed = c.select("*", _key(by), F.window(time, cell).start.alias("cell"))
+    return keyed.join(block_map, [KEY, "cell"], "left").drop("cell").withColumns({
+        BLOCK: F.coalesce(F.col(BLOCK), F.lit(0)),
+        HALO: F.coalesce(F.col(HALO), F.lit(False)),
+    })
 
 
 def cell_of(width: str, rows_per_block: int) -> str:
-    """The time grain blocks are cut at, for candles of `width`."""
-    count, unit = width.split()
-    return f"{int(count) * max(rows_per_block // CELLS_PER_BLOCK, 1)} {unit}"
+    """The time grain blocks are cut at, for candles of `width` (such as "10 seconds")."""
+    times = max(rows_per_block // CELLS_PER_BLOCK, 1)
+    return " ".join(str(int(w) * times) if w.isdigit() else w for w in width.split())
 
 
 def drop_halo(c: DataFrame) -> DataFrame:
-    return c.filter(~F.col(HALO)).drop(BLOCK, HALO) if BLOCK in c.columns else c
+    return c.filter(~F.col(HALO)).drop(KEY, BLOCK, HALO) if BLOCK in c.columns else c
 
 
-def earlier_totals(
-    c: DataFrame, value: str, by: Sequence[str], prefix: str, name: str
-) -> DataFrame:
-    """Per block: the sum of `value` over all earlier blocks of its symbol, keys prefixed.
+def earlier_totals(c: DataFrame, value: str, name: str) -> DataFrame:
+    """Per block of a split history: the sum of `value` over all earlier blocks of its symbol.
 
     A task here sees one row per block of a symbol, never the symbol's candles.
     """
-    earlier = (
-        Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return c.groupBy(*by, BLOCK).agg(F.sum(value).alias("block_sum")).select(
-        *[F.col(k).alias(prefix + k) for k in (*by, BLOCK)],
-        F.coalesce(F.sum("block_sum").over(earlier), F.lit(0.0)).alias(name),
+    earlier = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    return c.groupBy(KEY, BLOCK).agg(F.sum(value).alias("block_sum")).select(
+        KEY, BLOCK, F.coalesce(F.sum("block_sum").over(earlier), F.lit(0.0)).alias(name)
     )

@@ -20,9 +20,7 @@ from itertools import zip_longest
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlestream.operators.history import (
-    BLOCK, HALO, earlier_totals, partition_keys, same_keys,
-)
+from candlestream.operators.history import BLOCK, HALO, KEY, earlier_totals, partition_keys
 
 BY: tuple[str, ...] = ("symbol",)
 TIME = "event_time"
@@ -66,7 +64,9 @@ class Frames:
 
 
 class Indicator:
-    """Base of the indicators: the stages, and the column whose running total a stage needs."""
+    """Base of the indicators: the stages, and the first-stage column that is summed over all
+    of the history. In a split history the second stage sums it within a block only, and the
+    third finds its sum over all earlier blocks in `<column>_before`."""
 
     total_of: str | None = None
 
@@ -79,28 +79,19 @@ def add_indicators(
 ) -> DataFrame:
     """Candles with the columns of all `indicators`."""
     at = Frames.of(c, by, time)
-    totals = [i.total_of for i in indicators if i.total_of]
-    for number, stage in enumerate(zip_longest(*(i.stages(at) for i in indicators), fillvalue={})):
+    first = None
+    stages = zip_longest(*(i.stages(at) for i in indicators), fillvalue={})
+    for number, stage in enumerate(stages):
         c = c.withColumns({name: value for part in stage for name, value in part.items()})
-        if number == 0 and at.split:
-            for column in totals:
-                c = _with_earlier(c, column, by)
+        if number == 0:
+            first = c
+        if number == 1 and at.split:
+            # One row per block, joined by the keys the rows are already placed and sorted by.
+            for total in filter(None, (i.total_of for i in indicators)):
+                c = c.join(earlier_totals(first, total, f"{total}_before"), [KEY, BLOCK], "left")
     return c.drop(*[name for name in c.columns if name.startswith("_")])
 
 
-def _with_earlier(c: DataFrame, column: str, by: Sequence[str]) -> DataFrame:
-    """In a split history: `column` without the halo copies, and its sum over earlier blocks.
-
-    The second input has one row per block and is joined on the keys the rows are already
-    placed by.
-    """
-    own = c.withColumn(column, F.when(F.col(HALO), 0.0).otherwise(F.col(column)))
-    earlier = earlier_totals(own, column, by, "o_", f"{column}_before")
-    return own.join(earlier, same_keys(own, earlier, (*by, BLOCK), "o_"), "left").drop(
-        *[f"o_{k}" for k in (*by, BLOCK)]
-    )
-
-
 @dataclass(frozen=True)
 class CloseChange(Indicator):
     """Previous close, change, and the change split into gain and loss (0 on the first row)."""
@@ -238,17 +229,20 @@ class Obv(Indicator):
         signed = F.when(step > 0, volume).when(step < 0, -volume).otherwise(0.0)
         if self.carried is not None:
             signed = F.coalesce(F.col(self.carried), signed)
+        if at.split:
+            signed = F.when(F.col(HALO), 0.0).otherwise(signed)
         before = F.col("_signed_before") if at.split else F.lit(0.0)
-
-        def total(until: int) -> Column:
-            return F.sum("_signed").over(at.until(until)) + before
-
+        total, previous = F.col("_total") + before, F.col("_previous") + before
         return [
             {"_signed": signed},
-            {"obv_total": total(0), "_previous_total": total(-1)},
             {
-                "OBV": _rounded(F.col("obv_total"), self.digits),
-                "OBV_prv": _rounded(F.col("_previous_total"), self.digits),
+                "_total": F.sum("_signed").over(at.until(0)),
+                "_previous": F.sum("_signed").over(at.until(-1)),
+            },
+            {
+                "obv_total": total,
+                "OBV": _rounded(total, self.digits),
+                "OBV_prv": _rounded(previous, self.digits),
             },
         ]
 
