@@ -74,6 +74,22 @@ def test_shared_folder_is_the_sessions(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
 
 
+class Conf(dict):
+    """A session of which only the settings are looked at."""
+
+    @property
+    def conf(self):
+        return self
+
+
+def test_a_machines_own_folder_is_for_local_sessions_only():
+    assert shared_folder(Conf({CHECKPOINT_CONF: "hdfs:///x/"})) == "hdfs:///x"
+    local = shared_folder(Conf({"spark.master": "local[2]"}))
+    assert shared_folder(Conf({"spark.master": "local[2]"})) == local
+    with pytest.raises(ValueError):
+        shared_folder(Conf({"spark.master": "yarn"}))
+
+
 @pytest.fixture
 def store(spark, tmp_path):
     return CandleStore(spark, str(tmp_path / "store"))
