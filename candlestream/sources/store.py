@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
+from candlestream.operators.history import REACH
 from candlestream.operators.latest import top_rows
 from candlestream.schemas import candle_schema
 from candlestream.session import written
@@ -85,9 +86,11 @@ class CandleStore:
         rows = self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
         return rows if since is None else rows.filter(F.col("dt") >= F.lit(since).cast("date"))
 
-    def tail(self, n: int = 33, since: str | None = None) -> DataFrame:
+    def tail(
+        self, n: int = REACH, columns: StructType | None = None, since: str | None = None
+    ) -> DataFrame:
         """The newest n stored candles per symbol."""
-        return top_rows(self.candles(since=since), n)
+        return top_rows(self.candles(columns, since), n)
 
     # Labelled candles of one writer
 

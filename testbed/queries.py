@@ -221,7 +221,7 @@ def store_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
     c = ohlcv(tb.trades(spark, sf_dir), WIDTH)
     store.append(c, 0)
-    return edge(store.tail().select(*c.columns))
+    return edge(store.tail(columns=c.schema).select(*c.columns))
 
 
 def store_published(spark: SparkSession, sf_dir: str) -> DataFrame:
