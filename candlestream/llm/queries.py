@@ -18,10 +18,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = quality.features(quality.cascade(docs))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", F.isnull("failed_rule").alias("kept"),
+    return quality.cascade(docs, with_facts=True).select(
+        "doc_id", *quality.FACTS, "base_failed", F.isnull("failed_rule").alias("kept")
     )
 
 
