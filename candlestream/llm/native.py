@@ -15,6 +15,12 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def once(value: Column) -> Column:
+    """`value`, which later filters and projections read but never compute again: the optimizer
+    leaves a column with a random part where it is. The condition always holds."""
+    return F.when(F.rand(0) >= 0, value)
+
+
 def words(text: Column) -> Column:
     """Maximal runs of bytes other than space, tab, line and page breaks; NULL has none."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_BREAK), lambda w: w != "")

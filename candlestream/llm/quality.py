@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candlestream.llm.native import let, shingle_hashes, words
+from candlestream.llm.native import let, once, shingle_hashes, words
 from candlestream.session import materialize
 
 SYMBOLS = "[#*$%&|<>]"
@@ -152,7 +152,7 @@ def _prepared(docs: DataFrame, text: str) -> tuple[DataFrame, Column, Column]:
     while plain in docs.columns or split in docs.columns:
         plain, split = plain + "_", split + "_"
     docs = docs.withColumn(plain, F.coalesce(F.col(f"`{text}`"), F.lit("")))
-    return docs.withColumn(split, words(F.col(plain))), F.col(plain), F.col(split)
+    return docs.withColumn(split, once(words(F.col(plain)))), F.col(plain), F.col(split)
 
 
 def measure(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlestream.llm import host_trust, quality
+from candlestream.llm import decontamination, host_trust, jaccard_join, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
+
+
+def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.cascade(docs, with_facts=True).select(
@@ -31,6 +41,8 @@ def op9_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_jaccard_join": op2_jaccard_join,
+    "op5_benchmark_leaks": op5_benchmark_leaks,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
 }
