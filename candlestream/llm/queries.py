@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlestream.llm import decontamination, host_trust, jaccard_join, quality
+from candlestream.llm import (
+    decontamination, host_trust, jaccard_join, lm_scoring, packing, quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +24,16 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = packing.pieces(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(pieces).withColumnRenamed("doc", "doc_id")
+
+
 def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -42,6 +55,8 @@ def op9_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_lm_scoring": op3_lm_scoring,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_leaks": op5_benchmark_leaks,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
