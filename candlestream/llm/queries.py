@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlestream.llm import (
-    decontamination, host_trust, jaccard_join, lm_scoring, packing, quality,
+    decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,10 @@ def op9_host_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_lm_scoring": op3_lm_scoring,
@@ -60,4 +64,5 @@ QUERIES: dict[str, Query] = {
     "op5_benchmark_leaks": op5_benchmark_leaks,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
+    "op10_language_id": op10_language_id,
 }
