@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from candlestream.llm import (
     decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, quality,
+    warc,
 )
+from candlestream.session import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +41,14 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op7_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    return warc.read(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.cascade(docs, with_facts=True).select(
@@ -62,6 +72,7 @@ QUERIES: dict[str, Query] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_leaks": op5_benchmark_leaks,
+    "op7_warc_shards": op7_warc_shards,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
     "op10_language_id": op10_language_id,
