@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlestream.llm import (
-    decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, quality,
-    warc,
+    decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, pii,
+    quality, warc,
 )
 from candlestream.session import new_folder
 
@@ -41,6 +41,10 @@ def op5_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_warc_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
     warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
@@ -72,6 +76,7 @@ QUERIES: dict[str, Query] = {
     "op3_lm_scoring": op3_lm_scoring,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_benchmark_leaks": op5_benchmark_leaks,
+    "op6_pii_surrogates": op6_pii_surrogates,
     "op7_warc_shards": op7_warc_shards,
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
