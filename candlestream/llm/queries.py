@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from candlestream.llm import (
     decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, pii,
-    quality, warc,
+    quality, suffix_dedup, warc,
 )
 from candlestream.session import new_folder
 
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.near_duplicates(docs).select("doc_id", "class_id", "n_links")
@@ -72,6 +76,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_best_fit_packing": op4_best_fit_packing,

@@ -65,3 +65,21 @@ def leaks(docs: list[tuple[int, str | None]], items: list[tuple[int, str | None]
                 if value >= threshold:
                     found[doc, item] = max(found.get((doc, item), 0), value)
     return {(d, i, round(v, 9)) for (d, i), v in found.items()}
+
+
+def without_repeats(texts: list[str | None], length: int) -> list[tuple[int, int, int, bytes]]:
+    """Bytes, removed bytes, removed runs and what is left, per text."""
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(d[i:i + length] for d in data for i in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        end = 0
+        for i in range(len(d) - length + 1):
+            if seen[d[i:i + length]] > 1:
+                for k in range(max(i, end), i + length):
+                    gone[k] = 1
+                end = i + length
+        runs = sum(gone[k] and not (k and gone[k - 1]) for k in range(len(d)))
+        out.append((len(d), sum(gone), runs, bytes(b for b, g in zip(d, gone, strict=True) if not g)))
+    return out
