@@ -23,9 +23,7 @@ def candle_features(c: DataFrame) -> DataFrame:
         "price_change": move,
         "price_change_pct": percent(move, opened),
         "volatility": percent(spread, opened),
-        "trend": F.expr(
-            "CASE WHEN close > open THEN 'UP' WHEN close < open THEN 'DOWN' ELSE 'SIDEWAYS' END"
-        ),
+        "trend": F.when(move > 0, "UP").when(move < 0, "DOWN").otherwise("SIDEWAYS"),
         "body_size": F.abs(move),
         "range_size": spread,
         "candle_strength": share(F.abs(move), spread),
@@ -34,10 +32,10 @@ def candle_features(c: DataFrame) -> DataFrame:
 
 def risk_level(c: DataFrame, medium: float = 1, high: float = 2) -> DataFrame:
     """HIGH / MEDIUM / LOW by volatility in percent; both bounds belong to the higher class."""
-    return c.withColumn("risk_level", F.expr(
-        f"CASE WHEN volatility >= {high} THEN 'HIGH'"
-        f" WHEN volatility >= {medium} THEN 'MEDIUM' ELSE 'LOW' END"
-    ))
+    level = F.col("volatility")
+    return c.withColumn(
+        "risk_level", F.when(level >= high, "HIGH").when(level >= medium, "MEDIUM").otherwise("LOW")
+    )
 
 
 def single_candle_rsi(c: DataFrame, eps: float = 0.001) -> DataFrame:

@@ -31,12 +31,14 @@ def ohlcv(
     by: Sequence[str] = ("symbol",),
     tie: str | None = None,
     watermark: str | None = None,
+    counted: bool = False,
 ) -> DataFrame:
     """Tumbling-window candles per `by`, in batch and (with `watermark`) on a stream.
 
     Every aggregate has a fixed-size partial form, so a busy symbol or window is reduced on the
     map side to one row per task before the single shuffle. Trades without a price still count
-    for volume and time but never become open, high, low or close.
+    for volume and time but never become open, high, low or close. `counted` adds `n_trades`, how
+    many trades a candle is made of.
     """
     if watermark is not None:
         trades = trades.withWatermark("event_time", watermark)
@@ -52,8 +54,10 @@ def ohlcv(
         F.avg(price).alias("avg_price"),
         F.when(traded != 0, F.sum(price * quantity) / traded).alias("vwap"),
         F.max("event_time").alias("event_time"),
+        F.count(F.lit(1)).alias("n_trades"),
     )
     return candles.select(
         *by, "open", "high", "low", "close", "volume", "avg_price", "vwap", "event_time",
         F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        *(["n_trades"] if counted else []),
     )

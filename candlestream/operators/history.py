@@ -17,9 +17,6 @@ from pyspark.sql import functions as F
 
 KEY, BLOCK, HALO = "history_key", "history_block", "history_halo"
 
-# Preceding candles the widest finite indicator needs: 26-row mean, then a 9-row mean of it.
-REACH = 33
-
 # Candles of one symbol one task may hold before its history is split. Each row costs some
 # hundred aggregate updates over its frames, so blocks are small enough to spread well.
 ROWS_PER_BLOCK = 1 << 16
@@ -95,21 +92,21 @@ def _block_map(
 def split_history(
     c: DataFrame,
     cell: str,
+    reach: int,
     rows_per_block: int = ROWS_PER_BLOCK,
-    reach: int = REACH,
     by: Sequence[str] = ("symbol",),
     time: str = "event_time",
 ) -> DataFrame:
     """Add the block and halo columns; symbols of at most `rows_per_block` candles stay whole.
 
     `c` should be a stored table (it is read twice: two columns to count, then all). `cell` is
-    the time grain blocks are cut at, see `cell_of`. The number of map rows is known before the
+    the time grain blocks are cut at, see `cell_of`; `reach` is how many earlier candles the
+    indicators to come look at. The number of map rows is known before the
     join, so the map is broadcast only when it is small.
     """
     from candlestream.session import materialize
 
-    if rows_per_block <= reach:
-        raise ValueError("a block must hold more candles than the reach of its halo")
+    check_reach(reach, rows_per_block)
     block_map, size = materialize(
         _block_map(c, cell, rows_per_block, reach, by, time), "block-map"
     )
@@ -130,6 +127,13 @@ def cell_of(width: str, rows_per_block: int) -> str:
     return " ".join(str(int(w) * times) if w.isdigit() else w for w in width.split())
 
 
+def check_reach(reach: int, rows_per_block: int) -> None:
+    if rows_per_block <= reach:
+        raise ValueError(
+            f"indicators look {reach} candles back; a block of {rows_per_block} must hold more"
+        )
+
+
 def drop_halo(c: DataFrame) -> DataFrame:
     return c.filter(~F.col(HALO)).drop(KEY, BLOCK, HALO) if BLOCK in c.columns else c
 
@@ -141,5 +145,5 @@ def earlier_totals(c: DataFrame, value: str, name: str) -> DataFrame:
     """
     earlier = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     return c.groupBy(KEY, BLOCK).agg(F.sum(value).alias("block_sum")).select(
-        KEY, BLOCK, F.coalesce(F.sum("block_sum").over(earlier), F.lit(0.0)).alias(name)
+        KEY, BLOCK, F.coalesce(F.sum("block_sum").over(earlier), F.lit(0)).alias(name)
     )

@@ -24,6 +24,8 @@ from candlestream.operators.history import BLOCK, HALO, KEY, earlier_totals, par
 
 BY: tuple[str, ...] = ("symbol",)
 TIME = "event_time"
+# Volumes, and their sums, in on-balance volume.
+EXACT, EXACT_TOTAL = "decimal(28,10)", "decimal(38,10)"
 Stages = list[dict[str, Column]]
 
 
@@ -70,6 +72,11 @@ class Indicator:
 
     total_of: str | None = None
 
+    @property
+    def reach(self) -> int:
+        """How many earlier rows a row's values depend on, running totals apart."""
+        raise NotImplementedError
+
     def stages(self, at: Frames) -> Stages:
         raise NotImplementedError
 
@@ -98,6 +105,10 @@ class CloseChange(Indicator):
 
     digits: int | None = None
 
+    @property
+    def reach(self) -> int:
+        return 1
+
     def stages(self, at: Frames) -> Stages:
         change = F.col("change")
         return [
@@ -119,6 +130,10 @@ class Rsi(Indicator):
     digits: int | None = None
     name: str | None = None
 
+    @property
+    def reach(self) -> int:
+        return self.n
+
     def stages(self, at: Frames) -> Stages:
         name = self.name or (f"rsi_{self.n}" if self.warmup else "RSI")
         change, gain, loss = F.col("_change"), F.col("_mean_gain"), F.col("_mean_loss")
@@ -150,6 +165,10 @@ class MacdSma(Indicator):
     digits: int | None = 3
     lines: bool = False
 
+    @property
+    def reach(self) -> int:
+        return max(self.fast, self.slow) + self.signal - 2
+
     def stages(self, at: Frames) -> Stages:
         line, signal = ("macd_line", "signal_line") if self.lines else ("_macd", "_signal")
         return [
@@ -168,6 +187,10 @@ class VolumeSpike(Indicator):
     factor: float = 1.5
     mean: bool = False
 
+    @property
+    def reach(self) -> int:
+        return self.n
+
     def stages(self, at: Frames) -> Stages:
         past = "past_volume" if self.mean else "_past_volume"
         above = F.col("volume") > F.col(past) * self.factor
@@ -190,6 +213,10 @@ class Bollinger(Indicator):
     warmup: bool = True
     digits: int | None = None
 
+    @property
+    def reach(self) -> int:
+        return self.n - 1
+
     def stages(self, at: Frames) -> Stages:
         middle, reach = F.col("_mid"), F.col("_dev") * self.k
         stats = {
@@ -203,10 +230,11 @@ class Bollinger(Indicator):
         bands = {
             "bb_middle": _rounded(middle, self.digits), "bb_upper": upper, "bb_lower": lower,
         }
-        position = F.expr(
-            "CASE WHEN bb_upper IS NULL THEN 'NOT ENOUGH DATA'"
-            " WHEN close > bb_upper THEN 'ABOVE UPPER BAND'"
-            " WHEN close < bb_lower THEN 'BELOW LOWER BAND' ELSE 'INSIDE BAND' END"
+        close = F.col("close")
+        position = (
+            F.when(F.col("bb_upper").isNull(), "NOT ENOUGH DATA")
+            .when(close > F.col("bb_upper"), "ABOVE UPPER BAND")
+            .when(close < F.col("bb_lower"), "BELOW LOWER BAND").otherwise("INSIDE BAND")
         )
         return [stats, bands, {"bb_signal": position}]
 
@@ -215,6 +243,9 @@ class Bollinger(Indicator):
 class Obv(Indicator):
     """On-balance volume `OBV`, the previous row's `OBV_prv`, and the exact `obv_total`.
 
+    Volumes are summed as decimals with ten places, so the total is the same however the history
+    is cut, and rounded at the end; a total beyond 28 digits is an error, never a wrong value.
+
     `carried` names a column that replaces a candle's own signed volume where it is not NULL:
     the stored total on the last known candle and 0 on those before it lets a run go on from
     there.
@@ -224,15 +255,21 @@ class Obv(Indicator):
     digits: int | None = 3
     total_of = "_signed"
 
+    @property
+    def reach(self) -> int:
+        return 1
+
     def stages(self, at: Frames) -> Stages:
-        step, volume = F.col("close") - at.previous("close"), F.col("volume")
-        signed = F.when(step > 0, volume).when(step < 0, -volume).otherwise(0.0)
+        none = F.lit(0).cast(EXACT)
+        step, volume = F.col("close") - at.previous("close"), F.col("volume").cast(EXACT)
+        signed = F.when(step > 0, volume).when(step < 0, -volume).otherwise(none)
         if self.carried is not None:
-            signed = F.coalesce(F.col(self.carried), signed)
+            signed = F.coalesce(F.col(self.carried).cast(EXACT_TOTAL), signed)
         if at.split:
-            signed = F.when(F.col(HALO), 0.0).otherwise(signed)
-        before = F.col("_signed_before") if at.split else F.lit(0.0)
-        total, previous = F.col("_total") + before, F.col("_previous") + before
+            signed = F.when(F.col(HALO), none).otherwise(signed)
+        before = F.col("_signed_before") if at.split else none
+        total = (F.col("_total") + before).cast(EXACT_TOTAL)
+        previous = F.col("_previous") + before
         return [
             {"_signed": signed},
             {
@@ -241,8 +278,8 @@ class Obv(Indicator):
             },
             {
                 "obv_total": total,
-                "OBV": _rounded(total, self.digits),
-                "OBV_prv": _rounded(previous, self.digits),
+                "OBV": _rounded(total, self.digits).cast("double"),
+                "OBV_prv": _rounded(previous, self.digits).cast("double"),
             },
         ]
 
@@ -259,15 +296,20 @@ class SmaCross(Indicator):
     long: int = 21
     digits: int | None = None
 
+    @property
+    def reach(self) -> int:
+        return max(self.short, self.long)
+
     def stages(self, at: Frames) -> Stages:
         near, far = f"sma_{self.short}", f"sma_{self.long}"
         gap = _rounded(F.col(near) - F.col(far), self.digits)
-        label = F.expr(
-            "CASE WHEN _gap IS NULL THEN 'NOT ENOUGH DATA'"
-            " WHEN _prev_gap <= 0 AND _gap > 0 THEN 'GOLDEN CROSS'"
-            " WHEN _prev_gap >= 0 AND _gap < 0 THEN 'DEATH CROSS'"
-            f" WHEN _gap > 0 THEN 'SMA{self.short} ABOVE SMA{self.long}'"
-            f" WHEN _gap < 0 THEN 'SMA{self.short} BELOW SMA{self.long}' ELSE 'NO CROSS' END"
+        now, before = F.col("_gap"), F.col("_prev_gap")
+        label = (
+            F.when(now.isNull(), "NOT ENOUGH DATA")
+            .when((before <= 0) & (now > 0), "GOLDEN CROSS")
+            .when((before >= 0) & (now < 0), "DEATH CROSS")
+            .when(now > 0, f"SMA{self.short} ABOVE SMA{self.long}")
+            .when(now < 0, f"SMA{self.short} BELOW SMA{self.long}").otherwise("NO CROSS")
         )
         means = {
             near: at.mean("close", self.short, warmup=True),

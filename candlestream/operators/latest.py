@@ -16,9 +16,10 @@ def only_symbols(df: DataFrame, symbols: Sequence[str] | None) -> DataFrame:
 
 
 def top_rows(
-    df: DataFrame, n: int, by: Sequence[str] = ("symbol",), time: str = "event_time"
+    df: DataFrame, n: int, by: Sequence[str] = ("symbol",), time: str = "event_time",
+    place: str | None = None,
 ) -> DataFrame:
-    """The n newest rows of each group.
+    """The n newest rows of each group, with their place (from 1) in a column `place` if named.
 
     Spark prunes `row_number <= n` before the shuffle, but a group present in every input task
     would still send n rows per task to one task. Merging in groups of input tasks first keeps
@@ -26,10 +27,11 @@ def top_rows(
     """
     newest = F.col(time).desc_nulls_last()
     merge = df.withColumn("merge_group", F.spark_partition_id() % MERGE_GROUPS)
+    at = place or "place"
     for keys in ((*by, "merge_group"), tuple(by)):
-        place = F.row_number().over(Window.partitionBy(*keys).orderBy(newest))
-        merge = merge.withColumn("place", place).filter(F.col("place") <= n).drop("place")
-    return merge.drop("merge_group")
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(newest))
+        merge = merge.withColumn(at, number).filter(F.col(at) <= n)
+    return merge.drop("merge_group") if place else merge.drop("merge_group", at)
 
 
 def latest_n(
@@ -58,5 +60,10 @@ def recent(
 ) -> DataFrame:
     """Complete rows of the last `interval` before `as_of` (now by default)."""
     now = F.current_timestamp() if as_of is None else as_of
-    since = now - F.expr(f"INTERVAL {interval}")
-    return only_symbols(complete(df), symbols).filter(F.col("event_time") >= since)
+    return on_or_after(only_symbols(complete(df), symbols), now - F.expr(f"INTERVAL {interval}"))
+
+
+def on_or_after(df: DataFrame, since: Column) -> DataFrame:
+    """Rows from `since` on; of a stored table only the `dt` folders that can hold them."""
+    rows = df.filter(F.col("event_time") >= since)
+    return rows.filter(F.col("dt") >= F.to_date(since)) if "dt" in df.columns else rows

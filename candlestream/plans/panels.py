@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlestream.operators.history import REACH
 from candlestream.operators.latest import latest_n, only_symbols, top_rows
 from candlestream.plans.strategies import Strategy
 
@@ -40,20 +39,22 @@ _CHART = [*_CANDLE, "volume", "vwap", "rsi", "advice"]
 def newest_labels(candles: DataFrame, strategy: Strategy, n: int) -> DataFrame:
     """The strategy's newest n rows per symbol without computing the rest of the history.
 
-    The newest n + REACH candles decide them: the indicators of a row depend on at most REACH
-    candles before it. Not for strategies with running totals, whose reach is the whole history.
+    The newest n candles and as many before them as the indicators look back decide them. Not for strategies with running totals, whose reach is the whole history.
     """
     if strategy.totals:
         raise ValueError(f"{strategy.name} needs the whole history")
-    window = top_rows(candles, n + REACH)
-    return top_rows(strategy.label(window).select(*strategy.columns), n)
+    labelled = strategy.label(top_rows(candles, n + strategy.reach, place="newness"))
+    return labelled.filter(F.col("newness") <= n).select(*strategy.columns)
 
 
 def _chart(
-    df: DataFrame, time: str, columns: Sequence[str], n: int, symbols: Sequence[str] | None
+    df: DataFrame, time: str, columns: Sequence[str], n: int | None, symbols: Sequence[str] | None
 ) -> DataFrame:
-    """`time` and `columns` of each symbol's newest n rows that have a time, oldest first."""
+    """`time` and `columns` of each symbol's newest n rows that have a time, oldest first. n is
+    None for tables that hold the newest rows only, such as those of `newest_labels`."""
     rows = df.select("symbol", F.col(time).alias("time"), *columns).dropna(subset=["time"])
+    if n is None:
+        return only_symbols(rows, symbols).orderBy("symbol", "time")
     return latest_n(rows, n, "time", symbols=symbols)
 
 
@@ -86,7 +87,7 @@ def _titled(titles: dict[str, str]) -> list:
 
 
 def band_panel(
-    df: DataFrame, n: int = INDICATOR_ROWS, symbols: Sequence[str] | None = None
+    df: DataFrame, n: int | None = INDICATOR_ROWS, symbols: Sequence[str] | None = None
 ) -> DataFrame:
     return _chart(df, "event_time", list(BAND_TITLES), n, symbols).select(
         "symbol", "time", *_titled(BAND_TITLES)
@@ -94,7 +95,7 @@ def band_panel(
 
 
 def sma_rsi_panel(
-    df: DataFrame, n: int = INDICATOR_ROWS, symbols: Sequence[str] | None = None
+    df: DataFrame, n: int | None = INDICATOR_ROWS, symbols: Sequence[str] | None = None
 ) -> DataFrame:
     return _chart(df, "event_time", list(SMA_RSI_TITLES), n, symbols).select(
         "symbol", "time", *_titled(SMA_RSI_TITLES)
@@ -102,10 +103,13 @@ def sma_rsi_panel(
 
 
 def signal_table(
-    df: DataFrame, n: int = TABLE_ROWS, symbols: Sequence[str] | None = None
+    df: DataFrame, n: int | None = TABLE_ROWS, symbols: Sequence[str] | None = None
 ) -> DataFrame:
     """Newest first."""
     rows = df.select(*SIGNAL_TITLES).dropna(subset=["event_time"])
+    if n is None:
+        newest_first = only_symbols(rows, symbols).orderBy("symbol", F.col("event_time").desc())
+        return newest_first.select(*_titled(SIGNAL_TITLES))
     return latest_n(rows, n, symbols=symbols, ascending=False).select(*_titled(SIGNAL_TITLES))
 
 

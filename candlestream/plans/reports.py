@@ -85,20 +85,18 @@ def grade_class(students: DataFrame, classes: Sequence[tuple[float, str]] = GRAD
 def absentees(
     students: DataFrame, absences: int = 10, grade: float = 10, outings: int = 4
 ) -> DataFrame:
-    """Many absences, low grade, often out; a SQL report over a registered view."""
-    students.createOrReplaceTempView("students")
+    """Many absences, low grade, often out, by SQL. The order of the conditions is fixed."""
     return students.sparkSession.sql(
-        "SELECT * FROM students WHERE goout > :outings AND absences > :absences AND G3 < :grade",
-        args={"absences": absences, "grade": grade, "outings": outings},
+        "SELECT * FROM {students} WHERE absences > :absences AND G3 < :grade AND goout > :outings",
+        args={"absences": absences, "grade": grade, "outings": outings}, students=students,
     )
 
 
 def by_address(students: DataFrame) -> DataFrame:
-    """Mean grade and head count by address; a SQL report over a registered view."""
-    students.createOrReplaceTempView("students")
+    """Mean grade and head count by address, by SQL. Names and order of the columns are fixed."""
     return students.sparkSession.sql(
-        "SELECT address, count(*) AS Student_Count, avg(G3) AS Average_G3"
-        " FROM students GROUP BY address"
+        "SELECT address, avg(G3) AS Average_G3, count(*) AS Student_Count"
+        " FROM {students} GROUP BY address", students=students,
     )
 
 

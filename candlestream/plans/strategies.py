@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructType
@@ -25,25 +25,46 @@ _WINDOW = ["event_time", "window_start", "window_end"]
 
 @dataclass(frozen=True)
 class Strategy:
-    """`enrich(candles, carried)` adds indicators; `carried` is the OBV carry column or None.
+    """`prepare` completes the candles; `indicators` are added to them, then the rules judge.
 
-    `rolling` strategies look back over a symbol's earlier candles; the others judge every
-    candle alone and need no shuffle beyond the one that made the candles.
+    Strategies with indicators look back over a symbol's earlier candles; the others judge every
+    candle alone and need no shuffle beyond the one that made the candles. Result columns, their
+    order, and the widths and delays of 10 and 60 seconds are fixed values.
     """
 
     name: str
-    enrich: Callable[[DataFrame, str | None], DataFrame]
+    prepare: Callable[[DataFrame], DataFrame]
     rules: RuleList
     columns: tuple[str, ...]
     width: str = "10 seconds"
     watermark: str = "10 seconds"
     trigger: str = "10 seconds"
-    rolling: bool = False
-    totals: bool = False
+    indicators: tuple[ind.Indicator, ...] = ()
+
+    @property
+    def rolling(self) -> bool:
+        return bool(self.indicators)
+
+    @property
+    def totals(self) -> bool:
+        """Whether some value depends on the whole history."""
+        return any(i.total_of for i in self.indicators)
+
+    @property
+    def reach(self) -> int:
+        """How many earlier candles a row's values depend on, totals apart."""
+        return max((i.reach for i in self.indicators), default=0)
 
     def label(self, candles: DataFrame, carried: str | None = None) -> DataFrame:
-        """Candles with indicators and advice; helper columns included."""
-        return advise(self.enrich(candles, carried), self.rules)
+        """Candles with indicators and advice; helper columns included. `carried` is the column
+        that running totals go on from."""
+        indicators = [
+            replace(i, carried=carried) if carried and i.total_of else i for i in self.indicators
+        ]
+        prepared = self.prepare(candles)
+        if indicators:
+            prepared = ind.add_indicators(prepared, *indicators)
+        return advise(prepared, self.rules)
 
     def schema(self, spark: SparkSession, time_type: DataType | None = None) -> StructType:
         """The schema of the result table."""
@@ -51,53 +72,35 @@ class Strategy:
         return self.label(candles).select(*self.columns).schema
 
 
-def _basic(c: DataFrame, _carried: str | None) -> DataFrame:
-    return single_candle_rsi(c)
-
-
-def _vwap(c: DataFrame, _carried: str | None) -> DataFrame:
+def _vwap(c: DataFrame) -> DataFrame:
     return risk_level(single_candle_rsi(candle_features(c)))
 
 
-def _multi(c: DataFrame, carried: str | None) -> DataFrame:
-    return ind.add_indicators(
-        risk_level(candle_features(c)),
-        ind.Rsi(warmup=False, digits=3), ind.MacdSma(), ind.VolumeSpike(),
-        ind.Bollinger(warmup=False, digits=3), ind.Obv(carried),
-    )
-
-
-def _rsi14(c: DataFrame, _carried: str | None) -> DataFrame:
-    return ind.add_indicators(complete(c), ind.Rsi())
-
-
-def _cross(c: DataFrame, _carried: str | None) -> DataFrame:
-    return ind.add_indicators(
-        candle_features(complete(c)), ind.Bollinger(), ind.SmaCross(), ind.Rsi()
-    )
-
-
 BASIC = Strategy(
-    "basic", _basic, signals.BASIC, (*_OHLC, "event_time", "rsi", "advice"),
+    "basic", single_candle_rsi, signals.BASIC, (*_OHLC, "event_time", "rsi", "advice"),
 )
 VWAP = Strategy(
     "vwap", _vwap, signals.VWAP, (*_FEATURES, "rsi", "risk_level", "advice", *_WINDOW),
 )
 MULTI = Strategy(
-    "multi", _multi, signals.MULTI,
+    "multi", lambda c: risk_level(candle_features(c)), signals.MULTI,
     (*_FEATURES, "RSI", "risk_level", "MACD_Histogram", "Volume_Spike", "BB_Upper", "BB_Lower",
      "OBV", "advice", "event_time"),
     width="60 seconds", watermark="60 seconds", trigger="60 seconds",
-    rolling=True, totals=True,
+    indicators=(
+        ind.Rsi(warmup=False, digits=3), ind.MacdSma(), ind.VolumeSpike(),
+        ind.Bollinger(warmup=False, digits=3), ind.Obv(),
+    ),
 )
 RSI14 = Strategy(
-    "rsi14", _rsi14, signals.RSI14, (*_PRICES, "event_time", "rsi_14", "advice"), rolling=True,
+    "rsi14", complete, signals.RSI14, (*_PRICES, "event_time", "rsi_14", "advice"),
+    indicators=(ind.Rsi(),),
 )
 CROSS = Strategy(
-    "cross", _cross, signals.CROSS,
+    "cross", lambda c: candle_features(complete(c)), signals.CROSS,
     (*_FEATURES, *_WINDOW, "bb_middle", "bb_upper", "bb_lower", "bb_signal", "sma_9", "sma_21",
      "sma_crossover", "rsi_14", "advice"),
-    rolling=True,
+    indicators=(ind.Bollinger(), ind.SmaCross(), ind.Rsi()),
 )
 
 STRATEGIES = {s.name: s for s in (BASIC, VWAP, MULTI, RSI14, CROSS)}

@@ -10,10 +10,12 @@ from pyspark.sql.types import StructType
 def read_csv(spark: SparkSession, path: str, schema: StructType, sep: str = ",") -> DataFrame:
     """CSV with a header. Columns are matched by name, so extra or reordered ones do no harm.
 
-    One line of the file names its columns; the schema's types are then cast, unreadable values
-    becoming NULL. No pass over the data to infer types.
+    The header of one file names the columns; a file of the folder with another header is an
+    error. The schema's types are then cast, unreadable values becoming NULL. No pass over the
+    data to infer types.
     """
-    named = spark.read.csv(path, header=True, sep=sep)
+    header = spark.read.csv(path, header=True, sep=sep).schema
+    named = spark.read.schema(header).csv(path, header=True, sep=sep, enforceSchema=False)
     return named.select(
         *[F.trim(field.name).try_cast(field.dataType).alias(field.name) for field in schema]
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlestream.operators.ingest import decode_trades, to_topic_payload
 
@@ -41,21 +42,27 @@ class Tls:
 
 
 def kafka_options(
-    servers: str, topic: str = TOPIC, starting: str = "latest", tls: Tls | None = None
+    servers: str, topic: str = TOPIC, starting: str = "latest", tls: Tls | None = None,
+    per_trigger: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. Offsets the broker no longer has are skipped, not an error."""
+    """Reader options of a stream. Offsets the broker no longer has are skipped, not an error;
+    `per_trigger` bounds how many are read at once, so that a backlog comes in parts."""
     return {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": "false",
+        **({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {}),
         **(tls.options() if tls else {}),
     }
 
 
 def replay_options(servers: str, topic: str = TOPIC, tls: Tls | None = None) -> dict[str, str]:
-    """Batch read of everything the topic holds now."""
-    return {**kafka_options(servers, topic, "earliest", tls), "endingOffsets": "latest"}
+    """Batch read of everything the topic holds now; lost offsets are an error."""
+    return {
+        **kafka_options(servers, topic, "earliest", tls), "endingOffsets": "latest",
+        "failOnDataLoss": "true",
+    }
 
 
 def sink_options(servers: str, topic: str = TOPIC, tls: Tls | None = None) -> dict[str, str]:
@@ -67,14 +74,23 @@ def sink_options(servers: str, topic: str = TOPIC, tls: Tls | None = None) -> di
     }
 
 
+# Offsets of a partition stay below this, so that partition and offset fit into one number.
+_OFFSETS = 10**15
+
+
+def _placed(raw: DataFrame) -> DataFrame:
+    """Decoded trades with `place`, which orders trades of equal time: an offset is unique within
+    its partition only, so the number holds both."""
+    place = (F.col("partition").cast("bigint") * _OFFSETS + F.col("offset")).alias("place")
+    return decode_trades(raw.select("*", place), keep=("place",))
+
+
 def trade_stream(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    """Decoded trades with the topic's `offset`, which orders trades of equal time."""
-    raw = spark.readStream.format("kafka").options(**options).load()
-    return decode_trades(raw, keep=("offset",))
+    return _placed(spark.readStream.format("kafka").options(**options).load())
 
 
 def replay_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
-    return decode_trades(spark.read.format("kafka").options(**options).load(), keep=("offset",))
+    return _placed(spark.read.format("kafka").options(**options).load())
 
 
 def write_trades(trades: DataFrame, options: dict[str, str]) -> None:

@@ -2,52 +2,47 @@
 
     <path>/candles/writer=<name>/batch_id=<n>/dt=<date>/...    appended by streams
     <path>/labels/writer=<name>/batch_id=<n>/...               indicators and advice
-    <path>/tail/<name>/<n mod 2>                               newest candles per symbol
-    <path>/published/<table>/version=<n>                       replaced as a whole
+    <path>/tail/<name>/<0 or 1>                                newest candles per symbol
+    <path>/published/<table>/...                               replaced as a whole
 
 A replayed batch overwrites its own `batch_id` folder, so it leaves the rows it left before.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
 
-from candlestream.operators.history import REACH
 from candlestream.operators.latest import top_rows
 from candlestream.schemas import candle_schema
 from candlestream.session import written
 
-_MARKER = "_SUCCESS"
 _FOLDER_KEYS = (
     StructField("writer", StringType()),
     StructField("batch_id", LongType()),
     StructField("dt", DateType()),
 )
 
-# Writer tasks one date is spread over before adaptive execution resizes them.
-_WRITERS_PER_DATE = 8
+# Files one date is spread over: of a whole table, and of one batch of a stream.
+_FILES_PER_DATE, _FILES_PER_BATCH = 8, 1
 
 
-def _by_date(df: DataFrame) -> DataFrame:
+def _by_date(df: DataFrame, files: int) -> DataFrame:
     """Rows placed and ordered for folders by date: few files per date instead of one per task
-    and date, and symbols in runs that a reader's filter can skip."""
-    spread = F.pmod(F.xxhash64("symbol", "event_time"), F.lit(_WRITERS_PER_DATE))
+    and date, and symbols in runs that a reader's filter can skip. A plain repartition, which also
+    holds inside a stream's batch, where adaptive execution is off and hints to it are dropped."""
+    spread = F.pmod(F.xxhash64("symbol", "event_time"), F.lit(files))
     dated = df.withColumns({"dt": F.to_date("event_time"), "spread": spread})
-    placed = dated.hint("rebalance", "dt", "spread").drop("spread")
+    placed = dated.repartition("dt", "spread").drop("spread")
     return placed.sortWithinPartitions("dt", "symbol", "event_time")
 
 
-def _exists(spark: SparkSession, pattern: str) -> list[str]:
-    """Paths that match `pattern`, by the cluster's own file system."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
-    return [status.getPath().toString() for status in found or []]
-
-
 @dataclass(frozen=True)
 class CandleStore:
     spark: SparkSession
@@ -71,15 +66,20 @@ class CandleStore:
         where adaptive execution is on.
         """
         path = self._batch("candles", name, batch_id)
-        stored, rows = written(_by_date(candles), path, ("dt",), self.spark)
+        files = _FILES_PER_BATCH if candles.sparkSession is not self.spark else _FILES_PER_DATE
+        stored, rows = written(_by_date(candles, files), path, ("dt",), self.spark)
         return stored.drop("dt"), rows
 
-    def candles(self, columns: StructType | None = None, since: str | None = None) -> DataFrame:
-        """All stored candles of all writers; columns a writer lacks are NULL.
+    def candles(
+        self, columns: StructType | None = None, since: str | None = None, name: str | None = None
+    ) -> DataFrame:
+        """Stored candles of one writer, or of all; columns a writer lacks are NULL.
 
-        `since` (a date) prunes whole `dt` folders before any file is opened.
+        `since` (a date) and `name` prune whole folders before any file is opened, though all
+        folders are listed.
         """
-        return self._table("candles", columns or candle_schema(), since)
+        rows = self._table("candles", columns or candle_schema(), since)
+        return rows if name is None else rows.filter(F.col("writer") == name)
 
     def _table(self, table: str, columns: StructType, since: str | None) -> DataFrame:
         schema = StructType([*columns.fields, *_FOLDER_KEYS])
@@ -87,53 +87,74 @@ class CandleStore:
         return rows if since is None else rows.filter(F.col("dt") >= F.lit(since).cast("date"))
 
     def tail(
-        self, n: int = REACH, columns: StructType | None = None, since: str | None = None
+        self, name: str, n: int, columns: StructType | None = None, since: str | None = None
     ) -> DataFrame:
-        """The newest n stored candles per symbol."""
-        return top_rows(self.candles(columns, since), n)
+        """The newest n stored candles per symbol of one writer: two writers may hold the same
+        candles, or candles of other widths."""
+        return top_rows(self.candles(columns, since, name), n)
 
     # Labelled candles of one writer
 
     def write_labels(self, rows: DataFrame, batch_id: int, name: str) -> DataFrame:
         path = self._batch("labels", name, batch_id)
-        return written(_by_date(rows), path, ("dt",), self.spark)[0].drop("dt")
+        return written(_by_date(rows, _FILES_PER_BATCH), path, ("dt",), self.spark)[0].drop("dt")
 
     def labels(self, columns: StructType, name: str, since: str | None = None) -> DataFrame:
         return self._table("labels", columns, since).filter(F.col("writer") == name)
 
-    def leave_out(self, rows: DataFrame, batch_id: int, name: str) -> None:
-        rows.write.mode("overwrite").parquet(self._batch("left_out", name, batch_id))
-
-    def left_out(self, columns: StructType, name: str) -> DataFrame:
-        """Trades a stream's audit found unusable or late."""
-        rows = self._table("left_out", columns, None)
-        return rows.filter(F.col("writer") == name).select(*columns.names)
+    # What a stream needs of its past: two slots in turn, never read and written at once
 
-    # What a stream needs of its past: two alternating slots, never read and written at once
+    def _slot(self, name: str, slot: int) -> str:
+        return f"{self.path}/tail/{name}/{slot}"
 
-    def _slot(self, name: str, batch_id: int) -> str:
-        return f"{self.path}/tail/{name}/{batch_id % 2}"
+    def write_state(self, rows: DataFrame, batch_id: int, name: str, slot: int) -> None:
+        written(rows.withColumn("state_of", F.lit(batch_id)), self._slot(name, slot))
 
-    def write_state(self, rows: DataFrame, batch_id: int, name: str) -> None:
-        written(rows.withColumn("state_of", F.lit(batch_id)), self._slot(name, batch_id))
+    def state(self, schema: StructType, batch_id: int, name: str) -> tuple[DataFrame | None, int]:
+        """The newest state left before batch `batch_id`, or None, and the slot for the next one.
 
-    def state(self, schema: StructType, batch_id: int, name: str) -> DataFrame | None:
-        """The state batch `batch_id` left, or None before the first batch."""
-        if batch_id < 0:
-            return None
+        Empty batches leave no state, so the newest may be some batches old. A replayed batch
+        finds its own state in one slot, and the one it started from in the other.
+        """
+        if batch_id == 0:
+            return None, 0
         full = StructType([*schema.fields, StructField("state_of", IntegerType())])
-        rows = self.spark.read.schema(full).parquet(self._slot(name, batch_id))
-        return rows.filter(F.col("state_of") == batch_id).drop("state_of")
+        found = []
+        for slot in (0, 1):
+            try:
+                rows = self.spark.read.schema(full).parquet(self._slot(name, slot))
+            except AnalysisException:  # not written yet
+                continue
+            of = rows.agg(F.max("state_of")).first()[0]
+            if of is not None and of < batch_id:
+                found.append((of, slot, rows))
+        if not found:
+            return None, 0
+        _, slot, rows = max(found, key=lambda x: x[0])
+        return rows.drop("state_of"), 1 - slot
 
     # Whole tables replaced at once
 
     def publish(self, df: DataFrame, batch_id: int, table: str = "indicators") -> DataFrame:
-        """Replace `table`. Readers see the old version until the new one is complete."""
-        path = f"{self.path}/published/{table}/version={batch_id:012d}"
-        return written(df, path)[0]
+        """Replace `table`. Readers see the old version until the new one is complete, and go on
+        reading it: every publication has a folder of its own."""
+        root = f"{self.path}/published/{table}"
+        folder = f"data/{batch_id:012d}-{uuid.uuid4().hex}"
+        rows, _ = written(df, f"{root}/{folder}")
+        self.spark.range(1).select(
+            F.lit(batch_id).cast("bigint").alias("version"), F.current_timestamp().alias("at"),
+            F.lit(folder).alias("folder"),
+        ).coalesce(1).write.mode("append").parquet(f"{root}/versions")
+        return rows
 
     def published(self, table: str = "indicators") -> DataFrame:
-        done = _exists(self.spark, f"{self.path}/published/{table}/version=*/{_MARKER}")
-        if not done:
-            raise ValueError(f"{table} was never published")
-        return self.spark.read.parquet(max(done).removesuffix(f"/{_MARKER}"))
+        """The newest complete version; of one published again, the last."""
+        root = f"{self.path}/published/{table}"
+        try:
+            versions = self.spark.read.schema(
+                "version bigint, at timestamp, folder string"
+            ).parquet(f"{root}/versions")
+        except AnalysisException as error:
+            raise ValueError(f"{table} was never published") from error
+        newest = versions.agg(F.max_by("folder", F.struct("version", "at"))).first()[0]
+        return self.spark.read.parquet(f"{root}/{newest}")

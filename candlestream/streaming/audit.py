@@ -1,58 +1,44 @@
-"""Audit of trades that no candle will count: unusable ones and late ones."""
+"""Audit of trades that no candle counts: unusable ones and late ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType, TimestampType
 
-from candlestream.sources.store import CandleStore
-from candlestream.streaming.jobs import start
+COUNTED, LATE, UNUSABLE, OPEN = "counted", "late", "no event time", "open"
 
-UNUSABLE, LATE = "no event time", "late"
-_STATE = StructType().add("newest", TimestampType())
 
+def trade_audit(trades: DataFrame, candles: DataFrame, width: str) -> DataFrame:
+    """(symbol, window_start, fate, n): what became of all `trades` a stream was given.
 
-def _reason(width: str, delay: str, newest: object) -> Column:
-    reason = F.when(F.col("event_time").isNull(), UNUSABLE)
-    if newest is None:
-        return reason
-    watermark = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {delay}")
-    return reason.when(F.col("candle.end") <= watermark, LATE)
-
-
-def stream_audit(
-    trades: DataFrame,
-    store: CandleStore,
-    name: str,
-    width: str,
-    delay: str,
-    trigger: str | None = None,
-) -> StreamingQuery:
-    """Keep every trade that has no event time, or arrives after its candle was closed.
-
-    A candle counts as closed when its window ended at or before the newest event time of all
-    earlier batches less `delay`. That is what the aggregation drops when its batches are not
-    back to back; under steady load Spark grants late rows one more batch.
+    `candles` are the stream's final ones with `n_trades`. Of a window's trades its candle counts
+    that many; the others came too late. A window without a candle is open, unless it ended
+    before the end of a candle that is final: then all of its trades were late. Each trade is in
+    one row, the audit can be run at any time, and its answer does not depend on how the stream
+    was cut into batches.
     """
-    kept = [c for c in trades.columns if c != "candle"]
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        past = store.state(_STATE, batch_id - 1, name)
-        newest = None if past is None else past.agg(F.max("newest")).first()[0]
-        seen = Observation()
-        # `window` drops rows without a time, so it gets a stand-in for them.
-        stand_in = F.coalesce("event_time", F.lit("1970-01-01").cast("timestamp"))
-        rows = (
-            batch.observe(seen, F.max("event_time").alias("newest"))
-            .withColumn("candle", F.window(stand_in, width))
-            .withColumn("reason", _reason(width, delay, newest))
-            .filter("reason IS NOT NULL").select(*kept, "reason")
-        )
-        store.leave_out(rows, batch_id, name)
-        times = [t for t in (newest, seen.get["newest"]) if t is not None]
-        state = store.spark.createDataFrame([(max(times, default=None),)], _STATE)
-        store.write_state(state, batch_id, name)
-
-    return start(trades.writeStream.foreachBatch(run), store, name, trigger)
+    keys = ["symbol", "window_start"]
+    timed = trades.filter("event_time IS NOT NULL").groupBy(
+        "symbol", F.window("event_time", width).alias("candle")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    given = timed.select(
+        "symbol", F.col("candle.start").alias("window_start"),
+        F.col("candle.end").alias("end"), "n",
+    )
+    final = candles.groupBy(*keys).agg(F.sum("n_trades").alias("counted"))
+    last = candles.agg(F.max("window_end").alias("last"))
+    same = [given[k].eqNullSafe(final[k]) for k in keys]
+    judged = given.join(final, same, "left").select(
+        given["symbol"], given["window_start"], "end", "n",
+        F.coalesce("counted", F.lit(0)).alias("counted"), F.isnull("counted").alias("missing"),
+    ).withColumn("last", last.scalar())
+    rest = F.when(F.col("missing") & ~F.coalesce(F.col("end") <= F.col("last"), F.lit(False)), OPEN)
+    fates = F.explode(F.array(
+        F.struct(F.lit(COUNTED).alias("fate"), F.col("counted").alias("n")),
+        F.struct(rest.otherwise(LATE).alias("fate"), (F.col("n") - F.col("counted")).alias("n")),
+    )).alias("f")
+    unusable = trades.filter("event_time IS NULL").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
+    return judged.select(*keys, fates).select(*keys, "f.fate", "f.n").filter("n > 0").unionByName(
+        unusable.select("symbol", F.lit(None).cast("timestamp").alias("window_start"),
+                        F.lit(UNUSABLE).alias("fate"), "n")
+    )

@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import DoubleType, StructType
+from pyspark.sql.types import StructType
 
 from candlestream.operators.candles import ohlcv
-from candlestream.operators.history import REACH, ROWS_PER_BLOCK, drop_halo
+from candlestream.operators.history import ROWS_PER_BLOCK, drop_halo
+from candlestream.operators.indicators import EXACT_TOTAL
 from candlestream.operators.latest import top_rows
 from candlestream.plans.batch import bounded_history
 from candlestream.plans.strategies import Strategy
 from candlestream.sources.store import CandleStore
 
+# Format and options of an outside store.
+Sink = tuple[str, dict[str, str]]
+
 # What a stream remembers of a candle: the candle, and the running volume total up to it.
 _TOTAL, _CARRIED, _KNOWN = "obv_total", "carried", "known"
 
 
 def start(
-    writer: DataStreamWriter, store: CandleStore, name: str, trigger: str | None
+    writer: DataStreamWriter, store: CandleStore, name: str, trigger: str, once: bool
 ) -> StreamingQuery:
     """Start under `name`; Spark refuses a second active stream of that name, and with it a
-    second user of its checkpoint. `trigger` None handles what is there now and stops."""
-    timing = {"availableNow": True} if trigger is None else {"processingTime": trigger}
+    second user of its checkpoint. `once` handles what is there now and stops."""
+    timing = {"availableNow": True} if once else {"processingTime": trigger}
     return (
         writer.queryName(name).option("checkpointLocation", store.checkpoint(name))
         .trigger(**timing).start()
@@ -39,20 +43,25 @@ def stream_candles(
     watermark: str | None = None,
     tie: str | None = None,
     trigger: str | None = None,
-    sink: tuple[str, dict[str, str]] | None = None,
+    sink: Sink | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Final candles, labelled row by row, straight into a Parquet folder or another `sink`
     (format and options, such as a document store's). Not for rolling strategies. Append mode: a
-    candle is written once, after the watermark has passed it."""
+    candle is written once, after the watermark has passed it. The folder also holds `n_trades`,
+    which the audit needs."""
     if strategy.rolling:
         raise ValueError(f"{strategy.name} looks back over candles: use stream_labels")
     candles = ohlcv(
-        trades, width or strategy.width, tie=tie, watermark=watermark or strategy.watermark
+        trades, width or strategy.width, tie=tie, watermark=watermark or strategy.watermark,
+        counted=sink is None,
     )
-    rows = strategy.label(candles).select(*strategy.columns)
+    window = [] if "window_start" in strategy.columns else ["window_start", "window_end"]
+    extra = [] if sink else [*window, "n_trades"]
+    rows = strategy.label(candles).select(*strategy.columns, *extra)
     kind, options = sink or ("parquet", {"path": f"{store.path}/streamed/{name}"})
     writer = rows.writeStream.format(kind).options(**options).outputMode("append")
-    return start(writer, store, name, trigger)
+    return start(writer, store, name, trigger or strategy.trigger, once)
 
 
 def streamed(store: CandleStore, name: str) -> DataFrame:
@@ -60,7 +69,7 @@ def streamed(store: CandleStore, name: str) -> DataFrame:
 
 
 def remembered(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add(_TOTAL, DoubleType())
+    return StructType([*schema.fields]).add(_TOTAL, EXACT_TOTAL)
 
 
 def label_batch(
@@ -76,16 +85,17 @@ def label_batch(
     The last stored candle of a symbol carries its running total; those before it carry 0, so
     the total over stored and new rows continues the one over the whole history.
     """
-    empty_total = F.lit(None).cast("double")
+    empty_total = F.lit(None).cast(EXACT_TOTAL)
     history = new.withColumns({_CARRIED: empty_total, _KNOWN: F.lit(False)})
     if past is not None:
         newest = F.max("event_time").over(Window.partitionBy("symbol"))
         known = past.withColumns({
-            _CARRIED: F.when(F.col("event_time") == newest, F.col(_TOTAL)).otherwise(0.0),
+            _CARRIED: F.when(F.col("event_time") == newest, F.col(_TOTAL))
+            .otherwise(F.lit(0).cast(EXACT_TOTAL)),
             _KNOWN: F.lit(True),
         }).drop(_TOTAL)
         history = known.unionByName(history)
-    history = bounded_history(history, rows, width, rows_per_block)
+    history = bounded_history(history, rows, width, strategy.reach, rows_per_block)
     labelled = drop_halo(strategy.label(history, _CARRIED)).filter(~F.col(_KNOWN))
     if _TOTAL not in labelled.columns:
         labelled = labelled.withColumn(_TOTAL, empty_total)
@@ -102,28 +112,39 @@ def stream_labels(
     tie: str | None = None,
     trigger: str | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
+    sink: Sink | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Final candles into the store, and each new candle labelled over its symbol's history.
 
-    A batch reads its own candles and REACH stored ones per symbol, however long the history
-    is. All its outputs are folders named by the batch, so a replay changes nothing.
+    A batch reads its own candles and, of each symbol that has one, as many stored candles as the
+    strategy looks back, however long the history is. All its outputs are folders named by the
+    batch, so a replay changes nothing. An empty batch writes nothing. A `sink` (format and
+    options) gets the labels too, appended batch by batch; a replay appends them again, as to any
+    store without transactions.
     """
     width = width or strategy.width
     candles = ohlcv(trades, width, tie=tie, watermark=watermark or strategy.watermark)
     schema = remembered(candles.schema)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        past = store.state(schema, batch_id - 1, name)
         new, rows = store.append(batch, batch_id, name)
-        if rows:
-            done = store.write_labels(
-                label_batch(new, rows, past, strategy, width, rows_per_block),
-                batch_id, name,
-            ).select(*schema.names)
-            past = done if past is None else past.unionByName(done)
-            past = top_rows(past, REACH)
-        if past is None:
-            past = store.spark.createDataFrame([], schema)
-        store.write_state(past, batch_id, name)
-
-    return start(candles.writeStream.outputMode("append").foreachBatch(run), store, name, trigger)
+        if not rows:
+            return
+        past, slot = store.state(schema, batch_id, name)
+        near = past
+        if past is not None:
+            symbols = new.select("symbol").distinct()
+            near = past.join(symbols, past["symbol"].eqNullSafe(symbols["symbol"]), "left_semi")
+        labels = store.write_labels(
+            label_batch(new, rows, near, strategy, width, rows_per_block), batch_id, name
+        )
+        if sink:
+            kind, options = sink
+            labels.select(*strategy.columns).write.format(kind).options(**options).mode("append").save()
+        done = labels.select(*schema.names)
+        state = done if past is None else past.unionByName(done)
+        store.write_state(top_rows(state, strategy.reach), batch_id, name, slot)
+
+    writer = candles.writeStream.outputMode("append").foreachBatch(run)
+    return start(writer, store, name, trigger or strategy.trigger, once)

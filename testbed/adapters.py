@@ -36,9 +36,12 @@ def trades(spark: SparkSession, sf_dir: str, offset: float = PRICE_OFFSET) -> Da
     return as_trades(table(spark, sf_dir, "events"), offset=offset)
 
 
-def trade_stream(spark: SparkSession, path: str, offset: float = PRICE_OFFSET) -> DataFrame:
+def trade_stream(
+    spark: SparkSession, path: str, offset: float = PRICE_OFFSET, files_per_batch: int | None = None
+) -> DataFrame:
     """Streams need TIMESTAMP for their watermark; the files hold zone-less times."""
-    return as_trades(replay_stream(spark, path, EVENT_SCHEMA), "CAST(ts AS TIMESTAMP)", offset)
+    events = replay_stream(spark, path, EVENT_SCHEMA, files_per_batch=files_per_batch)
+    return as_trades(events, "CAST(ts AS TIMESTAMP)", offset)
 
 
 def zoneless(df: DataFrame) -> DataFrame:

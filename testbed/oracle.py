@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-from candlestream.plans import panels
-from candlestream.plans import signals
-from candlestream.functions.rules import RuleList
-
 _TRADES = """trades AS (
   SELECT event_type AS symbol, value + 10000.0 AS price,
          CAST(json_extract_string(props, '$.k') AS DOUBLE) AS quantity,
@@ -13,8 +9,8 @@ _TRADES = """trades AS (
   FROM events)"""
 
 
-def _candles(name: str = "candles", width: str = "1 HOUR", tie: bool = False) -> str:
-    order = "(event_time, event_id)" if tie else "event_time"
+def _candles(name: str = "candles", width: str = "1 HOUR") -> str:
+    order = "(event_time, event_id)"
     return f"""{name} AS (
   SELECT symbol, arg_min(price, {order}) AS open, max(price) AS high, min(price) AS low,
          arg_max(price, {order}) AS close, sum(quantity) AS volume, avg(price) AS avg_price,
@@ -79,10 +75,10 @@ strength AS (SELECT *, CASE WHEN l = 0 THEN 100
   ELSE {_half_up("100 - 100 / (1 + g / l)", 3)} END AS RSI FROM means)"""
 
 
-def _macd(source: str) -> str:
-    return f"""macd AS (SELECT *, {_over("avg(close)", 11)} - {_over("avg(close)", 25)} AS macd_line
-  FROM {source}),
-signal AS (SELECT *, {_over("avg(macd_line)", 8)} AS signal_line FROM macd),
+def _macd(source: str, fast: int = 12, slow: int = 26, signal: int = 9) -> str:
+    line = f'{_over("avg(close)", fast - 1)} - {_over("avg(close)", slow - 1)}'
+    return f"""macd AS (SELECT *, {line} AS macd_line FROM {source}),
+signal AS (SELECT *, {_over("avg(macd_line)", signal - 1)} AS signal_line FROM macd),
 histogram AS (SELECT *, {_half_up("macd_line - signal_line", 3)} AS MACD_Histogram FROM signal)"""
 
 
@@ -93,17 +89,18 @@ spikes AS (SELECT *, CAST(CASE WHEN volume > past_volume * 1.5 THEN 1 ELSE 0 END
   AS Volume_Spike FROM volumes)"""
 
 
-def _band_stats(source: str) -> str:
-    return f"""stats AS (SELECT *, {_over("avg(close)", 19)} AS mid,
-  {_over("stddev_samp(close)", 19)} AS dev, {_over("count(close)", 19)} AS n20 FROM {source})"""
+def _band_stats(source: str, n: int = 20) -> str:
+    return f"""stats AS (SELECT *, {_over("avg(close)", n - 1)} AS mid,
+  {_over("stddev_samp(close)", n - 1)} AS dev,
+  {_over("count(close)", n - 1)} >= {n} AS full_band FROM {source})"""
 
 
 _BANDS_ROUNDED = f"""bands AS (SELECT *, {_half_up("mid + 2 * dev", 3)} AS BB_Upper,
   {_half_up("mid - 2 * dev", 3)} AS BB_Lower FROM stats)"""
 
-_BANDS_WARM = """warm AS (SELECT *, CASE WHEN n20 >= 20 THEN mid END AS bb_middle,
-  CASE WHEN n20 >= 20 THEN mid + 2 * dev END AS bb_upper,
-  CASE WHEN n20 >= 20 THEN mid - 2 * dev END AS bb_lower FROM stats),
+_BANDS_WARM = """warm AS (SELECT *, CASE WHEN full_band THEN mid END AS bb_middle,
+  CASE WHEN full_band THEN mid + 2 * dev END AS bb_upper,
+  CASE WHEN full_band THEN mid - 2 * dev END AS bb_lower FROM stats),
 bands AS (SELECT *, CASE WHEN bb_upper IS NULL THEN 'NOT ENOUGH DATA'
   WHEN close > bb_upper THEN 'ABOVE UPPER BAND' WHEN close < bb_lower THEN 'BELOW LOWER BAND'
   ELSE 'INSIDE BAND' END AS bb_signal FROM warm)"""
@@ -113,28 +110,117 @@ def _obv(source: str) -> str:
     return f"""steps AS (SELECT *, close - lag(close) OVER {_W}) AS step FROM {source}),
 signed AS (SELECT *, CASE WHEN step > 0 THEN volume WHEN step < 0 THEN -volume ELSE 0 END
   AS v FROM steps),
-totals AS (SELECT *, {_half_up(f"sum(v) OVER {_W} ROWS UNBOUNDED PRECEDING)", 3)} AS OBV FROM signed),
+totals AS (SELECT *, CAST(round(sum(CAST(v AS DECIMAL(28, 10))) OVER {_W}
+  ROWS UNBOUNDED PRECEDING), 3) AS DOUBLE) AS OBV FROM signed),
 obvs AS (SELECT *, lag(OBV) OVER {_W}) AS OBV_prv FROM totals)"""
 
 
-def _cross(source: str, digits: int | None = None) -> str:
-    gap = "sma_9 - sma_21" if digits is None else f"round(sma_9 - sma_21, {digits})"
-    return f"""smas AS (SELECT *,
-  CASE WHEN {_over("count(close)", 8)} >= 9 THEN {_over("avg(close)", 8)} END AS sma_9,
-  CASE WHEN {_over("count(close)", 20)} >= 21 THEN {_over("avg(close)", 20)} END AS sma_21
-  FROM {source}),
+def _cross(source: str, digits: int | None = None, short: int = 9, long: int = 21) -> str:
+    near, far = f"sma_{short}", f"sma_{long}"
+    gap = f"{near} - {far}" if digits is None else f"round({near} - {far}, {digits})"
+
+    def mean(n: int) -> str:
+        return f'CASE WHEN {_over("count(close)", n - 1)} >= {n} THEN {_over("avg(close)", n - 1)} END'
+
+    return f"""smas AS (SELECT *, {mean(short)} AS {near}, {mean(long)} AS {far} FROM {source}),
 gaps AS (SELECT *, {gap} AS gap FROM smas),
 lagged AS (SELECT *, lag(gap) OVER {_W}) AS prev_gap FROM gaps),
-crossed AS (SELECT *, CASE WHEN sma_9 IS NULL OR sma_21 IS NULL THEN 'NOT ENOUGH DATA'
+crossed AS (SELECT *, CASE WHEN {near} IS NULL OR {far} IS NULL THEN 'NOT ENOUGH DATA'
   WHEN prev_gap <= 0 AND gap > 0 THEN 'GOLDEN CROSS'
   WHEN prev_gap >= 0 AND gap < 0 THEN 'DEATH CROSS'
-  WHEN gap > 0 THEN 'SMA9 ABOVE SMA21' WHEN gap < 0 THEN 'SMA9 BELOW SMA21'
+  WHEN gap > 0 THEN 'SMA{short} ABOVE SMA{long}' WHEN gap < 0 THEN 'SMA{short} BELOW SMA{long}'
   ELSE 'NO CROSS' END AS sma_crossover FROM lagged)"""
 
 
-def _case(rules: RuleList) -> str:
-    arms = " ".join(f"WHEN {test} THEN '{label}'" for test, label in rules)
-    return f"CASE {arms} ELSE '{rules.default}' END AS advice"
+# The five rule lists, written out (fixed values).
+_ADVICE_BASIC = """CASE
+  WHEN rsi >= 70
+    THEN 'STRONG SELL (Overbought)'
+  WHEN rsi <= 30
+    THEN 'STRONG BUY (Oversold)'
+  ELSE 'HOLD (Neutral)' END AS advice"""
+
+_ADVICE_VWAP = """CASE
+  WHEN rsi <= 30 AND trend = 'UP' AND risk_level <> 'HIGH'
+    THEN 'STRONG BUY (Oversold + Uptrend)'
+  WHEN rsi <= 30 AND risk_level = 'HIGH'
+    THEN 'WATCH BUY - HIGH RISK'
+  WHEN rsi >= 70 AND trend = 'DOWN'
+    THEN 'STRONG SELL (Overbought + Downtrend)'
+  WHEN rsi >= 70
+    THEN 'SELL WARNING (Overbought)'
+  WHEN volatility >= 2
+    THEN 'HOLD - HIGH VOLATILITY'
+  WHEN close > vwap AND trend = 'UP'
+    THEN 'BUY SIGNAL (Above VWAP)'
+  WHEN close < vwap AND trend = 'DOWN'
+    THEN 'SELL SIGNAL (Below VWAP)'
+  ELSE 'HOLD (Neutral)' END AS advice"""
+
+_ADVICE_MULTI = """CASE
+  WHEN risk_level = 'HIGH'
+    THEN 'EXTREME RISK - AVOID TRADING'
+  WHEN price_change_pct > 5 AND close > BB_Upper AND OBV < 0 AND Volume_Spike = 0
+    THEN 'POTENTIAL BULL TRAP - CAUTION ADVISED'
+  WHEN close <= BB_Lower AND RSI < 30 AND Volume_Spike = 1 AND OBV > OBV_prv AND MACD_Histogram > 0 AND candle_strength > 0.7
+    THEN 'STRONG BUY SIGNAL - POTENTIAL REVERSAL FROM THE BOTTOM'
+  WHEN close >= BB_Upper AND RSI > 70 AND Volume_Spike = 1 AND OBV < OBV_prv AND MACD_Histogram < 0 AND candle_strength > 0.7
+    THEN 'STRONG SELL SIGNAL - POTENTIAL REVERSAL FROM THE TOP'
+  WHEN trend = 'UP' AND close > vwap AND close <= BB_Upper AND OBV > OBV_prv AND MACD_Histogram > 0 AND RSI BETWEEN 40 AND 65 AND risk_level <> 'HIGH' AND volatility < 2
+    THEN 'BUY TREND - PRICE SHOWING UPWARD MOMENTUM'
+  WHEN trend = 'DOWN' AND close < vwap AND OBV < OBV_prv AND MACD_Histogram < 0
+    THEN 'SELL TREND - PRICE SHOWING DOWNWARD MOMENTUM'
+  ELSE 'HOLD (Neutral)' END AS advice"""
+
+_ADVICE_RSI14 = """CASE
+  WHEN rsi_14 IS NULL
+    THEN 'NOT ENOUGH DATA'
+  WHEN rsi_14 <= 30
+    THEN 'BUY SIGNAL'
+  WHEN rsi_14 >= 70
+    THEN 'SELL SIGNAL'
+  ELSE 'HOLD' END AS advice"""
+
+_ADVICE_CROSS = """CASE
+  WHEN rsi_14 <= 30 AND sma_crossover = 'GOLDEN CROSS'
+    THEN 'SUPER BUY (RSI<30 + Golden Cross)'
+  WHEN rsi_14 >= 70 AND sma_crossover = 'DEATH CROSS'
+    THEN 'SUPER SELL (RSI>70 + Death Cross)'
+  WHEN rsi_14 <= 30
+    THEN 'BUY SIGNAL - OVERSOLD (RSI < 30)'
+  WHEN rsi_14 >= 70
+    THEN 'SELL SIGNAL - OVERBOUGHT (RSI > 70)'
+  WHEN sma_crossover = 'GOLDEN CROSS'
+    THEN 'BUY SIGNAL - GOLDEN CROSS'
+  WHEN sma_crossover = 'DEATH CROSS'
+    THEN 'SELL SIGNAL - DEATH CROSS'
+  WHEN close < bb_lower
+    THEN 'WATCH BUY - BELOW LOWER BAND'
+  WHEN close > bb_upper
+    THEN 'WATCH SELL - ABOVE UPPER BAND'
+  ELSE 'HOLD' END AS advice"""
+
+# Row limits and titles of the panels (fixed values).
+_CHART_ROWS, _INDICATOR_ROWS, _TABLE_ROWS = 500, 300, 15
+_BAND_TITLES = {
+    "close": "Giá đóng cửa",
+    "bb_upper": "BB Thượng (Upper)",
+    "bb_middle": "BB Trung dung (Middle)",
+    "bb_lower": "BB Hạ (Lower)",
+}
+_SMA_RSI_TITLES = {
+    "sma_9": "SMA 9 (Ngắn hạn)",
+    "sma_21": "SMA 21 (Dài hạn)",
+    "rsi_14": "Sức mạnh RSI-14",
+}
+_SIGNAL_TITLES = {
+    "event_time": "Thời gian (UTC)",
+    "symbol": "Cặp tỷ giá",
+    "close": "Giá đóng",
+    "bb_signal": "Trạng thái Bollinger",
+    "sma_crossover": "Giao cắt SMA",
+    "advice": "Chiến lược khuyến nghị",
+}
 
 
 def _edge(value: str) -> str:
@@ -160,7 +246,7 @@ _MULTI_PARTS = (
     _candles(), _FEATURES, f"risks AS (SELECT *, {_RISK} FROM features)",
     _change("risks", 3), _RSI_ROUNDED, _macd("strength"), _spike("histogram"),
     _band_stats("spikes"), _BANDS_ROUNDED, _obv("bands"),
-    f"labels AS (SELECT *, {_case(signals.MULTI)} FROM obvs)",
+    f"labels AS (SELECT *, {_ADVICE_MULTI} FROM obvs)",
 )
 _MULTI_ROW = (
     f"symbol, event_time, trend, risk_level, Volume_Spike, advice, "
@@ -169,7 +255,7 @@ _MULTI_ROW = (
 _CROSS_PARTS = (
     _candles(), _FEATURES, _band_stats("features"), _BANDS_WARM, _cross("bands"),
     _change("crossed"), _RSI_WARM,
-    f"labels AS (SELECT *, {_case(signals.CROSS)} FROM strength)",
+    f"labels AS (SELECT *, {_ADVICE_CROSS} FROM strength)",
 )
 _CROSS_ROW = (
     "symbol, event_time, window_start, window_end, trend, bb_signal, sma_crossover, advice, "
@@ -178,7 +264,7 @@ _CROSS_ROW = (
 _VWAP_PARTS = (
     _candles(), _FEATURES,
     f"scored AS (SELECT *, {_SINGLE_RSI}, {_RISK} FROM features)",
-    f"labels AS (SELECT *, {_case(signals.VWAP)} FROM scored)",
+    f"labels AS (SELECT *, {_ADVICE_VWAP} FROM scored)",
 )
 _VWAP_ROW = (
     "symbol, event_time, window_start, window_end, trend, risk_level, advice, "
@@ -190,7 +276,7 @@ _CLOSED = "window_end <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events)"
 _MIXED_PARTS = (
     *_VWAP_PARTS, _candles("sixes", "6 HOURS"),
     f"basic AS (SELECT *, {_SINGLE_RSI} FROM sixes)",
-    f"basic_labels AS (SELECT *, {_case(signals.BASIC)} FROM basic)",
+    f"basic_labels AS (SELECT *, {_ADVICE_BASIC} FROM basic)",
     """mixed AS (
   SELECT symbol, open, high, low, close, volume, vwap, rsi, advice, event_time, window_start
   FROM labels
@@ -207,7 +293,7 @@ def _newest(source: str, time: str, n: int, where: str = "TRUE") -> str:
 
 def _chart(time: str, columns: tuple[str, ...], where: str) -> str:
     return _with(
-        *_MIXED_PARTS, _newest("mixed", time, panels.CHART_ROWS, where),
+        *_MIXED_PARTS, _newest("mixed", time, _CHART_ROWS, where),
         select=f"SELECT symbol, time, advice, {_r(*columns)} FROM newest",
     )
 
@@ -269,6 +355,9 @@ _RAW = f"""'{{"s":"' || event_type || '","p":"' ||
   ',"E":' || (epoch_us(ts) // 1000) || '}}'"""
 _BAD = "event_type = 'error' OR (event_type IN ('purchase', 'signup') AND value < 1)"
 
+_FRACTIONAL = f"""fractional AS (SELECT * REPLACE (
+  {_half_up("volume * (close - 10000.0) / 7000", 8)} AS volume) FROM candles)"""
+
 ORACLE: dict[str, str] = {
     "trades_decode": f"""SELECT event_type AS symbol, round(value, 6) AS price,
   CAST({_K} AS DOUBLE) AS quantity, (epoch_us(ts) // 1000) AS timestamp,
@@ -286,7 +375,7 @@ ORACLE: dict[str, str] = {
     "candles_6h": _with(
         _candles(width="6 HOURS"), select=f"SELECT {_CANDLE_ROW} FROM candles"
     ),
-    "candles_tie_break": _with(_candles(tie=True), select=f"SELECT {_CANDLE_ROW} FROM candles"),
+    "candles_tie_break": _with(_candles(), select=f"SELECT {_CANDLE_ROW} FROM candles"),
     "candle_features": _with(
         _candles(), _FEATURES,
         select=f"SELECT symbol, event_time, trend, {_r(*_MOVES, 'body_size', 'range_size')}"
@@ -311,6 +400,20 @@ ORACLE: dict[str, str] = {
         _macd("candles"), last="histogram",
         columns=("macd_line", "signal_line", "MACD_Histogram"),
     ),
+    "macd_wide_split": _rolling(
+        _macd("candles", 50, 100, 20), last="histogram", columns=("macd_line", "signal_line"),
+    ),
+    "bollinger_wide_split": _rolling(
+        _band_stats("candles", 100), _BANDS_WARM, last="bands",
+        columns=("bb_middle", "bb_upper", "bb_lower"),
+    ),
+    "sma_cross_wide_split": _rolling(
+        _cross("candles", 9, 50, 200), last="crossed", columns=("sma_50", "sma_200"),
+        plain="sma_crossover, ",
+    ),
+    "obv_fractional": _rolling(
+        _FRACTIONAL, _obv("fractional"), last="obvs", columns=("volume", "OBV")
+    ),
     "volume_spike": _rolling(
         _spike("candles"), last="spikes", columns=("past_volume",), plain="Volume_Spike, "
     ),
@@ -333,18 +436,25 @@ ORACLE: dict[str, str] = {
     ),
     "advice_basic": _with(
         _candles(), f"scored AS (SELECT *, {_SINGLE_RSI} FROM candles)",
-        select=f"SELECT symbol, event_time, {_case(signals.BASIC)}, {_r(*_OHLC, 'rsi')}"
+        select=f"SELECT symbol, event_time, {_ADVICE_BASIC}, {_r(*_OHLC, 'rsi')}"
         " FROM scored",
     ),
     "advice_vwap": _with(*_VWAP_PARTS, select=f"SELECT {_VWAP_ROW} FROM labels"),
     "advice_multi": _with(*_MULTI_PARTS, select=f"SELECT {_MULTI_ROW} FROM labels"),
     "advice_rsi14": _rolling(
         _change("candles"), _RSI_WARM, last="strength", columns=(*_PRICES, "rsi_14"),
-        plain=f"{_case(signals.RSI14)}, ",
+        plain=f"{_ADVICE_RSI14}, ",
+    ),
+    "advice_stored_rsi14": _with(
+        _candles(),
+        """near AS (SELECT * FROM candles WHERE symbol IN ('click', 'view', 'purchase')
+  AND event_time >= (SELECT max(ts) FROM events) - INTERVAL 96 HOURS)""",
+        _change("near"), _RSI_WARM,
+        select=f"SELECT symbol, event_time, {_ADVICE_RSI14}, {_r(*_PRICES, 'rsi_14')} FROM strength",
     ),
     "advice_cross": _with(*_CROSS_PARTS, select=f"SELECT {_CROSS_ROW} FROM labels"),
     "chart_event_time": _with(
-        *_VWAP_PARTS, _newest("labels", "event_time", panels.CHART_ROWS),
+        *_VWAP_PARTS, _newest("labels", "event_time", _CHART_ROWS),
         select=f"SELECT symbol, time, advice, {_r(*_OHLC, 'rsi')} FROM newest",
     ),
     "chart_window_start": _chart(
@@ -354,9 +464,9 @@ ORACLE: dict[str, str] = {
         "coalesce(window_start, event_time)", (*_OHLC, "volume", "vwap", "rsi"),
         "window_start IS NOT NULL OR event_time IS NOT NULL",
     ),
-    "panel_bands": _panel(panels.INDICATOR_ROWS, panels.BAND_TITLES),
-    "panel_sma_rsi": _panel(panels.INDICATOR_ROWS, panels.SMA_RSI_TITLES),
-    "table_signals": _panel(panels.TABLE_ROWS, panels.SIGNAL_TITLES, lead=""),
+    "panel_bands": _panel(_INDICATOR_ROWS, _BAND_TITLES),
+    "panel_sma_rsi": _panel(_INDICATOR_ROWS, _SMA_RSI_TITLES),
+    "table_signals": _panel(_TABLE_ROWS, _SIGNAL_TITLES, lead=""),
     "latest_per_symbol": _with(
         _candles(), _newest("candles", "event_time", 100),
         select=f"SELECT {_CANDLE_ROW} FROM newest",
@@ -420,8 +530,21 @@ LIMIT 10""",
         select="""SELECT symbol, candles, coalesce(late, 0) AS late
   FROM closed LEFT JOIN late USING (symbol)""",
     ),
+    # Trades of closed windows once; the first quarter's purchases and the second's errors again.
+    "stream_late_continuous": """WITH span AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events),
+parts AS (SELECT event_type AS symbol, floor((epoch_us(ts) - a) * 4 / (b - a + 1)) AS part,
+    time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR
+      <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) AS closed
+  FROM events, span),
+fates AS (SELECT symbol, count(*) AS n, count(*) FILTER (closed) AS counted,
+    count(*) FILTER (part = 0 AND symbol = 'purchase') AS late,
+    count(*) FILTER (part = 1 AND symbol = 'error') AS unusable
+  FROM parts GROUP BY symbol)
+SELECT symbol, n + late + unusable AS trades, counted, late, unusable FROM fates""",
 }
 # Same results by another way of computing them.
+ORACLE["panel_bands_stored"] = ORACLE["panel_bands"]
+ORACLE["obv_fractional_split"] = ORACLE["obv_fractional"]
 ORACLE["advice_multi_split"] = ORACLE["advice_multi"]
 ORACLE["advice_cross_split"] = ORACLE["advice_cross"]
 ORACLE["store_published"] = ORACLE["advice_rsi14"]

@@ -5,33 +5,34 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from candlestream.functions.features import candle_features, risk_level, single_candle_rsi
 from candlestream.operators import indicators as ind
 from candlestream.operators.candles import ohlcv
-from candlestream.operators.history import drop_halo
+from candlestream.operators.history import ROWS_PER_BLOCK, drop_halo
 from candlestream.operators.ingest import decode_trades, normalize_raw, to_topic_payload
 from candlestream.operators.latest import latest_n, recent
 from candlestream.plans import panels, reports, strategies
-from candlestream.plans.batch import advice, stored_candles
+from candlestream.plans.batch import advice, bounded_history, stored_advice, stored_candles
 from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA
-from candlestream.session import new_folder, stream_session
+from candlestream.session import materialize, new_folder, stream_session
 from candlestream.sources.files import read_csv, read_lines, tab_lines, write_tab_lines
 from candlestream.sources.store import CandleStore
-from candlestream.streaming.audit import LATE, stream_audit
+from candlestream.streaming.audit import COUNTED, LATE, trade_audit
 from candlestream.streaming.jobs import stream_candles, stream_labels, streamed
 from testbed import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 WIDTH, DELAY = "1 hour", "1 hour"
+TIE = "event_id"
 KEY = ["symbol", "event_time"]
 
-# Small enough that the split-history path runs on every test table.
-SMALL_BLOCK = 64
+# Small enough that the split-history path runs on every test table; the second, for indicators
+# that look back further.
+SMALL_BLOCK, WIDE_BLOCK = 64, 256
 
 
 def edge(df: DataFrame) -> DataFrame:
@@ -62,12 +63,16 @@ def topic_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Candles and their features
 
-def candles(width: str, tie: str | None = None) -> Query:
-    return lambda spark, sf_dir: edge(ohlcv(tb.trades(spark, sf_dir), width, tie=tie))
+def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ohlcv(tb.trades(spark, sf_dir), WIDTH, tie=TIE)
+
+
+def candles(width: str) -> Query:
+    return lambda spark, sf_dir: edge(ohlcv(tb.trades(spark, sf_dir), width, tie=TIE))
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return candle_features(ohlcv(tb.trades(spark, sf_dir), WIDTH))
+    return candle_features(hourly(spark, sf_dir))
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,25 +88,53 @@ def candle_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rsi_single_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(
-        single_candle_rsi(ohlcv(tb.trades(spark, sf_dir), WIDTH)).select(*KEY, "close", "rsi")
+        single_candle_rsi(hourly(spark, sf_dir)).select(*KEY, "close", "rsi")
     )
 
 
 # Rolling indicators
 
-def rolling(add: Callable[[DataFrame], DataFrame], *columns: str) -> Query:
+def rolling(
+    indicator: ind.Indicator, *columns: str, rows_per_block: int = ROWS_PER_BLOCK,
+    fractional: bool = False,
+) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        c = add(stored_candles(tb.trades(spark, sf_dir), WIDTH))
-        return edge(drop_halo(c).select(*KEY, *columns))
+        t = tb.trades(spark, sf_dir)
+        if fractional:
+            c, rows = materialize(_fractional(t), "candles")
+            c = bounded_history(c, rows, WIDTH, indicator.reach, rows_per_block)
+        else:
+            c = stored_candles(t, WIDTH, indicator.reach, TIE, rows_per_block)
+        return edge(drop_halo(ind.add_indicators(c, indicator)).select(*KEY, *columns))
     return query
 
 
+def _fractional(trades: DataFrame) -> DataFrame:
+    """Candles whose volumes have eight decimals, as exchanges quote them."""
+    candles = ohlcv(trades, WIDTH, tie=TIE)
+    return candles.withColumn("volume", F.round(F.col("volume") * (F.col("close") - 10000.0) / 7000, 8))
+
+
 # Advice
 
 def labelled(strategy: strategies.Strategy, **options: int) -> Query:
     return lambda spark, sf_dir: edge(
-        advice(tb.trades(spark, sf_dir), strategy, WIDTH, **options)
+        advice(tb.trades(spark, sf_dir), strategy, WIDTH, TIE, **options)
+    )
+
+
+def advice_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored candles of two writers; labels of one writer's last 96 hours, published."""
+    store = _store(spark)
+    store.append(hourly(spark, sf_dir), 0, "hours")
+    store.append(ohlcv(tb.trades(spark, sf_dir), "6 hours", tie=TIE), 0, "sixes")
+    as_of = tb.table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    stored = store.candles(hourly(spark, sf_dir).schema, name="hours")
+    labels = stored_advice(
+        stored, strategies.RSI14, WIDTH, "96 HOURS", as_of, symbols=["click", "view", "purchase"]
     )
+    store.publish(labels, 1)
+    return edge(store.published())
 
 
 # Panels
@@ -109,8 +142,8 @@ def labelled(strategy: strategies.Strategy, **options: int) -> Query:
 def _mixed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of two writers: hourly candles with windows, six-hour candles without."""
     t = tb.trades(spark, sf_dir)
-    return advice(t, strategies.VWAP, WIDTH).unionByName(
-        advice(t, strategies.BASIC, "6 hours"), allowMissingColumns=True
+    return advice(t, strategies.VWAP, WIDTH, TIE).unionByName(
+        advice(t, strategies.BASIC, "6 hours", TIE), allowMissingColumns=True
     )
 
 
@@ -120,31 +153,38 @@ def chart(panel: Callable[[DataFrame], DataFrame]) -> Query:
 
 def chart_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One writer only: two writers' candles can end with the same trade."""
-    return edge(panels.candle_chart(advice(tb.trades(spark, sf_dir), strategies.VWAP, WIDTH)))
+    return edge(panels.candle_chart(advice(tb.trades(spark, sf_dir), strategies.VWAP, WIDTH, TIE)))
 
 
-def indicator_panel(panel: Callable[[DataFrame], DataFrame], n: int) -> Query:
+def indicator_panel(panel: Callable[..., DataFrame], n: int) -> Query:
+    """From candles: only the newest rows are labelled, and the panel prunes no more."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        c = ohlcv(tb.trades(spark, sf_dir), WIDTH)
-        return edge(panel(panels.newest_labels(c, strategies.CROSS, n)))
+        newest = panels.newest_labels(hourly(spark, sf_dir), strategies.CROSS, n)
+        return edge(panel(newest, n=None))
     return query
 
 
+def stored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From stored labels: the panel prunes."""
+    labels, _ = materialize(advice(tb.trades(spark, sf_dir), strategies.CROSS, WIDTH, TIE), "labels")
+    return edge(panels.band_panel(labels))
+
+
 def latest_per_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edge(latest_n(ohlcv(tb.trades(spark, sf_dir), WIDTH), 100))
+    return edge(latest_n(hourly(spark, sf_dir), 100))
 
 
 def table_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ohlcv(tb.trades(spark, sf_dir), WIDTH).agg(F.count("*").alias("n"))
+    return hourly(spark, sf_dir).agg(F.count("*").alias("n"))
 
 
 def latest_five(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edge(panels.newest(ohlcv(tb.trades(spark, sf_dir), WIDTH)))
+    return edge(panels.newest(hourly(spark, sf_dir)))
 
 
 def recent_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = tb.table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
-    return edge(recent(ohlcv(tb.trades(spark, sf_dir), WIDTH), "48 HOURS", as_of))
+    return edge(recent(hourly(spark, sf_dir), "48 HOURS", as_of))
 
 
 # Reports
@@ -219,31 +259,59 @@ def _store(spark: SparkSession) -> CandleStore:
 
 def store_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
-    c = ohlcv(tb.trades(spark, sf_dir), WIDTH)
-    store.append(c, 0)
-    return edge(store.tail(columns=c.schema).select(*c.columns))
+    c = hourly(spark, sf_dir)
+    store.append(c, 0, "hours")
+    store.append(ohlcv(tb.trades(spark, sf_dir), "6 hours", tie=TIE), 0, "sixes")
+    return edge(store.tail("hours", 33, c.schema).select(*c.columns))
 
 
 def store_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
     t = tb.trades(spark, sf_dir)
-    store.publish(advice(t, strategies.BASIC, WIDTH), 1)
-    store.publish(advice(t, strategies.RSI14, WIDTH), 2)
+    store.publish(advice(t, strategies.BASIC, WIDTH, TIE), 1)
+    store.publish(advice(t, strategies.RSI14, WIDTH, TIE), 2)
     return edge(store.published())
 
 
 # Streams
 
+PARTS = 5
+
+
 def _events(sf_dir: str) -> str:
     return f"{sf_dir}/events.parquet"
 
 
+def _quarter(events: DataFrame, parts: int) -> Column:
+    """Which of `parts` equal spans of time an event falls into."""
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    first, last = (F.unix_micros(F.col(c).cast("timestamp")) for c in ("a", "b"))
+    share = (F.unix_micros(F.col("ts").cast("timestamp")) - span.select(first).scalar()) * parts
+    return F.floor(share / (span.select(last - first).scalar() + 1))
+
+
+def _cut(spark: SparkSession, sf_dir: str, parts: int = PARTS) -> str:
+    """The events in files by time, which a stream takes one by one."""
+    events = tb.table(spark, sf_dir, "events")
+    timed, _ = materialize(events.withColumn("part", _quarter(events, parts)), "events")
+    path = new_folder(spark, "feed")
+    for k in range(parts):
+        timed.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+def _feed(spark: SparkSession, path: str) -> DataFrame:
+    return tb.trade_stream(stream_session(spark), path, files_per_batch=1)
+
+
 def streamed_candles(spark: SparkSession, sf_dir: str) -> DataFrame:
     store, strategy = _store(spark), strategies.VWAP
     trades = tb.trade_stream(stream_session(spark), _events(sf_dir))
-    query = stream_candles(trades, strategy, store, _name("candles"), WIDTH, DELAY)
+    query = stream_candles(
+        trades, strategy, store, _name("candles"), WIDTH, DELAY, TIE, once=True
+    )
     query.awaitTermination()
-    return tb.zoneless(edge(streamed(store, query.name)))
+    return tb.zoneless(edge(streamed(store, query.name).select(*strategy.columns)))
 
 
 def _name(purpose: str) -> str:
@@ -251,13 +319,14 @@ def _name(purpose: str) -> str:
     return f"{purpose}_{uuid.uuid4().hex[:8]}"
 
 
-def streamed_labels(strategy: strategies.Strategy, **options: int) -> Query:
+def streamed_labels(strategy: strategies.Strategy, parts: int = PARTS, **options: int) -> Query:
+    """Events in several batches, so that each goes on from what the one before left."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = _store(spark)
-        trades = tb.trade_stream(stream_session(spark), _events(sf_dir))
         name = _name("labels")
         stream_labels(
-            trades, strategy, store, name, WIDTH, DELAY, **options
+            _feed(spark, _cut(spark, sf_dir, parts)), strategy, store, name, WIDTH, DELAY, TIE,
+            once=True, **options,
         ).awaitTermination()
         rows = store.labels(strategy.schema(spark), name)
         return tb.zoneless(edge(rows.select(*strategy.columns)))
@@ -266,32 +335,60 @@ def streamed_labels(strategy: strategies.Strategy, **options: int) -> Query:
 
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay all events, then send the purchases again after a restart: the stored candles
-    must not change, and the audit must list the purchases whose candle was closed."""
+    must not change, and the audit must find the purchases whose candle was closed."""
     store = _store(spark)
     late = f"{store.path}/late"
     events = tb.table(spark, sf_dir, "events")
     events.limit(0).write.parquet(late)
     own = stream_session(spark)
     trades = tb.trade_stream(own, _events(sf_dir)).union(tb.trade_stream(own, late))
-    candle_stream, audit_stream = _name("late"), _name("audit")
+    name = _name("late")
 
     def run() -> None:
         stream_candles(
-            trades, strategies.BASIC, store, candle_stream, WIDTH, DELAY
+            trades, strategies.BASIC, store, name, WIDTH, DELAY, TIE, once=True
         ).awaitTermination()
-        stream_audit(trades, store, audit_stream, WIDTH, DELAY).awaitTermination()
 
     run()
-    events.filter("event_type = 'purchase'").write.mode("append").parquet(late)
+    again = events.filter("event_type = 'purchase'")
+    again.write.mode("append").parquet(late)
     run()
-    left_out = store.left_out(StructType(trades.schema.fields).add("reason", "string"), audit_stream)
-    candles = streamed(store, candle_stream).select("symbol", F.lit(1).alias("c"), F.lit(0).alias("l"))
-    dropped = left_out.filter(F.col("reason") == LATE).select("symbol", F.lit(0), F.lit(1))
-    return candles.union(dropped).groupBy("symbol").agg(
+    given = tb.as_trades(events.union(again), "CAST(ts AS TIMESTAMP)")
+    final = streamed(store, name)
+    fates = trade_audit(given, final, WIDTH).filter(F.col("fate") == LATE)
+    candles = final.select("symbol", F.lit(1).alias("c"), F.lit(0).cast("bigint").alias("l"))
+    return candles.union(fates.select("symbol", F.lit(0), "n")).groupBy("symbol").agg(
         F.sum("c").alias("candles"), F.sum("l").alias("late")
     )
 
 
+def stream_late_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four spans of events in one run, the first one's purchases once more before the last, and
+    trades without a time: each trade has one fate."""
+    store, name = _store(spark), _name("continuous")
+    events = tb.table(spark, sf_dir, "events")
+    timed, _ = materialize(events.withColumn("part", _quarter(events, 4)), "events")
+    again = timed.filter("part = 0 AND event_type = 'purchase'")
+    lost = timed.filter("part = 1 AND event_type = 'error'").withColumn(
+        "ts", F.lit(None).cast("timestamp_ntz")
+    )
+    feed = new_folder(spark, "feed")
+    for part in (*(timed.filter(F.col("part") == k) for k in range(3)), again.union(lost),
+                 timed.filter("part = 3")):
+        part.drop("part").coalesce(1).write.mode("append").parquet(feed)
+    stream_candles(
+        _feed(spark, feed), strategies.BASIC, store, name, WIDTH, DELAY, TIE, once=True
+    ).awaitTermination()
+    given = tb.as_trades(spark.read.parquet(feed), "CAST(ts AS TIMESTAMP)")
+    fates = trade_audit(given, streamed(store, name), WIDTH)
+    return fates.groupBy("symbol").agg(
+        F.sum("n").alias("trades"),
+        F.coalesce(F.sum(F.when(F.col("fate") == COUNTED, F.col("n"))), F.lit(0)).alias("counted"),
+        F.coalesce(F.sum(F.when(F.col("fate") == LATE, F.col("n"))), F.lit(0)).alias("late"),
+        F.coalesce(F.sum(F.when(F.isnull("window_start"), F.col("n"))), F.lit(0)).alias("unusable"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "trades_decode": trades_decode,
     "trades_normalize": trades_normalize,
@@ -299,28 +396,43 @@ QUERIES: dict[str, Query] = {
     "topic_payload": topic_payload,
     "candles_1h": candles("1 hour"),
     "candles_6h": candles("6 hours"),
-    "candles_tie_break": candles("1 hour", "event_id"),
+    "candles_tie_break": candles("1 hour"),
     "candle_features": features,
     "candle_risk": candle_risk,
     "rsi_single_candle": rsi_single_candle,
-    "close_change": rolling(ind.close_change, "prev_close", "change", "gain", "loss"),
-    "rsi_rounded": rolling(lambda c: ind.rsi(c, warmup=False, digits=3), "RSI"),
-    "rsi14_warm": rolling(ind.rsi, "rsi_14"),
+    "close_change": rolling(ind.CloseChange(), "prev_close", "change", "gain", "loss"),
+    "rsi_rounded": rolling(ind.Rsi(warmup=False, digits=3), "RSI"),
+    "rsi14_warm": rolling(ind.Rsi(), "rsi_14"),
     "macd_sma": rolling(
-        lambda c: ind.macd_sma(c, lines=True), "macd_line", "signal_line", "MACD_Histogram"
+        ind.MacdSma(lines=True), "macd_line", "signal_line", "MACD_Histogram"
+    ),
+    "macd_wide_split": rolling(
+        ind.MacdSma(50, 100, 20, lines=True), "macd_line", "signal_line",
+        rows_per_block=WIDE_BLOCK,
     ),
     "volume_spike": rolling(
-        lambda c: ind.volume_spike(c, mean=True), "past_volume", "Volume_Spike"
+        ind.VolumeSpike(mean=True), "past_volume", "Volume_Spike"
     ),
     "bollinger_rounded": rolling(
-        lambda c: ind.bollinger(c, warmup=False, digits=3), "BB_Upper", "BB_Lower"
+        ind.Bollinger(warmup=False, digits=3), "BB_Upper", "BB_Lower"
+    ),
+    "bollinger_warm": rolling(ind.Bollinger(), "bb_middle", "bb_upper", "bb_lower"),
+    "bollinger_wide_split": rolling(
+        ind.Bollinger(100), "bb_middle", "bb_upper", "bb_lower", rows_per_block=WIDE_BLOCK
+    ),
+    "band_signal": rolling(ind.Bollinger(), "close", "bb_signal"),
+    "obv": rolling(ind.Obv(), "volume", "OBV"),
+    "obv_prev": rolling(ind.Obv(), "OBV_prv"),
+    "obv_fractional": rolling(ind.Obv(), "volume", "OBV", fractional=True),
+    "obv_fractional_split": rolling(
+        ind.Obv(), "volume", "OBV", fractional=True, rows_per_block=SMALL_BLOCK
     ),
-    "bollinger_warm": rolling(ind.bollinger, "bb_middle", "bb_upper", "bb_lower"),
-    "band_signal": rolling(ind.bollinger, "close", "bb_signal"),
-    "obv": rolling(ind.obv, "volume", "OBV"),
-    "obv_prev": rolling(ind.obv, "OBV_prv"),
     "sma_cross": rolling(
-        lambda c: ind.sma_cross(c, digits=9), "sma_9", "sma_21", "sma_crossover"
+        ind.SmaCross(digits=9), "sma_9", "sma_21", "sma_crossover"
+    ),
+    "sma_cross_wide_split": rolling(
+        ind.SmaCross(50, 200, digits=9), "sma_50", "sma_200", "sma_crossover",
+        rows_per_block=WIDE_BLOCK,
     ),
     "advice_basic": labelled(strategies.BASIC),
     "advice_vwap": labelled(strategies.VWAP),
@@ -329,10 +441,12 @@ QUERIES: dict[str, Query] = {
     "advice_cross": labelled(strategies.CROSS),
     "advice_multi_split": labelled(strategies.MULTI, rows_per_block=SMALL_BLOCK),
     "advice_cross_split": labelled(strategies.CROSS, rows_per_block=SMALL_BLOCK),
+    "advice_stored_rsi14": advice_stored,
     "chart_event_time": chart_event_time,
     "chart_window_start": chart(panels.window_chart),
     "chart_fallback_time": chart(panels.mixed_chart),
     "panel_bands": indicator_panel(panels.band_panel, panels.INDICATOR_ROWS),
+    "panel_bands_stored": stored_panel,
     "panel_sma_rsi": indicator_panel(panels.sma_rsi_panel, panels.INDICATOR_ROWS),
     "table_signals": indicator_panel(panels.signal_table, panels.TABLE_ROWS),
     "latest_per_symbol": latest_per_symbol,
@@ -364,4 +478,5 @@ QUERIES: dict[str, Query] = {
     "stream_multi": streamed_labels(strategies.MULTI),
     "stream_multi_split": streamed_labels(strategies.MULTI, rows_per_block=SMALL_BLOCK),
     "stream_late_drop": stream_late_drop,
+    "stream_late_continuous": stream_late_continuous,
 }

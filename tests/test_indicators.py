@@ -106,5 +106,5 @@ def test_against_the_model(spark):
 ])
 def test_split_history_changes_nothing(spark, seed, gap, cell, block):
     rows = walk(seed, {"HOT": 400, "WARM": 70, "COLD": 20}, gap)
-    c = split_history(candles(spark, rows), cell, rows_per_block=block)
+    c = split_history(candles(spark, rows), cell, 33, rows_per_block=block)
     check(rows, drop_halo(everything(c)))

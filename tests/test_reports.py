@@ -110,4 +110,13 @@ def test_students(students):
         "Gioi", "Yeu", "Kha", "Kha", "Yeu"]
     assert [r.G3 for r in reports.absentees(students).collect()] == [9]
     assert sorted(map(tuple, reports.by_address(students).collect())) == [
-        ("R", 3, 11.5), ("U", 2, 12.5)]
+        ("R", 11.5, 3), ("U", 12.5, 2)]
+
+
+def test_sql_reports_leave_views_alone_and_keep_their_columns(spark):
+    mine = spark.range(3)
+    mine.createOrReplaceTempView("students")
+    rows = spark.createDataFrame([("U", 9, 11, 5), ("R", 15, 1, 1)], "address string, G3 int, absences int, goout int")
+    assert reports.by_address(rows).columns == ["address", "Average_G3", "Student_Count"]
+    assert reports.absentees(rows).count() == 1
+    assert spark.table("students").count() == 3

@@ -16,6 +16,8 @@ def test_kafka_reader_options():
     }
     replay = kafka.replay_options("h:1", "t")
     assert (replay["startingOffsets"], replay["endingOffsets"]) == ("earliest", "latest")
+    assert replay["failOnDataLoss"] == "true"
+    assert kafka.kafka_options("h:1", per_trigger=500)["maxOffsetsPerTrigger"] == "500"
     assert kafka.sink_options("h:1", "t") == {
         "kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "1", "kafka.retries": "5",
     }
@@ -55,6 +57,13 @@ def test_csv_by_name_with_fixed_types(spark, tmp_path, sep):
         (2, 1.5, "France"), (3, None, "Spain"), (None, 2.0, None)]
 
 
+def test_files_with_another_header_are_an_error(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Quantity,UnitPrice,Country\n1,2,France\n")
+    (tmp_path / "b.csv").write_text("Country,Quantity,UnitPrice\nSpain,3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path), SALES_SCHEMA).collect()
+
+
 def test_csv_students(spark, tmp_path):
     path = tmp_path / "s.csv"
     path.write_text(",".join(STUDENT_SCHEMA.names) + "\nyes,health,no,U,9,4,1,1,11,5\n")
@@ -123,8 +132,12 @@ def test_date_folders_are_pruned(spark, store, capsys):
 
 
 def test_tail(spark, store):
-    store.append(candles(spark, walk(4, {"A": 50, "B": 7})), 0)
-    assert dict(map(tuple, store.tail().groupBy("symbol").count().collect())) == {"A": 33, "B": 7}
+    c = candles(spark, walk(4, {"A": 50, "B": 7}))
+    store.append(c, 0, "one")
+    store.append(c, 0, "two")
+    got = store.tail("one", 33)
+    assert dict(map(tuple, got.groupBy("symbol").count().collect())) == {"A": 33, "B": 7}
+    assert got.select("event_time", "symbol").distinct().count() == 40
 
 
 def test_publish_replaces_at_once(spark, store):
@@ -134,7 +147,9 @@ def test_publish_replaces_at_once(spark, store):
         store.publish(candles(spark, walk(version, {"A": n})), version)
     reader = store.published()
     assert reader.count() == 3
-    # A version without its commit marker is not there yet.
-    reader.limit(1).write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(
-        f"{store.path}/published/indicators/version=000000000011")
+    # A folder that no version row names is not there yet.
+    reader.limit(1).write.parquet(f"{store.path}/published/indicators/data/000000000011-x")
     assert store.published().count() == 3
+    # A version published again leaves what is being read alone.
+    store.publish(candles(spark, walk(11, {"A": 4})), 10)
+    assert reader.count() == 3 and store.published().count() == 4

@@ -11,14 +11,23 @@ from candlestream.plans import strategies
 from candlestream.plans.batch import advice
 from candlestream.sources.files import replay_stream
 from candlestream.sources.store import CandleStore
-from candlestream.streaming.audit import LATE, UNUSABLE, stream_audit
-from candlestream.streaming.jobs import stream_candles, stream_labels, streamed
+from candlestream.streaming import jobs
+from candlestream.streaming.audit import COUNTED, LATE, OPEN, UNUSABLE, trade_audit
+from candlestream.streaming.jobs import streamed
 from tests.data import at, trades, walk
 
 WIDTH, DELAY = "60 seconds", "60 seconds"
 SCHEMA = "symbol string, event_time timestamp, price double, quantity double"
 
 
+def stream_candles(*args, **options):
+    return jobs.stream_candles(*args, **{"once": True, **options})
+
+
+def stream_labels(*args, **options):
+    return jobs.stream_labels(*args, **{"once": True, **options})
+
+
 class Feed:
     """A folder of trade files, one micro-batch each, in the order they were added."""
 
@@ -81,7 +90,8 @@ def test_row_by_row_stream_equals_batch(spark, feed):
     job = name("vwap")
     finish(stream_candles(feed.stream(), strategies.VWAP, feed.store, job, WIDTH, DELAY))
     want = closed(advice(ticks(spark, data), strategies.VWAP, WIDTH), newest_of(data))
-    assert rows(streamed(feed.store, job)) == rows(want) and want.count() > 50
+    got = streamed(feed.store, job).select(*want.columns)
+    assert rows(got) == rows(want) and want.count() > 50
 
 
 @pytest.mark.parametrize("strategy, parts, block", [
@@ -114,27 +124,122 @@ def test_restart_goes_on_where_it_stopped(spark, feed):
     assert rows(got.select(*strategies.MULTI.columns)) == rows(want)
 
 
-def test_late_trades_change_nothing_and_are_listed(spark, feed):
+def fates(store, job, given):
+    found = trade_audit(given, streamed(store, job), WIDTH).collect()
+    total = {}
+    for r in found:
+        total[r.symbol, r.fate] = total.get((r.symbol, r.fate), 0) + r.n
+    return total
+
+
+def test_every_trade_has_one_fate(spark, feed):
+    data = walk(4, {"A": 60, "B": 30})
+    parts = cut(spark, data, 4)
+    job = name("candles")
+    late = trades(spark, [("A", 10, 1.0, 1.0), ("B", 70, 1.0, 1.0), ("B", 70, 2.0, 1.0)])
+    lost = late.limit(1).withColumn("event_time", F.lit(None).cast("timestamp"))
+    for part in (*parts[:3], late.union(lost), parts[3]):
+        feed.add(part)
+    finish(stream_candles(feed.stream(), strategies.BASIC, feed.store, job, WIDTH, DELAY))
+    given = spark.read.parquet(f"{feed.path}/feed")
+    got = fates(feed.store, job, given)
+    assert sum(got.values()) == given.count()
+    assert got["A", UNUSABLE] == 1 and got["A", LATE] == 1 and got["B", LATE] == 2
+    counted = streamed(feed.store, job).groupBy("symbol").agg(F.sum("n_trades")).collect()
+    assert all(got[symbol, COUNTED] == n for symbol, n in counted)
+    assert sum(n for (_, fate), n in got.items() if fate == OPEN) <= 4
+
+
+def test_a_trade_counted_in_a_later_batch_is_not_late(spark, feed):
+    """Three files, one per batch: minute 1 comes again in the second, before it is closed."""
+    job = name("candles")
+    for second, price in ((65, 1.0), (66, 999.0), (400, 2.0), (900, 3.0)):
+        feed.add(trades(spark, [("A", second, price, 1.0)]))
+    finish(stream_candles(feed.stream(), strategies.BASIC, feed.store, job, WIDTH, DELAY))
+    assert streamed(feed.store, job).agg(F.max("high")).first()[0] == 999.0
+    got = fates(feed.store, job, spark.read.parquet(f"{feed.path}/feed"))
+    assert got["A", COUNTED] == 3 and ("A", LATE) not in got
+
+
+def test_late_trades_change_nothing_after_a_restart(spark, feed):
     data = walk(4, {"A": 60, "B": 30})
     feed.add(ticks(spark, data))
-    names = name("candles"), name("audit")
+    job = name("candles")
 
     def run():
-        finish(stream_candles(feed.stream(), strategies.BASIC, feed.store, names[0], WIDTH, DELAY))
-        finish(stream_audit(feed.stream(), feed.store, names[1], WIDTH, DELAY))
+        finish(stream_candles(feed.stream(), strategies.BASIC, feed.store, job, WIDTH, DELAY))
 
     run()
-    before = rows(streamed(feed.store, names[0]))
-    newest = newest_of(data)
-    late = trades(spark, [("A", 10, 1.0, 1.0), ("B", 70, 1.0, 1.0), ("B", 70, 2.0, 1.0)])
-    on_time = trades(spark, [("A", (newest - at(0)).total_seconds(), 1.0, 1.0)])
-    lost = late.limit(1).withColumn("event_time", F.lit(None).cast("timestamp"))
-    feed.add(late.union(on_time).union(lost))
+    before = rows(streamed(feed.store, job))
+    feed.add(trades(spark, [("A", 10, 1.0, 1.0), ("B", 70, 1.0, 1.0)]))
     run()
-    assert rows(streamed(feed.store, names[0])) == before
-    kept = feed.store.left_out(feed.stream().schema.add("reason", "string"), names[1])
-    assert sorted(r.reason for r in kept.collect()) == [LATE] * 3 + [UNUSABLE]
-    assert {r.event_time for r in kept.filter(F.col("reason") == LATE).collect()} == {at(10), at(70)}
+    assert rows(streamed(feed.store, job)) == before
+
+
+def test_empty_batches_and_untouched_symbols(spark, feed):
+    """A batch without a final candle writes no state; one symbol's batch keeps the others'."""
+    data = walk(7, {"A": 60, "B": 60})
+    early = [r for r in data if r[1] <= 40]
+    only_a = [r for r in data if r[1] > 40 and r[0] == "A"]
+    job = name("labels")
+    for part in (early, [early[0]], only_a[: len(only_a) // 2], only_a[len(only_a) // 2 :]):
+        feed.add(ticks(spark, part))
+    finish(stream_labels(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
+    want = closed(advice(ticks(spark, early + only_a), strategies.MULTI, WIDTH), newest_of(early + only_a))
+    got = feed.store.labels(strategies.MULTI.schema(spark), job)
+    extra = ticks(spark, [early[0]])
+    assert extra.count() == 1
+    assert got.count() == want.count()
+    assert {r.symbol for r in got.collect()} == {"A", "B"}
+
+
+def test_wide_strategies_stream_as_in_batch(spark, feed):
+    from dataclasses import replace
+
+    from candlestream.operators import indicators as ind
+
+    wide = replace(strategies.CROSS, indicators=(ind.Bollinger(50), ind.SmaCross(), ind.Rsi()))
+    data = walk(8, {"A": 150, "B": 60})
+    for part in cut(spark, data, 4):
+        feed.add(part)
+    job = name("wide")
+    finish(stream_labels(feed.stream(), wide, feed.store, job, WIDTH, DELAY))
+    want = closed(advice(ticks(spark, data), wide, WIDTH), newest_of(data))
+    got = feed.store.labels(wide.schema(spark), job).select(*wide.columns)
+    assert wide.reach == 49 and rows(got) == rows(want)
+
+
+def test_fractional_volumes_add_up_in_any_batches(spark, feed):
+    data = [(s, m, c, v + m % 7 * 0.00012345) for s, m, c, v in walk(9, {"A": 120})]
+    for part in cut(spark, data, 5):
+        feed.add(part)
+    job = name("fractions")
+    finish(stream_labels(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
+    want = closed(advice(ticks(spark, data), strategies.MULTI, WIDTH), newest_of(data))
+    got = feed.store.labels(strategies.MULTI.schema(spark), job).select(*strategies.MULTI.columns)
+    assert rows(got) == rows(want)
+
+
+def test_a_running_stream_takes_batch_after_batch(spark, feed):
+    """Processing-time trigger, the strategy's own; labels also go to a sink."""
+    data = walk(10, {"A": 60})
+    parts = cut(spark, data, 3)
+    job, sink = name("running"), f"{feed.path}/sink"
+    feed.add(parts[0])
+    query = stream_labels(
+        feed.stream(), strategies.RSI14, feed.store, job, WIDTH, DELAY, trigger="100 milliseconds",
+        sink=("parquet", {"path": sink}), once=False,
+    )
+    try:
+        for part in parts[1:]:
+            query.processAllAvailable()
+            feed.add(part)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    want = closed(advice(ticks(spark, data), strategies.RSI14, WIDTH), newest_of(data))
+    assert rows(spark.read.parquet(sink).select(*want.columns)) == rows(want)
+    assert strategies.MULTI.trigger == "60 seconds"
 
 
 def test_json_stream(spark, tmp_path):
@@ -154,7 +259,7 @@ def test_one_checkpoint_per_stream(spark, feed):
     feed.add(ticks(spark, walk(5, {"A": 5})))
     job = name("twice")
     args = (feed.stream(), strategies.BASIC, feed.store, job, WIDTH, DELAY)
-    running = stream_candles(*args, trigger="1 hour")
+    running = stream_candles(*args, trigger="1 hour", once=False)
     try:
         with pytest.raises(PySparkException):
             stream_candles(*args)
