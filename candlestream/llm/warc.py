@@ -120,7 +120,9 @@ class _Shard:
         if self.out is None:
             self.name = f"shard-{self.shard:06d}-{len(self.done):05d}.warc.gz"
             self.temporary = f"_temporary/{uuid.uuid4().hex}-{self.name}"
-            self.out = self.store.open_output_stream(f"{self.folder}/{self.temporary}")
+            self.out = self.store.open_output_stream(
+                f"{self.folder}/{self.temporary}", compression=None
+            )
             self.size = self.records = 0
             self.digest = hashlib.sha1()
         self.out.write(member)
@@ -285,7 +287,7 @@ def _reader(folder: str, with_payload: bool):
 
     def rows(name: str) -> Iterator[tuple]:
         store, path = _filesystem(folder)
-        with store.open_input_stream(f"{path}/{name}") as source:
+        with store.open_input_stream(f"{path}/{name}", compression=None) as source:
             for fields, block in parse(iter(lambda: source.read(1 << 20), b"")):
                 payload = None
                 n, digest = int(fields["X-Payload-Length"]), fields["WARC-Payload-Digest"].removeprefix("sha1:")
