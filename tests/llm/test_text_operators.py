@@ -1,0 +1,276 @@
+"""Scoring, packing, leaks, surrogates, quality and language against plain Python."""
+
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from candlestream.llm import decontamination, language_id, lm_scoring, packing, pii, quality
+from tests.llm import brute, data
+
+BPE = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def held_out(doc_id, folds):
+    return zlib.crc32(("" if doc_id is None else str(doc_id)).encode()) % folds == 2
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_scores(spark, monkeypatch, order):
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 20_000)
+    monkeypatch.setattr(lm_scoring, "RANGE_GRAMS", 5_000)
+    rows = data.documents()
+    texts = [[*["\0start"] * (order - 1), *brute.words(lowered(t)), "\0end"] for _, t, _ in rows]
+    seen = Counter()
+    for (doc, _, _), w in zip(rows, texts, strict=True):
+        if not held_out(doc, 7):
+            for size in range(1, order + 1):
+                seen.update(tuple(w[k - size + 1:k + 1]) for k in range(order - 1, len(w)))
+    n = sum(c for g, c in seen.items() if len(g) == 1)
+    known = sum(len(g) == 1 for g in seen)
+    learned = sum(not held_out(doc, 7) for doc, _, _ in rows)
+    strength = lm_scoring.STRENGTH
+
+    def count(history):
+        return learned if set(history) == {"\0start"} else seen[history]
+
+    def chance(w, k, size):
+        if size == 1:
+            return (seen[(w[k],)] + 1) / (n + known + 1)
+        gram = tuple(w[k - size + 1:k + 1])
+        return (seen[gram] + strength * chance(w, k, size - 1)) / (count(gram[:-1]) + strength)
+
+    want = sorted((
+        str(doc), held_out(doc, 7), len(w) - order + 1, sum(seen[(x,)] > 0 for x in w[order - 1:]), n,
+        round(sum(math.log10(chance(w, k, 1)) for k in range(order - 1, len(w))), 4),
+        round(sum(math.log10(chance(w, k, order)) for k in range(order - 1, len(w))), 4),
+    ) for (doc, _, _), w in zip(rows, texts, strict=True))
+    got = lm_scoring.scores(data.frame(spark), order=order).collect()
+    assert sorted((str(r[0]), *r[1:5], round(r[5], 4), round(r[6], 4)) for r in got) == want
+
+
+def test_scores_of_nothing(spark):
+    assert lm_scoring.scores(data.frame(spark, [])).collect() == []
+
+
+def placed_well(rows, capacities):
+    by = defaultdict(list)
+    for r in rows:
+        by[r["sequence_id"]].append(r)
+    for own in by.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacities.tokens and len(own) <= capacities.documents
+        assert sum(r["length"] ** 2 for r in own) <= capacities.attention
+    return len(by)
+
+
+def test_pieces_and_sequences(spark):
+    rows = data.documents()
+    pieces = packing.pieces(data.frame(spark), BPE, with_ids=True)
+    packed = packing.pack(pieces, group_pieces=10).collect()
+    placed_well(packed, packing.Capacities())
+    tokenizer = Tokenizer.from_file(BPE)
+    got = Counter()
+    for r in packed:
+        assert r["ids_crc32"] == zlib.crc32(r["ids"])
+        got[r["doc"], r["piece"], r["start"], r["length"], r["ids"]] += 1
+    want = Counter()
+    for doc, text, _ in rows:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        first = len(ids) % 1024 or 1024
+        for piece, end in enumerate(range(first, len(ids) + 1, 1024)):
+            start = max(0, end - 1024) if piece else 0
+            want[doc, piece, start, end - start, ids[start:end].tobytes()] += 1
+    assert got == want
+
+
+def test_sequences_hold_the_ids(spark):
+    packed = packing.pack(packing.pieces(data.frame(spark), BPE, with_ids=True))
+    total = sum(r["length"] for r in packed.collect())
+    whole = packing.sequences(packed).collect()
+    assert sum(r["length"] for r in whole) == total == sum(len(r["ids"]) // 4 for r in whole)
+
+
+@pytest.mark.parametrize("rule", ["residual", "dot"])
+def test_best_fit_keeps_all_capacities(rule):
+    lengths = np.random.default_rng(1).integers(1, 1025, 3000)
+    tight = packing.Capacities(1024, 6, 600_000)
+    lengths = lengths[lengths.astype(float) ** 2 <= tight.attention]
+    bins, offsets = packing.best_fit(lengths, tight, (1.0, 0.5, 0.5), rule)
+    placed_well([{"sequence_id": b, "offset": o, "length": n} for b, o, n in
+                 zip(bins.tolist(), offsets.tolist(), lengths.tolist(), strict=True)], tight)
+
+
+def test_best_fit_is_near_the_least():
+    lengths = np.random.default_rng(2).integers(1, 700, 5000)
+    bins, _ = packing.best_fit(lengths, packing.Capacities(), (1.0, 0.05, 0.05), "residual")
+    assert bins.max() + 1 <= 1.01 * lengths.sum() / 1024 + 1
+    with pytest.raises(ValueError, match="no sequence"):
+        packing.best_fit(np.array([2000]), packing.Capacities(), (1, 1, 1), "residual")
+
+
+def test_packing_nothing(spark):
+    assert packing.pack(packing.pieces(data.frame(spark, []), BPE)).collect() == []
+
+
+def test_both_tokenizers_agree_below_the_latin_border():
+    texts = [f"a{chr(c)}b {chr(c)} 1{chr(c)}{chr(c)}'s{chr(c)}" for c in range(1, packing.LATIN_END)]
+    texts += ["x  \n\n y\t\t z   ", "<|endoftext|> a", "日本語 текст", "", "don't  DON'T 12345"]
+    slow = Tokenizer.from_file(BPE).encode_batch(texts, add_special_tokens=False)
+    assert packing.encode(texts, BPE) == [e.ids for e in slow]
+
+
+def items():
+    base = data.prose(1, 200)
+    return [(0, " ".join(base[50:90]), "en"), (1, " ".join(data.prose(2, 70)[10:40]).upper(), "en"),
+            (2, None, "en"), (3, "", None), (4, "only three words", None), (5, " ".join(data.prose(77, 30)), "en"),
+            (6, " ".join(base[180:200]), None), (7, " ".join(["same"] * 12), None)]
+
+
+@pytest.mark.parametrize("limit", [decontamination.MAP_LIMIT, 0])
+def test_leaks(spark, monkeypatch, limit):
+    monkeypatch.setattr(decontamination, "MAP_LIMIT", limit)
+    rows = [r for r in data.documents() if r[0] != 8]
+    rows += [(50, " ".join([*data.prose(50, 30), "same"] + ["same"] * 14), None)]
+    got = decontamination.leaks(data.frame(spark, rows), data.frame(spark, items()), item_id="doc_id").collect()
+    want = brute.leaks([r[:2] for r in rows], [r[:2] for r in items()])
+    assert {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in got} == want and len(got) == len(want)
+
+
+def test_leaks_of_nothing(spark):
+    none, some = data.frame(spark, []), data.frame(spark)
+    assert decontamination.leaks(none, some, item_id="doc_id").collect() == []
+    assert decontamination.leaks(some, none, item_id="doc_id").collect() == []
+
+
+def test_simhash_against_counting(spark):
+    rows = [([5, -7, 5],), ([1],), ([2**63 - 1, -1, 12345, 0],), ([],)]
+    got = spark.createDataFrame(rows, "sh array<bigint>").select(decontamination.simhash(F.col("sh"))).collect()
+    for (sh,), (value,) in zip(rows, got, strict=True):
+        want = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in sh) > len(sh))
+        assert value & (2**64 - 1) == want
+
+
+PRIVATE = [
+    (1, "Mail jo.Doe@mail.example.com or JO.DOE@MAIL.EXAMPLE.COM, call +1 (017) 555-7713.", "en"),
+    (2, "Again jo.doe@mail.example.com; card 4845 1681 1440 7329 and 4845168114407329.", "en"),
+    (3, "Mrs Anna Smith met Mr Smith; госпожа Анна Петрова.", "en"),
+    (4, 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962", host 10.1.2.3, id 123-45-6789', "en"),
+    (5, "In 2024 we sold 12345 units at 3.14 each.", "en"), (6, None, None), (7, "", "en"),
+    (1, "Mail jo.Doe@mail.example.com or JO.DOE@MAIL.EXAMPLE.COM, call +1 (017) 555-7713.", "en"),
+]
+
+
+def test_surrogates_keep_type_format_and_identity(spark):
+    df = data.frame(spark, PRIVATE)
+    got = pii.replace_pii(df).collect()
+    assert len(got) == len(PRIVATE) and set(data.CLASHES) <= set(got[0].asDict())
+    texts = defaultdict(set)
+    for r in got:
+        texts[r.doc_id].add((r.text, r.n_replaced))
+    for doc, text, _ in PRIVATE:
+        (new, n), = texts[doc]
+        if text is None or doc in (5, 7):
+            assert new == text and n == 0
+            continue
+        before, after = list(pii.mentions(text)), list(pii.mentions(new))
+        assert n == len(before) and [m[2] for m in before] == [m[2] for m in after]
+        assert not {m[3] for m in before} & {m[3] for m in after}
+    (first, _), = texts[1]
+    (second, _), = texts[2]
+    mail = [m[3] for t in (first, second) for m in pii.mentions(t) if m[2] == "email"]
+    cards = [m[3] for m in pii.mentions(second) if m[2] == "card"]
+    assert len(mail) == 3 and len(set(mail)) == 1 and len(cards) == 2 and len(set(cards)) == 1
+    assert pii.luhn("4845168114407329") == 9 and pii.luhn(cards[0]) == int(cards[0][-1])
+    invalid = pii.surrogate(b"k", "card", "4845168114407328", 0)
+    assert pii.luhn(invalid) != int(invalid[-1])
+
+
+def test_clashing_surrogates_are_drawn_again(spark):
+    """More one-word names than the list has."""
+    entities = spark.createDataFrame([("name-f-latin-1", f"person{k}") for k in range(300)]
+                                     + [("name-f-latin-1", "weber")], "kind string, entity string")
+    got = pii.surrogates(entities).collect()
+    assert len(got) == 301 == len({r.plain for r in got})
+    assert not {r.plain for r in got} & {r.entity for r in got}
+    assert {r.entity: r.plain for r in got} == {r.entity: r.plain for r in pii.surrogates(entities).collect()}
+
+
+def test_no_private_data(spark):
+    assert pii.replace_pii(data.frame(spark, [])).collect() == []
+
+
+def test_no_pattern_escapes_the_first_filter():
+    import re
+    maybe = re.compile(pii.MAYBE)
+    for _, text, _ in PRIVATE:
+        if text and list(pii.mentions(text)):
+            assert maybe.search(text)
+
+
+def test_cascade(spark):
+    rows = data.documents() + [
+        (60, "Same line here\n" * 40, "en"), (61, " ".join(f"{w}%%%" for w in data.prose(6, 80)), "en"),
+        (62, " ".join(data.prose(7, 80)).upper(), "en"), (63, " ".join(["x"] * 60), None),
+    ]
+    got = quality.cascade(data.frame(spark, rows), with_facts=True).collect()
+    facts = Counter()
+    for doc, text, _ in rows:
+        w = brute.words(text)
+        grams = Counter(tuple(w[i:i + 3]) for i in range(len(w) - 2))
+        repeated = {i + k for i in range(len(w) - 2) if grams[tuple(w[i:i + 3])] > 1 for k in range(3)}
+        lines = [x for x in (text or "").split("\n") if brute.words(x)]
+        facts[doc, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""),
+              len(lines) - len(set(lines)), len(repeated),
+              len(w) < 50 or 100 * len(repeated) > 50 * len(w)] += 1
+    assert Counter((r.doc_id, *(r[c] for c in quality.FACTS), r.base_failed) for r in got) == facts
+    lazy = quality.cascade(data.frame(spark, rows)).collect()
+    verdicts = [Counter((r.doc_id, r.failed_rule is None) for r in x) for x in (got, lazy)]
+    assert verdicts[0] == verdicts[1]
+    kept = {r.doc_id for r in got if r.failed_rule is None}
+    assert kept >= {5, 6, 7, 9, 14} and not kept & {0, 1, 2, 3, 60, 61, 62, 63}
+
+
+def test_cascade_order_and_nothing(spark):
+    docs = data.frame(spark, [(k, "x", None) for k in range(20)] + [(k, " ".join(data.prose(k, 90)), None) for k in range(20, 40)])
+    found = quality.measure(docs)
+    assert [m.rank for m in found] == sorted((m.rank for m in found), reverse=True)
+    assert next(m for m in found if m.rule.name == "few_words").rejected == 0.5
+    assert quality.cascade(data.frame(spark, [])).collect() == []
+
+
+def labelled():
+    def text(seed, parts):
+        rng = np.random.default_rng(seed)
+        return " ".join("".join(rng.choice(parts, rng.integers(1, 4))) for _ in range(60))
+    kinds = {"aa": ["tion", "ing", "the"], "bb": ["ß", "sch", "ung"], "cc": ["eau", "ç", "que"]}
+    return [(k, text(k, parts), lang) for k, (lang, parts) in enumerate(list(kinds.items()) * 60)]
+
+
+def test_languages(spark):
+    odd = [(1000, None, "aa"), (1001, "", "bb"), (1002, "12 34 !", "cc"), (1003, "q", None), (1004, "ж", None),
+           (None, "schung ungsch ßung", None), (1003, "q", None)]
+    got = language_id.identify(data.frame(spark, labelled() + odd)).collect()
+    by = {r.doc_id: r for r in got}
+    assert len(got) == len(labelled()) + len(odd)
+    assert all(by[k].lang_pred == lang and by[k].held_out == held_out(k, 4) for k, _, lang in labelled())
+    assert [by[k].lang_pred for k in (1000, 1001, 1002)] == ["und"] * 3 and by[None].lang_pred == "bb"
+    assert all(0 <= r.score <= 1 for r in got) and by[1003].lang_pred in ("aa", "bb", "cc")
+
+
+def test_languages_without_labels(spark):
+    assert language_id.identify(data.frame(spark, [])).collect() == []
+    got = language_id.identify(data.frame(spark, [(1, "some words", None)])).collect()
+    assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
