@@ -69,7 +69,7 @@ SYLLABLES = {
 
 _ALL_TITLES = "|".join(re.escape(t) for ts in TITLES.values() for t in ts)
 PATTERNS = {
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<secret_value>[A-Za-z0-9_\-+/=]{12,})",
     "hex": r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,31}[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{32})(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
