@@ -7,7 +7,7 @@ prefixes come by increasing value, and the search stops at the minimum length: r
 boundary parts by then share that many bytes. Classes of such rows that stand for more than one
 place are repeated strings.
 
-The corpus is cut so that no two equal strings are parted. Of all 32-byte grams in a string of
+The corpus is cut so that no two equal strings are parted. Of all 64-byte grams in a string of
 `length` bytes, the leftmost with the least hash is its anchor; equal strings have equal anchors.
 Each string belongs to the stretch around its anchor that holds all neighbouring strings of the
 same anchor, so each place of the corpus is in one stretch. Anchors that occur once are dropped;
@@ -37,7 +37,8 @@ from candlestream.llm.groups import by_group
 from candlestream.session import materialize
 
 LENGTH = 400
-GRAM = 32
+# Long enough that few grams repeat by chance; those that do only cost time.
+GRAM = 64
 
 # Bytes of different stretches that share a transform, and that one anchor may bring.
 UNIT_BYTES = 1_500_000
@@ -52,14 +53,14 @@ _PLACE = tx.U64((1 << 24) - 1)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the 32 bytes from each place on."""
+    """A hash of the GRAM bytes from each place on."""
     wide = data.astype(np.uint64)
     for shift in (1, 2, 4):
         wide = wide[:-shift] | (wide[shift:] << tx.U64(8 * shift))
     n = len(data) - GRAM + 1
-    a, b, c, d = tx.random_numbers(4, 41)
-    mixed = wide[:n] * a
-    for step, factor in ((8, b), (16, c), (24, d)):
+    factors = tx.random_numbers(GRAM // 8, 41)
+    mixed = wide[:n] * factors[0]
+    for step, factor in zip(range(8, GRAM, 8), factors[1:], strict=True):
         mixed = (mixed ^ (mixed >> tx.U64(29))) + wide[step:step + n] * factor
     return tx.mix(mixed)
 
@@ -99,7 +100,8 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     return row, hashes[owner[first]], places[first] - starts[row], places[last] - starts[row]
 
 
-_ANCHORS = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("lo", pa.int64()), ("hi", pa.int64())])
+_SPAN = pa.struct([("lo", pa.int64()), ("hi", pa.int64())])
+_ANCHORS = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("spans", pa.list_(_SPAN))])
 
 
 def _anchored(length: int):
@@ -107,9 +109,20 @@ def _anchored(length: int):
         for batch in batches:
             for texts in tx.slices(batch.column("text")):
                 for row, h, lo, hi in _parts(texts, length):
+                    if not len(row):
+                        continue
+                    # One row per text and anchor: an anchor may recur in each line of a text.
+                    order = np.lexsort((lo, h, row))
+                    row, h, lo, hi = row[order], h[order], lo[order], hi[order]
+                    new = np.ones(len(row), bool)
+                    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+                    first = np.flatnonzero(new)
+                    spans = pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], fields=list(_SPAN))
+                    edges = pa.array(np.append(first, len(row)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(h.view(np.int64)), batch.column("key").take(pa.array(row + texts.first)),
-                        pa.array(lo), pa.array(hi),
+                        pa.array(h[first].view(np.int64)),
+                        batch.column("key").take(pa.array(row[first] + texts.first)),
+                        pa.ListArray.from_arrays(edges, spans),
                     ], schema=_ANCHORS)
 
     return run
@@ -137,14 +150,14 @@ def _stretched(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, held = [], 0
-            for key, text, copies, spans in zip(
-                *(batch.column(c) for c in ("key", "text", "copies", "spans")), strict=True
+            for key, text, copies, anchors in zip(
+                *(batch.column(c) for c in ("key", "text", "copies", "anchors")), strict=True
             ):
                 key, copies = key.as_py(), copies.as_py()
                 data = text.as_buffer()
-                for span in spans.as_py():
+                for h, span in ((a["h"], span) for a in anchors.as_py() for span in a["spans"]):
                     own = data.slice(span["lo"], span["hi"] + length - span["lo"]).to_pybytes()
-                    rows.append((span["h"], key, span["lo"], copies, own))
+                    rows.append((h, key, span["lo"], copies, own))
                     held += len(own)
                     if held > tx.SLICE_BYTES:
                         yield _stretch_rows(rows)
@@ -357,11 +370,13 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     )
     found, _ = materialize(
         source.select("key", "text").filter(F.octet_length("text") >= length)
-        .mapInArrow(_anchored(length), "h bigint, key binary, lo bigint, hi bigint"), "anchors",
+        .mapInArrow(
+            _anchored(length), "h bigint, key binary, spans array<struct<lo: bigint, hi: bigint>>"
+        ), "anchors",
     )
-    often = found.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1")
+    often = found.groupBy("h").agg(F.sum(F.size("spans")).alias("n")).filter("n > 1")
     spans = found.join(often, "h", "left_semi").groupBy("key").agg(
-        F.collect_set(F.struct("h", "lo", "hi")).alias("spans")
+        F.collect_set(F.struct("h", "spans")).alias("anchors")
     )
     texts = source.select("key", "doc").groupBy("key").agg(
         F.min("doc").alias("one"), F.count("*").alias("copies")
@@ -369,7 +384,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     wanted = spans.join(texts, "key").withColumnRenamed("key", "wanted")
     chosen = source.join(wanted, (F.col("key") == F.col("wanted")) & F.col("doc").eqNullSafe(F.col("one")))
     members, _ = materialize(
-        chosen.select("key", "text", "copies", "spans").mapInArrow(
+        chosen.select("key", "text", "copies", "anchors").mapInArrow(
             _stretched(length), "h bigint, key binary, lo bigint, copies bigint, bytes binary"
         ).withColumn("cid", F.unhex(F.md5("bytes"))), "stretches",
     )
