@@ -29,10 +29,11 @@ BLOCKS, BLOCK_BITS = 4, 16
 # At a similarity of 0.8 two fingerprints differ in 9.7 bits on average, 2.9 the deviation.
 RADIUS = 19
 
-# Up to so many distinct benchmark shingles, places that cannot match are passed over by a map of
-# hash values sent with the plan, one byte for every 1/32 shingle; larger benchmarks are joined.
+# Up to so many distinct benchmark shingles, places that cannot match are passed over by a Bloom
+# filter sent with the plan, 32 bytes of one slot each per shingle; larger benchmarks are joined.
 # Either way places are then joined exactly.
 MAP_LIMIT = 60_000
+PROBES = 3
 
 
 def simhash(shingles: Column) -> Column:
@@ -100,18 +101,24 @@ def _shingled(table: DataFrame, key: str, text: str, name: str) -> DataFrame:
 def _hits(docs: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
     """Documents with the places of shingles that the benchmark has (and some it has not)."""
     if size <= MAP_LIMIT:
-        slots = 1 << max(16, (32 * size).bit_length())
-        seen = bytearray(slots)
+        bits = max(16, (32 * size - 1).bit_length())
+        seen = bytearray(1 << bits)
         for row in vocabulary.select("h").distinct().collect():
-            seen[row.h & (slots - 1)] = 1
-
-        def known(h: Column) -> Column:
-            at = (h.bitwiseAND(slots - 1) + 1).cast("int")
-            return F.call_function("substring", F.lit(bytes(seen)), at, F.lit(1)) == F.lit(b"\x01")
-
-        places = let(F.col("sh"), lambda sh: F.filter(
-            F.sequence(F.lit(0), F.size(sh) - 1), lambda i: known(F.get(sh, i))
-        ))
+            for k in range(PROBES):
+                seen[(row.h % (1 << 64)) >> (20 * k) & ((1 << bits) - 1)] = 1
+        def known(filled: Column, h: Column) -> Column:
+            found = None
+            for k in range(PROBES):
+                slot = F.shiftrightunsigned(h, 20 * k).bitwiseAND((1 << bits) - 1)
+                at = (slot + 1).cast("int")
+                hit = F.call_function("substring", filled, at, F.lit(1)) == F.lit(b"\x01")
+                found = hit if found is None else found & hit
+            return found
+
+        # Bound once: a literal is part of the plan's text wherever it stands.
+        places = let(F.lit(bytes(seen)), lambda filled: let(F.col("sh"), lambda sh: F.filter(
+            F.sequence(F.lit(0), F.size(sh) - 1), lambda i: known(filled, F.get(sh, i))
+        )))
         found = docs.withColumn("places", once(F.when(F.size("sh") > 0, places)))
         return found.select("doc", "sh", F.explode("places").alias("at"))
     numbered = docs.withColumn("n", F.monotonically_increasing_id())
@@ -164,7 +171,8 @@ def leaks(
         "item", "n", "b.block", F.explode(near).alias("mask"), "b.value",
     ).select("item", "n", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
 
-    pairs = keys.join(index, ["n", "block", "value"]).join(own.drop("item_sh"), "item")
+    # The index holds some ten thousand rows per item: its size is guessed too small, so no broadcast.
+    pairs = keys.join(index.hint("merge"), ["n", "block", "value"]).join(own.drop("item_sh"), "item")
     # A pair that meets in several blocks counts in the first.
     first = F.lit(True)
     for b in range(BLOCKS):
