@@ -29,9 +29,9 @@ from candlestream.session import materialize
 ORDER = 2
 STRENGTH = 30.0
 
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 3 << 20
 # N-grams of all chunks that one task adds up, about.
-RANGE_GRAMS = 1_500_000
+RANGE_GRAMS = 500_000
 
 START, END = tx.random_numbers(2, 31)
 
