@@ -36,7 +36,7 @@ VALUES = BANDS * BAND_ROWS
 STEP = 25
 
 # Texts and shingles of a block; a pair of blocks is compared in memory.
-BLOCK_TEXTS = 200
+BLOCK_TEXTS = 800
 BLOCK_SHINGLES = 1_000_000
 
 # Group members sent to all executors to fetch their texts; more are joined by shuffle.
@@ -156,7 +156,7 @@ def shared_counts(sets: list[np.ndarray], others: list[np.ndarray]) -> np.ndarra
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
     total = np.zeros((len(sets), len(others)))
-    width = 8192
+    width = 2048
     for first in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         at, end = np.searchsorted(column, [first, first + width])
         bits = np.zeros((len(lengths), width), np.float32)
