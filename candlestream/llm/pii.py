@@ -4,7 +4,8 @@ Patterns find e-mail addresses, secrets, IP addresses, phone, card and social-se
 names after a title. A mention is reduced to its entity: digits without separators, text without
 case. The table of distinct entities gets surrogates from an HMAC of a key, type and entity; where
 two entities of a type share a surrogate, or a surrogate is an entity that occurs in the texts, all
-but the first draw again until none clash. So equal entities have equal surrogates in all texts
+but the first draw again until none clash; from the `WIDEN`th draw on the form is widened by more
+characters or another network, so that a format with few forms ends too. So equal entities have equal surrogates in all texts
 (coreference), and different ones different surrogates. A mention is written in its own format:
 separators, case and length stay; a card keeps or lacks a valid check digit as before; a name keeps
 title, gender, script and number of words.
@@ -14,7 +15,8 @@ table row is joined to the mentions, never collected.
 
 Defined cases: a NULL text stays NULL, an empty one empty; repeated rows are replaced alike;
 overlapping mentions go to the one that starts first, then to the longer; an empty table gives an
-empty result; other columns are passed through, and one called like an added column is replaced.
+empty result; a secret or a local part of an e-mail address without a letter or digit is no mention;
+other columns are passed through, and one called like an added column is replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +33,8 @@ from pyspark.sql import functions as F
 from candlestream.session import materialize
 
 KEY = b"candlestream"
-ROUNDS = 30
+# Draws in an entity's own form before the form is widened.
+WIDEN = 4
 
 # Titles tell the gender; the names that replace others are fixed lists per script and gender.
 TITLES = {
@@ -69,8 +72,8 @@ SYLLABLES = {
 
 _ALL_TITLES = "|".join(re.escape(t) for ts in TITLES.values() for t in ts)
 PATTERNS = {
-    "email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?P<secret_value>[A-Za-z0-9_\-+/=]{12,})",
+    "email": r"(?=[._%+-]{0,64}[^\W_])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[_\-+/=]*[A-Za-z0-9])(?P<secret_value>[A-Za-z0-9_\-+/=]{12,})",
     "hex": r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,31}[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{32})(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)"
@@ -147,44 +150,54 @@ def luhn(digits: str) -> int:
 
 
 def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
-    """What stands for an entity, in the entity's plain form."""
+    """What stands for an entity, in the entity's plain form, which later attempts widen."""
     draw = _Draw(key, kind, entity, attempt)
+    more = max(0, attempt - WIDEN + 1)
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
         name = "".join(c if not c.isalnum() else draw.like(c) for c in local)
         known = host if re.search(r"(^|\.)example$", host) else None
         new = known.rpartition("example")[0] if known is not None else host
+        name += draw.like("a" * more)
         return f"{name}@{draw.like(new)}{'example' if known is not None else ''}.{top}"
     if kind == "ip":
         parts = entity.split(".")
         keep = 1 if parts[0] in ("10", "127") else 2 if entity.startswith(("192.168.", "172.16.")) else 0
+        if more and keep:
+            parts, keep = ["10", *parts[1:]], 1
+        if more > WIDEN:
+            keep = 0
+        if more > 3 * WIDEN:
+            return "fd" + ":".join([f"{draw.below(256):02x}", *(f"{draw.below(1 << 16):x}" for _ in range(7))])
         return ".".join([*parts[:keep], *(str(draw.below(254) + 1) for _ in parts[keep:])])
     if kind == "secret":
         hexes = set(entity) <= set("0123456789abcdef")
-        return "".join(draw.of("0123456789abcdef") for _ in entity) if hexes else draw.like(entity)
+        if hexes:
+            return "".join(draw.of("0123456789abcdef") for _ in range(len(entity) + more))
+        return draw.like(entity + "a" * more)
     if kind.startswith("name-"):
         _, gender, alphabet, n = kind.split("-")
-        more = "".join(draw.of(SYLLABLES[alphabet]) for _ in range(attempt))
+        syllables = "".join(draw.of(SYLLABLES[alphabet]) for _ in range(attempt))
         if n == "1":
-            return (draw.of(FAMILY[alphabet]) + more).casefold()
-        return f"{draw.of(GIVEN[alphabet][gender])} {draw.of(FAMILY[alphabet])}{more}".casefold()
+            return (draw.of(FAMILY[alphabet]) + syllables).casefold()
+        return f"{draw.of(GIVEN[alphabet][gender])} {draw.of(FAMILY[alphabet])}{syllables}".casefold()
     if kind == "card":
-        digits = draw.of("123456789") + "".join(str(draw.below(10)) for _ in entity[2:])
+        digits = draw.of("123456789") + "".join(str(draw.below(10)) for _ in range(len(entity) - 2 + more))
         check = luhn(digits + "0")
         valid = luhn(entity) == int(entity[-1])
         return digits + str(check if valid else (check + 1 + draw.below(9)) % 10)
     if kind == "phone":
         keep = len(entity) - 10 if len(entity) > 10 else 0
-        return entity[:keep] + "".join(str(draw.below(10)) for _ in entity[keep:])
-    return "".join(str(draw.below(10)) for _ in entity)
+        return entity[:keep] + "".join(str(draw.below(10)) for _ in range(len(entity) - keep + more))
+    return "".join(str(draw.below(10)) for _ in range(len(entity) + more))
 
 
 def formatted(mention: str, kind: str, plain: str) -> str:
     """A surrogate in the format of a mention."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(plain)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if kind.startswith("name-"):
         words = [w.capitalize() for w in plain.split()]
         return " ".join(w.upper() if m.isupper() and len(m) > 1 else w for w, m in
@@ -221,12 +234,12 @@ def _drawn(key: bytes):
     return draw
 
 
-def surrogates(entities: DataFrame, key: bytes = KEY, rounds: int = ROUNDS) -> DataFrame:
+def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     """(kind, entity, plain) for distinct (kind, entity): no two entities of a kind share a
     surrogate and no surrogate is an entity of its kind."""
     real = entities.select("kind", F.col("entity").alias("plain")).withColumn("real", F.lit(True))
     drawn = entities.select("kind", "entity").withColumn("attempt", F.lit(0))
-    for _ in range(rounds):
+    while True:
         made, _ = materialize(
             drawn.mapInArrow(_drawn(key), "kind string, entity string, attempt int, plain string"), "surrogates"
         )
@@ -239,7 +252,6 @@ def surrogates(entities: DataFrame, key: bytes = KEY, rounds: int = ROUNDS) -> D
         if judged.filter("clash").isEmpty():
             return judged.select("kind", "entity", "plain")
         drawn = judged.select("kind", "entity", (F.col("attempt") + F.col("clash").cast("int")).alias("attempt"))
-    raise ValueError(f"surrogates still clash after {rounds} draws; a kind's formats leave too few")
 
 
 def _replaced(name: str, schema_names: list[str]):

@@ -208,6 +208,34 @@ def test_clashing_surrogates_are_drawn_again(spark):
     assert {r.entity: r.plain for r in got} == {r.entity: r.plain for r in pii.surrogates(entities).collect()}
 
 
+def test_draws_of_small_formats_end(spark):
+    """Formats whose own forms are fewer than the entities, or all taken."""
+    names = [("email", f"{c}@example.com") for c in "abcdefghijklmnopqrstuvwxyz"]
+    hosts = [("ip", f"192.168.{a}.{b}") for a in range(256) for b in range(256)]
+    others = [("secret", "___________1"), ("phone", "12345")]
+    entities = spark.createDataFrame(names + hosts + others, "kind string, entity string")
+    got = pii.surrogates(entities).collect()
+    assert len(got) == 26 + 65536 + 2 == len({(r.kind, r.plain) for r in got})
+    assert not {(r.kind, r.plain) for r in got} & {(r.kind, r.entity) for r in got}
+    assert all(r.plain.endswith("@example.com") for r in got if r.kind == "email")
+    assert all(r.plain.startswith(("192.168.", "10.")) for r in got if r.kind == "ip")
+
+
+@pytest.mark.parametrize("kind", ["ip", "email", "secret", "phone", "card", "ssn"])
+def test_later_draws_are_wider(kind):
+    entity = {"ip": "10.0.0.1", "email": "a@example.com", "secret": "___________1"}.get(kind, "1234567890123")
+    made = {pii.surrogate(b"k", kind, entity, attempt) for attempt in range(40)}
+    assert len(made) >= 30 and max(map(len, made)) > len(entity)
+    if kind in ("phone", "card", "ssn"):
+        assert pii.formatted("1234-567890-123", kind, "9" * 15) == "9999-999999-99999"
+
+
+def test_values_without_letter_or_digit_are_no_mentions(spark):
+    blanks = ["Password: ______________", "Token\n===============", "see ...@example.com", "_@example.com"]
+    got = pii.replace_pii(data.frame(spark, [(k, t, None) for k, t in enumerate(blanks)])).collect()
+    assert sorted((r.doc_id, r.text, r.n_replaced) for r in got) == [(k, t, 0) for k, t in enumerate(blanks)]
+
+
 def test_no_private_data(spark):
     assert pii.replace_pii(data.frame(spark, [])).collect() == []
 
