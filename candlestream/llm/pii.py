@@ -4,10 +4,10 @@ Patterns find e-mail addresses, secrets, IP addresses, phone, card and social-se
 names after a title. A mention is reduced to its entity: digits without separators, text without
 case. The table of distinct entities gets surrogates from an HMAC of a key, type and entity; where
 two entities of a type share a surrogate, or a surrogate is an entity that occurs in the texts, all
-but the first draw again until none clash; from the `WIDEN`th draw on the form is widened by more
+but the first draw again until none clash; after `WIDEN` draws the form is widened by more
 characters or another network, so that a format with few forms ends too. So equal entities have equal surrogates in all texts
 (coreference), and different ones different surrogates. A mention is written in its own format:
-separators, case and length stay; a card keeps or lacks a valid check digit as before; a name keeps
+separators, case, script and length stay; a card keeps or lacks a valid check digit as before; a name keeps
 title, gender, script and number of words.
 
 Only texts that may hold a mention are shuffled, by their MD5; all others pass through. A surrogate
@@ -21,9 +21,11 @@ other columns are passed through, and one called like an added column is replace
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -71,8 +73,19 @@ SYLLABLES = {
 }
 
 _ALL_TITLES = "|".join(re.escape(t) for ts in TITLES.values() for t in ts)
+
+
+def _marks() -> str:
+    """Vowel signs, accents and joiners, which are part of words, as ranges of a character class."""
+    found = [c for c in range(0x300, 0x10000) if unicodedata.category(chr(c))[0] == "M"]
+    ends = [c for c, after in zip(found, [*found[1:], 0], strict=True) if after != c + 1]
+    starts = [c for c, before in zip(found, [0, *found[:-1]], strict=True) if before != c - 1]
+    ranges = [f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends, strict=True)]
+    return "".join([*ranges, "\u200c\u200d\U00011000-\U00011fff\U0001e000-\U0001e94a"])
+
+
 PATTERNS = {
-    "email": r"(?=[._%+-]{0,64}[^\W_])[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?=[._%+-]{0,64}[^\W_])[\w" + _marks() + r".%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?i:\b(?:token|secret|password|passwd|api[_-]?key)\b[\"']?\s{0,3}[=:]\s{0,3}[\"']?)(?=[_\-+/=]*[A-Za-z0-9])(?P<secret_value>[A-Za-z0-9_\-+/=]{12,})",
     "hex": r"(?<![A-Za-z0-9])(?=[0-9a-f]{0,31}[0-9])(?:[0-9a-f]{40}|[0-9a-f]{64}|[0-9a-f]{32})(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
@@ -115,6 +128,29 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield *m.span(), kind, re.sub(r"\D", "", m[0])
 
 
+@functools.cache
+def _alike(c: str) -> str:
+    """Letters, digits or marks of the script and case of `c`; empty if `c` is none of them.
+
+    Latin letters give those without accents. Others come from the 256 characters around `c`, and
+    those that change in number or form when their case is changed twice are left out.
+    """
+    kind = unicodedata.category(c)
+    if kind[0] not in "LNM":
+        return ""
+    if c.isdigit() and c.isascii():
+        return "0123456789"
+    name = unicodedata.name(c, "").split("-")[0].split(" ")[0]
+    if name == "LATIN" and kind[0] == "L":
+        return "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz"
+    around = map(chr, range(ord(c) & ~255, (ord(c) | 255) + 1))
+    found = "".join(
+        x for x in around if unicodedata.category(x) == kind and unicodedata.name(x, "").split(" ")[0] == name
+        and x.upper().lower() == x.lower() and len(x.upper()) == len(x.lower()) == 1
+    )
+    return found if len(found.replace(c, "")) > 0 else "0123456789" if kind[0] == "N" else "abcdefghijklmnopqrstuvwxyz"
+
+
 class _Draw:
     """Numbers from an HMAC of a key and an entity."""
 
@@ -132,12 +168,9 @@ class _Draw:
     def of(self, choices):
         return choices[self.below(len(choices))]
 
-    def like(self, text: str, lower: str = "abcdefghijklmnopqrstuvwxyz") -> str:
-        """Digits for digits, letters of the same case for letters, all else as it is."""
-        return "".join(
-            str(self.below(10)) if c.isdigit() else self.of(lower) if c.islower()
-            else self.of(lower).upper() if c.isupper() else c for c in text
-        )
+    def like(self, text: str) -> str:
+        """Digits for digits, letters and marks of the same script and case, all else as it is."""
+        return "".join(self.of(own) if (own := _alike(c)) else c for c in text)
 
 
 def luhn(digits: str) -> int:
@@ -156,7 +189,7 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     if kind == "email":
         local, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
-        name = "".join(c if not c.isalnum() else draw.like(c) for c in local)
+        name = draw.like(local)
         known = host if re.search(r"(^|\.)example$", host) else None
         new = known.rpartition("example")[0] if known is not None else host
         name += draw.like("a" * more)

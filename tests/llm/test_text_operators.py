@@ -236,6 +236,21 @@ def test_values_without_letter_or_digit_are_no_mentions(spark):
     assert sorted((r.doc_id, r.text, r.n_replaced) for r in got) == [(k, t, 0) for k, t in enumerate(blanks)]
 
 
+LOCALS = ["王小明", "山田たろう", "カタカナ", "محمد", "דוד", "สมชาย", "हिन्दी", "иван.петров", "Νίκος", "김철수", "josé", "ß", "अमित"]
+
+
+def test_no_local_part_survives_in_any_script(spark):
+    rows = [(k, f"mail {name}@gmail.com!", None) for k, name in enumerate(LOCALS)]
+    got = {r.doc_id: r for r in pii.replace_pii(data.frame(spark, rows)).collect()}
+    for k, name in enumerate(LOCALS):
+        new = got[k].text.removeprefix("mail ").partition("@")[0]
+        assert got[k].n_replaced == 1 and len(new) >= len(name) and new != name.lower()
+        same = [a for a, b in zip(name.lower(), new, strict=True) if a == b and a != "."]
+        assert len(same) <= len(name) // 2
+        assert [pii.unicodedata.name(c).split()[0].split("-")[0] for c in new] == [
+            pii.unicodedata.name(c).split()[0].split("-")[0] for c in name.lower()]
+
+
 def test_no_private_data(spark):
     assert pii.replace_pii(data.frame(spark, [])).collect() == []
 
