@@ -10,6 +10,12 @@ characters or another network, so that a format with few forms ends too. So equa
 separators, case, script and length stay; a card keeps or lacks a valid check digit as before; a name keeps
 title, gender, script and number of words.
 
+A name's words are entities of their own. The last word after a title is a surname, with one
+surrogate in all texts; a word before it is a given name, of the gender of its title or, where that
+tells none, of the same given name elsewhere in the text. A word that is a surname anywhere in a text
+is one everywhere in it, and both kinds are also replaced where they stand without a title. Words such
+as `Said` end a name.
+
 Only texts that may hold a mention are shuffled, by their MD5; all others pass through. A surrogate
 table row is joined to the mentions, never collected.
 
@@ -42,7 +48,17 @@ WIDEN = 4
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Sra", "Señora", "Mme", "Madame", "госпожа", "κυρία"),
     "m": ("Mr", "Herr", "Sr", "Señor", "Monsieur", "господин", "κύριος"),
+    "n": ("Dr", "Doctor", "Doktor", "Prof", "Professor", "Dott", "Mx", "доктор", "профессор", "Δρ", "καθηγητής"),
 }
+# Words with a capital that follow a name and are no part of it.
+AFTER_NAMES = (
+    "Said Says Asked Asks Told Tells Replied Replies Answered Added Wrote Writes Spoke Thinks Thought Knew Knows"
+    " Went Goes Came Comes Made Makes Took Takes Gave Gets Got Met Saw Is Was Are Were Has Had Have Does Did Do"
+    " Will Would Can Could Should Must And Or But Nor Not Of In On At To From For With By As If So Then Also The"
+    " An This That These Those He She It They We You His Her Its Their Who Whose When Where Why How After Before"
+    " Sagt Sagte Ist War Hat Hatte Und Oder Der Die Das Dit Est Et La Le Les Dijo Dice Es El Los Las Disse Ha"
+    " сказал сказала был была и είπε είναι και"
+).split()
 GIVEN = {
     "latin": {
         "f": ("Anna", "Clara", "Elena", "Eva", "Ida", "Julia", "Laura", "Lea", "Marta", "Nina", "Olga",
@@ -73,6 +89,10 @@ SYLLABLES = {
 }
 
 _ALL_TITLES = "|".join(re.escape(t) for ts in TITLES.values() for t in ts)
+_GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+_TITLE = rf"(?:{_ALL_TITLES})\b\.?\s{{1,2}}"
+_NAME = rf"(?!(?:{_ALL_TITLES})\b)[^\W\d_a-zа-яα-ω][^\W\d_]+"
+_AFTER = "|".join(AFTER_NAMES)
 
 
 def _marks() -> str:
@@ -93,7 +113,8 @@ PATTERNS = {
              r"|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\w.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])",
-    "name": r"\b(?P<title>" + _ALL_TITLES + r")\b\.?\s{1,2}(?P<name_value>[^\W\d_a-zа-яα-ω][^\W\d_]+(?:\s[^\W\d_a-zа-яα-ω][^\W\d_]+)?)",
+    "name": rf"\b(?=[{''.join(sorted({t[0] for t in _GENDER}))}])(?P<title>(?:{_TITLE}){{1,4}})"
+            rf"(?P<name_value>{_NAME}(?:\s(?!(?i:{_AFTER})\b){_NAME})?)",
 }
 FOUND = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
 
@@ -108,8 +129,10 @@ def script(word: str) -> str:
     return "greek" if any("\u0370" <= c <= "\u03ff" for c in word) else "latin"
 
 
-def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
-    """Start, end, type and entity of each mention, from left to right."""
+WORD = re.compile(r"\b[^\W\d_]+\b")
+
+
+def _of_patterns(text: str) -> Iterator[tuple[int, int, str, str]]:
     for m in FOUND.finditer(text):
         kind = m.lastgroup if m.lastgroup in PATTERNS else next(k for k in PATTERNS if m[k] is not None)
         if kind == "secret":
@@ -117,7 +140,8 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
         elif kind == "hex":
             yield *m.span(), "secret", m[0]
         elif kind == "name":
-            gender = next(g for g, titles in TITLES.items() if m["title"] in titles)
+            titles = [_GENDER[t] for t in re.findall(_ALL_TITLES, m["title"])]
+            gender = next((g for g in titles if g != "n"), "n")
             words = m["name_value"].split()
             yield *m.span("name_value"), f"name-{gender}-{script(words[0])}-{len(words)}", " ".join(words).casefold()
         elif kind == "email":
@@ -128,6 +152,49 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield *m.span(), kind, re.sub(r"\D", "", m[0])
 
 
+def _bare(text: str, found: list[tuple[int, int, str, str]]) -> Iterator[tuple[int, int, str, str]]:
+    """Words of the names in `found` that stand outside of it, with a capital or without case."""
+    known = {w for _, _, kind, entity in found if kind.startswith("name-") for w in entity.split()}
+    at = 0
+    for m in WORD.finditer(text) if known else ():
+        while at < len(found) and found[at][1] <= m.start():
+            at += 1
+        inside = at < len(found) and found[at][0] < m.end()
+        if not inside and not m[0][0].islower() and m[0].casefold() in known:
+            yield *m.span(), f"name-n-{script(m[0])}-1", m[0].casefold()
+
+
+def mentions(text: str) -> list[tuple[int, int, str, str]]:
+    """Start, end, type and entity of each mention, from left to right; words of names that stand
+    without a title are of the type `name-n-<script>-1`."""
+    found = list(_of_patterns(text))
+    return sorted([*found, *_bare(text, found)])
+
+
+def parts(text: str) -> Iterator[tuple[int, int, str, str, bool]]:
+    """Start, end, type and entity of what is replaced at once, and whether a mention starts there:
+    mentions, but names word by word."""
+    found = list(_of_patterns(text))
+    titled = [(kind.split("-")[1], entity.split()) for _, _, kind, entity in found if kind.startswith("name-")]
+    family = {words[-1] for _, words in titled}
+    genders: dict[str, str] = {}
+    for gender, words in titled:
+        if gender != "n" and len(words) == 2:
+            genders.setdefault(words[0], gender)
+    for start, end, kind, entity in [*found, *_bare(text, found)]:
+        if not kind.startswith("name-"):
+            yield start, end, kind, entity, True
+            continue
+        own = kind.split("-")[1]
+        for k, m in enumerate(WORD.finditer(text, start, end)):
+            word = m[0].casefold()
+            if word in family:
+                part = f"name-n-{script(word)}-1"
+            else:
+                part = f"name-{own if own != 'n' else genders.get(word, 'n')}-{script(word)}-given"
+            yield *m.span(), part, word, k == 0
+
+
 @functools.cache
 def _alike(c: str) -> str:
     """Letters, digits or marks of the script and case of `c`; empty if `c` is none of them.
@@ -212,9 +279,8 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     if kind.startswith("name-"):
         _, gender, alphabet, n = kind.split("-")
         syllables = "".join(draw.of(SYLLABLES[alphabet]) for _ in range(attempt))
-        if n == "1":
-            return (draw.of(FAMILY[alphabet]) + syllables).casefold()
-        return f"{draw.of(GIVEN[alphabet][gender])} {draw.of(FAMILY[alphabet])}{syllables}".casefold()
+        given = [name for g, names in GIVEN[alphabet].items() if gender in (g, "n") for name in names]
+        return (draw.of(given if n == "given" else FAMILY[alphabet]) + syllables).casefold()
     if kind == "card":
         digits = draw.of("123456789") + "".join(str(draw.below(10)) for _ in range(len(entity) - 2 + more))
         check = luhn(digits + "0")
@@ -232,9 +298,7 @@ def formatted(mention: str, kind: str, plain: str) -> str:
         digits = iter(plain)
         return "".join(next(digits) if c.isdigit() else c for c in mention) + "".join(digits)
     if kind.startswith("name-"):
-        words = [w.capitalize() for w in plain.split()]
-        return " ".join(w.upper() if m.isupper() and len(m) > 1 else w for w, m in
-                        zip(words, mention.split(), strict=True))
+        return plain.upper() if mention.isupper() and len(mention) > 1 else plain.capitalize()
     if kind == "email" and mention.isupper():
         return plain.upper()
     return plain
@@ -244,13 +308,12 @@ def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist(), strict=True):
-            rows += [(key, start, end, kind, entity, text[start:end])
-                     for start, end, kind, entity in mentions(text)]
+            rows += [(key, *part) for part in parts(text)]
         if rows:
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string()]
+            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["key", "start", "end", "kind", "entity", "mention"],
+                names=["key", "start", "end", "kind", "entity", "counts"],
             )
 
 
@@ -269,17 +332,20 @@ def _drawn(key: bytes):
 
 def surrogates(entities: DataFrame, key: bytes = KEY) -> DataFrame:
     """(kind, entity, plain) for distinct (kind, entity): no two entities of a kind share a
-    surrogate and no surrogate is an entity of its kind."""
-    real = entities.select("kind", F.col("entity").alias("plain")).withColumn("real", F.lit(True))
+    surrogate and no surrogate is an entity of its kind, all kinds of names taken as one."""
+    group = F.substring_index("kind", "-", 1).alias("group")
+    real = entities.select(group, F.col("entity").alias("plain")).distinct().withColumn("real", F.lit(True))
     drawn = entities.select("kind", "entity").withColumn("attempt", F.lit(0))
     while True:
         made, _ = materialize(
             drawn.mapInArrow(_drawn(key), "kind string, entity string, attempt int, plain string"), "surrogates"
         )
         # Whoever has drawn least often keeps a surrogate, so that settled ones stay.
-        first = made.groupBy("kind", "plain").agg(F.min(F.struct("attempt", "entity")).alias("first"))
-        judged = made.join(first, ["kind", "plain"]).join(real, ["kind", "plain"], "left").withColumn(
-            "clash", (F.col("first.entity") != F.col("entity")) | F.coalesce("real", F.lit(False))
+        own = F.struct("attempt", "kind", "entity")
+        made = made.select("*", group)
+        first = made.groupBy("group", "plain").agg(F.min(own).alias("first"))
+        judged = made.join(first, ["group", "plain"]).join(real, ["group", "plain"], "left").withColumn(
+            "clash", (F.col("first") != own) | F.coalesce("real", F.lit(False))
         )
         judged, _ = materialize(judged.select("kind", "entity", "attempt", "plain", "clash"), "judged")
         if judged.filter("clash").isEmpty():
@@ -298,7 +364,7 @@ def _replaced(name: str, schema_names: list[str]):
                     parts += [text[done:e["start"]], formatted(text[e["start"]:e["end"]], e["kind"], e["plain"])]
                     done = e["end"]
                 texts.append("".join([*parts, text[done:]]) if edits else text)
-                counts.append(len(edits or []))
+                counts.append(sum(e["counts"] for e in edits or []))
             columns = {c: batch.column(c) for c in batch.schema.names}
             columns[name] = pa.array(texts, pa.string())
             columns["n_replaced"] = pa.array(counts, pa.int64())
@@ -315,12 +381,12 @@ def replace_pii(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFr
     maybe = F.coalesce(column.rlike(MAYBE), F.lit(False))
     some = docs.filter(maybe).withColumn("__key", F.unhex(F.md5(column)))
     found = some.select(F.col("__key").alias("key"), column.alias("text")).mapInArrow(
-        _detect, "key binary, start bigint, end bigint, kind string, entity string, mention string"
+        _detect, "key binary, start bigint, end bigint, kind string, entity string, counts boolean"
     )
     found, _ = materialize(found.distinct(), "mentions")
     table, _ = materialize(surrogates(found.select("kind", "entity").distinct(), key), "table")
     edits = found.join(table, ["kind", "entity"]).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind", "plain"))).alias("__edits")
+        F.sort_array(F.collect_list(F.struct("start", "end", "kind", "plain", "counts"))).alias("__edits")
     )
     names = [*kept, "n_replaced"]
     schema = docs.withColumn("n_replaced", F.lit(0).cast("bigint")).schema

@@ -251,6 +251,28 @@ def test_no_local_part_survives_in_any_script(spark):
             pii.unicodedata.name(c).split()[0].split("-")[0] for c in name.lower()]
 
 
+NAMED = [
+    (1, "Mr John Smith came. Mr Smith left. Smith said so, and SMITH's friend John: Mr Smith Said no; a smith.", None),
+    (2, "Dr Ada Young, Prof. Dr. Kern and Dott. Rossi met Mrs Ada Young; Young spoke, Mr Smith did not.", None),
+    (3, "Mr Kern Replied. Mr Kern left.", None), (4, "Smith and John alone", None),
+]
+
+
+def test_a_person_has_one_surrogate_in_a_text(spark):
+    got = {r.doc_id: r for r in pii.replace_pii(data.frame(spark, NAMED)).collect()}
+    first = got[1].text.replace(".", "").replace(",", "").replace(";", "").replace(":", "").split()
+    given, family = first[1:3]
+    assert {given, family} & {"John", "Smith"} == set() and given.casefold() != family.casefold()
+    assert got[1].text == NAMED[0][1].replace("John", given).replace("Smith", family).replace("SMITH", family.upper())
+    assert got[1].n_replaced == 6
+    assert not any(name in got[2].text for name in ("Ada", "Young", "Kern", "Rossi", "Smith"))
+    words = got[2].text.replace(",", "").replace(";", "").split()
+    assert words[1:3] == words[11:13] and words[2] == words[13] and got[2].text.startswith("Dr ")
+    assert f"Mr {family}" in got[2].text and got[2].n_replaced == 6
+    assert words[5] == got[3].text.split()[1] and got[3].text.count(words[5]) == 2
+    assert (got[4].text, got[4].n_replaced) == (NAMED[3][1], 0)
+
+
 def test_no_private_data(spark):
     assert pii.replace_pii(data.frame(spark, [])).collect() == []
 
