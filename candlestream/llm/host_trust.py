@@ -23,7 +23,6 @@ from candlestream.session import materialize
 ALLOW, BLOCK = "allow", "block"
 
 DAMPING = 0.85
-ROUNDS = 30
 TOLERANCE = 1e-9
 
 # Hosts whose scores are sent to all executors; more are joined by shuffle.
@@ -91,12 +90,18 @@ def host_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING,
-           rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+           tolerance: float = TOLERANCE) -> DataFrame:
     """Personalised PageRank: (host, score) from `seeds` (host, weight) along `links`.
 
+    Rounds go on until the scores change by less than `tolerance` in all, about 130 at 1e-9, and no
+    new host is reached. They end: a round's change is at most `damping` times the one before, and
+    there are as many hosts as links allow.
+
     The score of a host without links ends there instead of returning to the seeds; that scales
     all scores by one factor, and they are scaled to a sum of one at the end.
     """
+    if not 0 <= damping < 1:
+        raise ValueError(f"damping of {damping} never settles")
     total = seeds.agg(F.sum("weight")).first()[0] or 0.0
     if total == 0:
         return seeds.select("host", F.lit(0.0).alias("score"))
@@ -106,20 +111,21 @@ def spread(links: DataFrame, seeds: DataFrame, damping: float = DAMPING,
         links.join(out, "src").select("src", "dst", (F.col("n") / F.col("all_n")).alias("share")),
         "links",
     )
-    start, _ = materialize(start, "seeds")
+    start, reached = materialize(start, "seeds")
     scores = start
-    for _ in range(rounds if edges else 0):
+    while edges:
         moved = shares.join(scores, shares["src"] == scores["host"]).select(
             F.col("dst").alias("host"), (F.col("score") * F.col("share") * damping).alias("part")
         )
         restart = start.select("host", (F.col("score") * (1 - damping)).alias("part"))
         following = moved.union(restart).groupBy("host").agg(F.sum("part").alias("score"))
-        following, _ = materialize(following, "scores")
+        following, hosts = materialize(following, "scores")
         change = following.withColumnRenamed("score", "new").join(scores, "host", "full").agg(
             F.sum(F.abs(F.coalesce("new", F.lit(0.0)) - F.coalesce("score", F.lit(0.0))))
         ).first()[0]
-        scores = following
-        if change < tolerance:
+        settled = change < tolerance and hosts == reached
+        scores, reached = following, hosts
+        if settled:
             break
     mass = scores.agg(F.sum("score")).first()[0]
     return scores.select("host", (F.col("score") / mass).alias("score"))

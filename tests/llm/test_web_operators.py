@@ -135,5 +135,27 @@ def test_trust_and_distrust_follow_links(spark):
     assert [got[k].verdict for k in (1, 2, 3, 4, 6, 7)] == ["allow", "allow", "block", "block", "block", "allow"]
 
 
+def test_scores_settle_and_reach_every_host(spark):
+    """A cycle, which 30 rounds leave unsettled, and a chain of more links than that."""
+    edges = Counter({("c0", "c1"): 2, ("c1", "c2"): 1, ("c2", "c0"): 1, ("c1", "c0"): 3})
+    edges.update({(f"h{k}", f"h{k + 1}"): 1 for k in range(40)})
+    links = spark.createDataFrame([(a, b, n) for (a, b), n in edges.items()], "src string, dst string, n bigint")
+    seeds = {"c0": 3.0, "h0": 1.0}
+    got = {r.host: r.score for r in host_trust.spread(
+        links.coalesce(1), spark.createDataFrame(list(seeds.items()), "host string, weight double").coalesce(1)
+    ).collect()}
+    want = pagerank(edges, seeds, 0.85, 400)
+    assert got.keys() == want.keys() and len(got) == 44
+    assert all(got[h] == pytest.approx(want[h], abs=1e-8) for h in want) and got["h40"] > 0
+
+
+def test_a_host_beyond_the_tolerance_is_reached(spark):
+    """Far hosts get so little that the change is below the tolerance long before they are reached."""
+    links = spark.createDataFrame([(f"h{k}", f"h{k + 1}", 1) for k in range(12)], "src string, dst string, n bigint")
+    seeds = spark.createDataFrame([("h0", 1.0)], "host string, weight double")
+    got = host_trust.spread(links.coalesce(1), seeds, tolerance=0.5).collect()
+    assert len(got) == 13 and all(r.score > 0 for r in got)
+
+
 def test_no_pages(spark):
     assert host_trust.judge(pages(spark, [])).collect() == []
