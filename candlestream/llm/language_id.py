@@ -1,7 +1,7 @@
 """Language of texts from language-bitmask n-gram filters.
 
 Every language has a Bloom filter of its typical byte n-grams. The filters are bit-sliced: a slot
-holds one bit per language, so one n-gram's slots, taken together by AND, are the set of languages
+holds one bit per language, in as many 64-bit words as there are languages for, so one n-gram's slots, taken together by AND, are the set of languages
 that have it. A text's n-grams are looked up, each language's hits are counted, the hits that a
 filter as full as that language's gives by chance are taken off, and the most hits decide.
 
@@ -86,7 +86,7 @@ def _counted(size: int):
 
 @dataclass(frozen=True)
 class Filters:
-    """`slots[s]` has bit l set if a typical n-gram of `languages[l]` falls into slot s."""
+    """`slots[s, l // 64]` has bit l % 64 set if a typical n-gram of `languages[l]` falls into slot s."""
 
     languages: list[str]
     usual: str
@@ -95,7 +95,7 @@ class Filters:
     size: int
 
     def hits(self, grams: np.ndarray) -> np.ndarray:
-        """The languages of each n-gram, as bits."""
+        """The languages of each n-gram, as bits in the words of a row."""
         mask = tx.U64((1 << SLOT_BITS) - 1)
         found = self.slots[(grams & mask).astype(np.int64)]
         for k in range(1, PROBES):
@@ -116,38 +116,42 @@ def learn(
     found = sorted((r.lang, r.n) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect())
     if not found:
         return None
-    if len(found) > 64:
-        raise ValueError(f"{len(found)} languages; a slot has room for 64")
     languages = [name for name, _ in found]
-    code, share = F.lit(None).cast("int"), F.lit(0.0)
-    for k, (name, n) in enumerate(found):
-        code = F.when(F.col("lang") == name, F.lit(k)).otherwise(code)
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, sample_rows / n))).otherwise(share)
-    sample = rows.filter(F.pmod(F.xxhash64("doc", "text"), F.lit(1_000_000)) < share * 1_000_000).select(
-        code.alias("code"), "text"
+    codes = labelled.sparkSession.createDataFrame(
+        [(name, k, min(1.0, sample_rows / n)) for k, (name, n) in enumerate(found)],
+        "lang string, code int, share double",
     )
+    sample = rows.join(F.broadcast(codes), "lang").filter(
+        F.pmod(F.xxhash64("doc", "text"), F.lit(1_000_000)) < F.col("share") * 1_000_000
+    ).select("code", "text")
     counts = sample.mapInArrow(_counted(size), "code int, gram bigint, n bigint")
     counts, _ = materialize(counts.groupBy("gram", "code").agg(F.sum("n").alias("n")), "grams")
     totals = counts.groupBy("code").agg(F.sum("n").alias("total"))
     shares = counts.join(F.broadcast(totals), "code").withColumn("share", F.col("n") / F.col("total"))
     typical = shares.groupBy("gram").agg(
         F.max("share").alias("top"), F.collect_list(F.struct("code", "n", "share")).alias("all")
-    ).select("gram", F.aggregate(
-        F.filter("all", lambda x: (x["share"] >= F.col("top") * ratio) & (x["n"] >= least_count)),
-        F.lit(0).cast("bigint"),
-        lambda bits, x: bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), x["code"])),
-    ).alias("bits")).filter("bits != 0")
+    ).select("gram", F.explode(F.filter(
+        "all", lambda x: (x["share"] >= F.col("top") * ratio) & (x["n"] >= least_count)
+    )).alias("x")).select(
+        "gram", F.shiftright("x.code", 6).alias("word"),
+        F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("x.code").bitwiseAND(63)).alias("bits"),
+    )
     probes = F.array(*[
         F.shiftrightunsigned("gram", SLOT_BITS * k).bitwiseAND((1 << SLOT_BITS) - 1)
         for k in range(PROBES)
     ])
-    filled = typical.select(F.explode(probes).alias("slot"), "bits").groupBy("slot").agg(
+    filled = typical.select(F.explode(probes).alias("slot"), "word", "bits").groupBy("slot", "word").agg(
         F.bit_or("bits").alias("bits")
     ).toArrow()
-    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(k).itemsize * 8 >= len(found))
-    slots = np.zeros(1 << SLOT_BITS, kind)
-    slots[filled.column("slot").to_numpy()] = filled.column("bits").to_numpy().view(np.uint64).astype(kind)
-    full = np.array([np.count_nonzero(slots >> kind(k) & kind(1)) for k in range(len(found))])
+    kind = next(
+        k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if np.dtype(k).itemsize * 8 >= min(len(found), 64)
+    )
+    slots = np.zeros((1 << SLOT_BITS, -(-len(found) // 64)), kind)
+    at = filled.column("slot").to_numpy(), filled.column("word").to_numpy()
+    slots[at] = filled.column("bits").to_numpy().view(np.uint64).astype(kind)
+    full = np.array([
+        np.count_nonzero(slots[:, k // 64] >> kind(k % 64) & kind(1)) for k in range(len(found))
+    ])
     usual = max(found, key=lambda x: x[1])[0]
     return Filters(languages, usual, slots, (full / len(slots)) ** PROBES, size)
 
@@ -177,7 +181,7 @@ def _predicted(filters: Filters):
                 edges = np.concatenate([[0], np.cumsum(counts)])
                 hits = np.empty((len(texts), len(filters.languages)))
                 for k in range(len(filters.languages)):
-                    running = np.concatenate([[0], np.cumsum((found >> k) & 1, dtype=np.int64)])
+                    running = np.concatenate([[0], np.cumsum((found[:, k // 64] >> (k % 64)) & 1, dtype=np.int64)])
                     own = running[edges[1:]] - running[edges[:-1]]
                     chance = filters.chance[k]
                     hits[:, k] = np.maximum(own - counts * chance, 0) / (1 - chance)

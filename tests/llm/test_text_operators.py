@@ -335,6 +335,21 @@ def test_languages(spark):
     assert all(0 <= r.score <= 1 for r in got) and by[1003].lang_pred in ("aa", "bb", "cc")
 
 
+@pytest.mark.parametrize("n", [64, 130])
+def test_any_number_of_languages(spark, n):
+    """Each language has letters of its own, so each text says which one it is."""
+    def text(seed, k):
+        rng = np.random.default_rng(seed)
+        letters = [chr(0x4E00 + 20 * k + i) for i in range(6)]
+        return " ".join("".join(rng.choice(letters, 2)) for _ in range(40))
+    rows = [(r * n + k, text(r * n + k, k), f"x{k:03d}") for r in range(8) for k in range(n)]
+    got = language_id.identify(data.frame(spark, rows)).collect()
+    learned = {lang for doc, _, lang in rows if not held_out(doc, 4)}
+    want = {doc: lang for doc, _, lang in rows}
+    assert len(learned) == n and len(got) == len(rows)
+    assert {r.doc_id: r.lang_pred for r in got} == want
+
+
 def test_languages_without_labels(spark):
     assert language_id.identify(data.frame(spark, [])).collect() == []
     got = language_id.identify(data.frame(spark, [(1, "some words", None)])).collect()
