@@ -39,32 +39,37 @@ PROBES = 3
 def simhash(shingles: Column) -> Column:
     """64 bits, each the majority of that bit over all shingles (0 on a draw).
 
-    Four bits are counted at once, in the four 16-bit lanes of a long.
+    Four bits are counted at once, in the four 16-bit lanes of a long; of more shingles than the lane
+    with the sign can count, two bits in 32-bit lanes.
     """
+    return let(shingles, lambda s: F.when(F.size(s) <= 0x7FFF, _simhash(s, 4)).otherwise(_simhash(s, 2)))
+
+
+def _simhash(s: Column, per_long: int) -> Column:
+    width = 64 // per_long
     lanes = F.array(*[
-        F.lit(sum(((x >> bit) & 1) << (16 * bit) for bit in range(4))).cast("bigint")
-        for x in range(16)
+        F.lit(sum(((x >> bit) & 1) << (width * bit) for bit in range(per_long))).cast("bigint")
+        for x in range(1 << per_long)
     ])
 
     def lane_of(h: Column, at: int) -> Column:
-        four = F.shiftrightunsigned(h, at).bitwiseAND(15)
-        return F.element_at(lanes, (four + 1).cast("int"))
+        some = F.shiftrightunsigned(h, at).bitwiseAND((1 << per_long) - 1)
+        return F.element_at(lanes, (some + 1).cast("int"))
 
-    def counted(s: Column, at: int) -> Column:
+    def counted(at: int) -> Column:
         zero = F.lit(0).cast("bigint")
         return F.aggregate(s, zero, lambda total, h: total + lane_of(h, at))
 
-    def of(s: Column) -> Column:
-        sums = F.array(*[counted(s, at) for at in range(0, 64, 4)])
-        return let(sums, lambda counts: _majorities(counts, F.size(s)))
-
-    return let(shingles, of)
+    sums = F.array(*[counted(at) for at in range(0, 64, per_long)])
+    return let(sums, lambda counts: _majorities(counts, F.size(s), per_long))
 
 
-def _majorities(counts: Column, n: Column) -> Column:
+def _majorities(counts: Column, n: Column, per_long: int) -> Column:
+    width = 64 // per_long
     bits = F.lit(0).cast("bigint")
     for lane in range(64):
-        ones = F.shiftrightunsigned(F.get(counts, F.lit(lane // 4)), 16 * (lane % 4)).bitwiseAND(0xFFFF)
+        held = F.shiftrightunsigned(F.get(counts, F.lit(lane // per_long)), width * (lane % per_long))
+        ones = held.bitwiseAND(F.lit((1 << width) - 1).cast("bigint"))
         one = F.shiftleft(F.lit(1).cast("bigint"), lane)
         bits = bits + F.when(ones * 2 > n, one).otherwise(F.lit(0).cast("bigint"))
     return bits

@@ -163,6 +163,16 @@ def test_simhash_against_counting(spark):
         assert value & (2**64 - 1) == want
 
 
+def test_simhash_of_more_shingles_than_a_small_lane_counts(spark):
+    same = [F.array_repeat(F.lit(-7).cast("bigint"), n) for n in (32_767, 32_768, 70_000)]
+    mixed = F.transform(F.sequence(F.lit(1), F.lit(140_000)), lambda k: F.xxhash64(k))
+    row = spark.range(1).select(*map(decontamination.simhash, [*same, mixed]), mixed).first()
+    sh = np.array(row[4], np.int64).view(np.uint64)
+    ones = [int((sh >> np.uint64(b) & np.uint64(1)).sum()) for b in range(64)]
+    assert list(row[:3]) == [-7] * 3
+    assert row[3] & (2**64 - 1) == sum(1 << b for b in range(64) if 2 * ones[b] > len(sh))
+
+
 PRIVATE = [
     (1, "Mail jo.Doe@mail.example.com or JO.DOE@MAIL.EXAMPLE.COM, call +1 (017) 555-7713.", "en"),
     (2, "Again jo.doe@mail.example.com; card 4845 1681 1440 7329 and 4845168114407329.", "en"),
