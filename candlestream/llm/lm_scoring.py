@@ -1,13 +1,14 @@
-"""Log probability of texts under a smoothed n-gram model, kept as a weighted backoff automaton.
+"""Log probability of texts under a smoothed n-gram model: that of a weighted backoff automaton.
 
 States are the histories seen in training. From state h an arc for word w leads on with
 log10((c(hw) + k P(w)) / (c(h) + k)) when hw was seen; else the failure arc, with
 log10(k / (c(h) + k)), leads to the state of the shorter history, down to the empty one, where
 P(w) = (c(w) + 1) / (N + V + 1). Probabilities of all words and one unknown word sum to one in
-every state. A text is read from left to right once; the state after a word is its longest suffix
-that is a state, so the states at all places of many texts are found as arrays.
+every state. The state after a word is its longest suffix that is a state, so it hangs on the words
+before a place alone. No arcs are built and no state is carried: the counts at all places of many
+texts are looked up as arrays, and a count of zero in an arc's formula gives the failure arc's weight.
 
-The automaton never is in one place. Documents are dealt into chunks; a chunk's distinct n-grams
+The model never is in one place. Documents are dealt into chunks; a chunk's distinct n-grams
 go, with its training counts, to the tasks that own their hash ranges, these add up, and each
 chunk gets the totals of its own n-grams back. An n-gram, however frequent, travels once per chunk.
 

@@ -58,6 +58,34 @@ def test_scores(spark, monkeypatch, order):
     assert sorted((str(r[0]), *r[1:5], round(r[5], 4), round(r[6], 4)) for r in got) == want
 
 
+def test_scores_are_those_of_an_automaton(spark):
+    """A walk over a table of arcs (state, word, weight, next state) and failure arcs."""
+    rows, k = data.documents(), lm_scoring.STRENGTH
+    texts = [(doc, [*brute.words(lowered(t)), "\0end"]) for doc, t, _ in rows]
+    learned = [w for doc, w in texts if not held_out(doc, 7)]
+    words = Counter(x for w in learned for x in w)
+    pairs = Counter(p for w in learned for p in zip(["\0start", *w], w))
+    base = {w: (n + 1) / (words.total() + len(words) + 1) for w, n in words.items()}
+    unknown = 1 / (words.total() + len(words) + 1)
+    at = Counter({h: n for h, n in words.items() if h != "\0end"} | {"\0start": len(learned)})
+    arcs = {("", w): (math.log10(p), w) for w, p in base.items()}
+    arcs |= {(h, w): (math.log10((n + k * base[w]) / (at[h] + k)), w) for (h, w), n in pairs.items()}
+    fails = {h: math.log10(k / (n + k)) for h, n in at.items()}
+
+    def walk(text):
+        state, total = "\0start", 0.0
+        for w in text:
+            if (state, w) not in arcs and state:
+                total, state = total + fails[state], ""
+            weight, state = arcs.get((state, w), (math.log10(unknown), ""))
+            total += weight
+        return total
+
+    got = lm_scoring.scores(data.frame(spark)).collect()
+    assert sorted((str(r.doc_id), round(r.score, 4)) for r in got) == sorted(
+        (str(doc), round(walk(w), 4)) for doc, w in texts)
+
+
 def test_scores_of_nothing(spark):
     assert lm_scoring.scores(data.frame(spark, [])).collect() == []
 
