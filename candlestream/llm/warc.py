@@ -12,7 +12,8 @@ written last; readers open what the manifest lists. So a lost executor leaves no
 is read. Names and contents of the files are the same for each run over one table.
 
 Defined cases: a NULL payload is an empty one; a NULL or empty url leaves the target header out,
-and control characters in one are escaped; a NULL id sorts first and its header is left out; rows
+and control characters in one are escaped; a NULL id sorts first, its header
+is left out, and its row is a response that no revisit refers to; rows
 that repeat id and payload are all responses; an empty table gives an archive without files; other
 columns are not read, so their names cannot clash.
 """
@@ -211,7 +212,7 @@ def write(
     rows, volume = digests.agg(F.count("*"), F.sum("n")).first()
     repeated, many = written(
         digests.filter(F.col("n") >= revisit_bytes).groupBy("digest").agg(
-            F.min(F.struct("page_id", "url")).alias("first"), F.count("*").alias("copies")
+            F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("*").alias("copies")
         ).filter("copies > 1").select("digest", "first.page_id", "first.url"),
         f"{folder}/_work/repeated",
     )

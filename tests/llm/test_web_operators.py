@@ -53,6 +53,15 @@ def test_archive_gives_back_every_page(spark, tmp_path, least):
         assert gzip.decompress(data).startswith(b"WARC/1.1\r\n")
 
 
+def test_a_page_without_id_hides_no_revisits(spark, tmp_path):
+    rows = [(None, "http://n.net/", ""), (4, "http://a.net/", ""), (9, "http://b.net/", None), (None, None, ""),
+            (None, None, "x"), (None, None, "x")]
+    folder = f"file://{tmp_path}/warc"
+    warc.write(pages(spark, rows), folder)
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.read(spark, folder).collect())
+    assert got == Counter({(None, "response", None): 4, (4, "response", None): 1, (9, "revisit", 4): 1})
+
+
 def test_archives_of_one_table_are_equal(spark, tmp_path):
     made = []
     for k in range(2):
