@@ -33,8 +33,30 @@ NOT base_failed AND n_symbols * 10 <= n_words AND word_chars BETWEEN n_words * 2
   AND n_dup_lines * 10 <= len(lines) * 6 AND n_upper * 2 <= word_chars
 """
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+  SELECT vec_id AS id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM vectors a JOIN vectors r ON a.id % 100 = 0 AND r.id <> a.id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT same
+  AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op8_quality_cascade": f"""{_QUALITY}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   {QUALITY_KEPT} AS kept FROM judged""",
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

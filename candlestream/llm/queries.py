@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlestream.llm import (
-    decontamination, host_trust, jaccard_join, language_id, lm_scoring, packing, pii,
-    quality, suffix_dedup, warc,
+    decontamination, hard_negatives, host_trust, jaccard_join, language_id, lm_scoring, packing, pii,
+    quality, suffix_dedup, token_counts, warc, whitening,
 )
 from candlestream.session import new_folder
 
@@ -75,6 +75,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = hard_negatives.prepared(table(spark, sf_dir, "embeddings"))
+    mislabelled = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", mislabelled), F.col("id") % 100 == 0)
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.counts(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_jaccard_join": op2_jaccard_join,
@@ -86,4 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_quality_cascade": op8_quality_cascade,
     "op9_host_trust": op9_host_trust,
     "op10_language_id": op10_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_token_counts": op12_token_counts,
+    "op13_whitening": op13_whitening,
 }
