@@ -12,14 +12,19 @@ The corpus is cut so that no two equal strings are parted. Of all 64-byte grams
 Each string belongs to the stretch around its anchor that holds all neighbouring strings of the
 same anchor, so each place of the corpus is in one stretch. Anchors that occur once are dropped;
 the stretches of the others are dealt by anchor into units, and equal stretches, such as those of
-copies, stand in a unit once, with a weight. A unit of some MB gets its own transform. An anchor
-whose different stretches exceed a unit is not transformed: its strings are counted by 128-bit
-hash, in as many tasks as needed.
+copies, stand in a unit once, with a weight. A unit of some MB gets its own transform.
+
+An anchor whose different stretches exceed a unit is divided: strings by how far they reach before
+it, in two halves. All strings of a half share more bytes than the anchor's own, and these become
+its key; so stretches that only share the anchor go apart, and equal pieces of stretches become
+one. Halves still too large are divided again. At the end a part is a single reach, whose key is
+the whole string, so that every part fits a unit.
 
 Strings are judged on the input. Defined cases: NULL texts are empty; texts shorter than `length`
 keep everything; repeated rows are places of their own, so repeated texts of that length go
-entirely; an empty table gives an empty result; other columns are not read, so their names cannot
-clash.
+entirely; an empty table gives an empty result; what is left of a text may part a character, whose
+remaining bytes count in the digest but not in `text`; other columns are not read, so their names
+cannot clash.
 """
 
 from __future__ import annotations
@@ -44,8 +49,10 @@ GRAM = 64
 UNIT_BYTES = 1_500_000
 ANCHOR_BYTES = 3_000_000
 
-# Texts with something to remove that are sent to all executors; more are joined by shuffle.
-BROADCAST_TEXTS = 200_000
+# Bytes of spans to remove that are sent to all executors; more are joined by shuffle, where the
+# rows of a text are dealt to so many tasks.
+BROADCAST_BYTES = 32 << 20
+DEALT = 16
 
 # Window starts handled at once in a long text.
 PART = 1 << 22
@@ -77,11 +84,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Row, hash of the anchor, and first and last start (in the row) of the strings of `length`
-    bytes that have it, for the rows `data[starts[i]:ends[i]]`."""
+    """Row, hash of the anchor, first and last start (in the row) of the strings of `length` bytes
+    that have it, and the anchor's distance from the first, for the rows `data[starts[i]:ends[i]]`."""
     if len(data) < length:
         none = np.empty(0, np.int64)
-        return none, none.astype(np.uint64), none, none
+        return none, none.astype(np.uint64), none, none, none
     hashes = _gram_hashes(data)
     keyed = (hashes & ~_PLACE) | np.arange(len(hashes), dtype=np.uint64)
     owner = (_sliding_least(keyed, length - GRAM + 1) & _PLACE).astype(np.int64)
@@ -97,10 +104,12 @@ def anchors(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(places))[:len(first)] - 1
     row = row[first]
-    return row, hashes[owner[first]], places[first] - starts[row], places[last] - starts[row]
+    reach = owner[first] - places[first]
+    return row, hashes[owner[first]], places[first] - starts[row], places[last] - starts[row], reach
 
 
-_SPAN = pa.struct([("lo", pa.int64()), ("hi", pa.int64())])
+_SPAN = pa.struct([("lo", pa.int64()), ("hi", pa.int64()), ("reach", pa.int32())])
+_SPANS_SQL = "array<struct<lo: bigint, hi: bigint, reach: int>>"
 _ANCHORS = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("spans", pa.list_(_SPAN))])
 
 
@@ -108,16 +117,18 @@ def _anchored(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for texts in tx.slices(batch.column("text")):
-                for row, h, lo, hi in _parts(texts, length):
+                for row, h, lo, hi, reach in _parts(texts, length):
                     if not len(row):
                         continue
                     # One row per text and anchor: an anchor may recur in each line of a text.
                     order = np.lexsort((lo, h, row))
-                    row, h, lo, hi = row[order], h[order], lo[order], hi[order]
+                    row, h, lo, hi, reach = (x[order] for x in (row, h, lo, hi, reach))
                     new = np.ones(len(row), bool)
                     new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
                     first = np.flatnonzero(new)
-                    spans = pa.StructArray.from_arrays([pa.array(lo), pa.array(hi)], fields=list(_SPAN))
+                    spans = pa.StructArray.from_arrays(
+                        [pa.array(lo), pa.array(hi), pa.array(reach.astype(np.int32))], fields=list(_SPAN)
+                    )
                     edges = pa.array(np.append(first, len(row)).astype(np.int32))
                     yield pa.RecordBatch.from_arrays([
                         pa.array(h[first].view(np.int64)),
@@ -136,13 +147,13 @@ def _parts(texts: tx.Texts, length: int) -> Iterator[tuple[np.ndarray, ...]]:
     for k, (start, end) in enumerate(zip(texts.starts.tolist(), texts.ends.tolist(), strict=True)):
         for at in range(start, max(start + 1, end - length + 1), PART):
             part = texts.data[at:min(end, at + PART + length - 1)]
-            row, h, lo, hi = anchors(part, np.zeros(1, np.int64), np.array([len(part)]), length)
-            yield row + k, h, lo + at - start, hi + at - start
+            row, h, lo, hi, reach = anchors(part, np.zeros(1, np.int64), np.array([len(part)]), length)
+            yield row + k, h, lo + at - start, hi + at - start, reach
 
 
 _STRETCHES = pa.schema([
-    ("h", pa.int64()), ("key", pa.binary()), ("lo", pa.int64()), ("copies", pa.int64()),
-    ("bytes", pa.binary()),
+    ("h", pa.int64()), ("key", pa.binary()), ("los", pa.list_(pa.int64())), ("reach", pa.int32()),
+    ("copies", pa.int64()), ("bytes", pa.binary()),
 ])
 
 
@@ -155,13 +166,19 @@ def _stretched(length: int):
             ):
                 key, copies = key.as_py(), copies.as_py()
                 data = text.as_buffer()
+                # Equal stretches of a text, such as those of a line that recurs in it, are one row.
+                same: dict[tuple[int, bytes], list[int]] = {}
                 for h, span in ((a["h"], span) for a in anchors.as_py() for span in a["spans"]):
                     own = data.slice(span["lo"], span["hi"] + length - span["lo"]).to_pybytes()
-                    rows.append((h, key, span["lo"], copies, own))
-                    held += len(own)
+                    los = same.get((h, own))
+                    if los is None:
+                        los = same[h, own] = []
+                        rows.append((h, key, los, span["reach"], copies, own))
+                        held += len(own)
+                    los.append(span["lo"])
                     if held > tx.SLICE_BYTES:
                         yield _stretch_rows(rows)
-                        rows, held = [], 0
+                        rows, held, same = [], 0, {}
             if rows:
                 yield _stretch_rows(rows)
 
@@ -169,33 +186,79 @@ def _stretched(length: int):
 
 
 def _stretch_rows(rows: list[tuple]) -> pa.RecordBatch:
+    rows = [(h, key, los, reach, copies * len(los), own) for h, key, los, reach, copies, own in rows]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _STRETCHES, strict=True)],
         schema=_STRETCHES,
     )
 
 
+_HALVES = pa.schema([
+    ("h", pa.int64()), ("cid", pa.binary()), ("sub", pa.int64()), ("off", pa.int64()), ("reach", pa.int32()),
+    ("least", pa.int32()), ("most", pa.int32()), ("n", pa.int64()), ("bytes", pa.binary()),
+])
+
+
+def halves(own: bytes, reach: int, least: int, most: int, length: int) -> Iterator[tuple[int, int, int, int, int, bytes]]:
+    """Key, offset in the stretch, reach, least and most reach, and bytes of a stretch's strings whose
+    reach, the distance from their start to the anchor, is in the one and the other half of
+    `least` to `most`. The key stands for the bytes that all strings of that half share."""
+    middle = (least + most) // 2
+    last = reach - (len(own) - length)
+    for a, b in ((least, middle), (middle + 1, most)):
+        far, near = min(b, reach), max(a, last)
+        if near <= far:
+            shared = own[reach - a:reach - b + length]
+            key = hashlib.blake2b(shared, digest_size=8, salt=f"{a}-{b}".encode()).digest()
+            part = own[reach - far:reach - near + length]
+            yield int.from_bytes(key, "little", signed=True), reach - far, far, a, b, part
+
+
+def _halved(length: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                rows = []
+                columns = (batch.column(c).slice(at, 1024).to_pylist() for c in ("h", "cid", "reach", "least", "most", "n", "bytes"))
+                for h, cid, reach, least, most, n, own in zip(*columns, strict=True):
+                    for sub, off, far, a, b, part in halves(own, reach, least, most, length):
+                        rows.append((h, cid, sub, off, far, a, b, n, part))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _HALVES, strict=True)], schema=_HALVES
+                )
+
+    return run
+
+
+# What a key of seven symbols keeps if an end mark follows the first k.
+_BEFORE_MARK = np.array([(1 << 63) - (1 << 9 * (7 - k)) for k in range(8)], np.uint64)
+
+
 def bounded_order(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Suffixes in the order of their first `length` symbols or more; rows whose first seven
     symbols differ from the row before; and whether a suffix has an end mark (0) as its seventh.
     End marks differ from each other, the earlier one first."""
     n = len(symbols)
-    padded = np.concatenate([symbols, np.zeros(7, symbols.dtype)]).astype(np.uint64)
-    key, inside = np.zeros(n, np.uint64), np.ones(n, bool)
-    seventh = np.zeros(n, bool)
-    for k in range(7):
-        own = padded[k:k + n] * inside
-        if k == 6:
-            seventh = inside & (own == 0)
-        key = (key << tx.U64(9)) | own
-        inside &= own != 0
-    order = np.argsort(key, kind="stable")
-    heads = np.ones(n, bool)
+    until = _until_mark(symbols)
+    padded = np.zeros(n + 6, np.uint64)
+    padded[:n] = symbols
+    key = padded[:n].copy()
+    for k in range(1, 7):
+        key <<= tx.U64(9)
+        key |= padded[k:k + n]
+    # Symbols after an end mark have no part in a suffix.
+    key &= _BEFORE_MARK[np.minimum(until, 7)]
+    seventh = until == 6
+    order = np.argsort(key)
     ordered = key[order]
     # Suffixes that end within the key are told apart by their end marks.
-    heads[1:] = (ordered[1:] != ordered[:-1]) | ~inside[order[1:]]
+    ended = np.flatnonzero(until[order] <= 6)
+    order[ended] = order[ended][np.lexsort((order[ended], ordered[ended]))]
+    heads = np.ones(n, bool)
+    heads[1:] = ordered[1:] != ordered[:-1]
+    heads[ended] = True
     seeds = heads.copy()
-    del key, ordered
+    del key, ordered, padded
     rank = np.empty(n, np.int64)
     done = 7
     while True:
@@ -209,7 +272,7 @@ def bounded_order(symbols: np.ndarray, length: int) -> tuple[np.ndarray, np.ndar
             break
         own = order[open_rows]
         pair = (rank[own].astype(np.uint64) << tx.U64(32)) | rank[own + done].astype(np.uint64)
-        by = np.argsort(pair, kind="stable")
+        by = np.argsort(pair)
         order[open_rows] = own[by]
         pair = pair[by]
         heads[open_rows[1:]] |= pair[1:] != pair[:-1]
@@ -317,51 +380,100 @@ def _transformed(length: int):
     return run
 
 
-def _windows(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for h, cid, n, own in zip(*(batch.column(c) for c in ("h", "cid", "n", "bytes")), strict=True):
-                data = np.frombuffer(own.as_py(), np.uint8)
-                first = np.arange(len(data) - length + 1)
-                a, b = (tx.word_hashes(d, first, first + length) for d in (data, 255 - data))
-                k = len(first)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([h.as_py()] * k, pa.int64()), pa.array([cid.as_py()] * k, pa.binary()),
-                    pa.array(first), pa.array(a.view(np.int64)), pa.array(b.view(np.int64)),
-                    pa.array([n.as_py()] * k, pa.int64()),
-                ], names=["h", "cid", "first", "a", "b", "n"])
+def _merged(length: int):
+    def run(table: pa.Table) -> pa.RecordBatch:
+        """Byte ranges of a text, those that touch or overlap as one."""
+        los = table.column("los").combine_chunks()
+        each = np.repeat(np.arange(len(los)), np.diff(los.offsets.to_numpy()))
+        begin = los.flatten().to_numpy()
+        lo = begin + table.column("first").to_numpy()[each]
+        hi = begin + table.column("last").to_numpy()[each] + length
+        order = np.argsort(lo, kind="stable")
+        lo, hi = lo[order], np.maximum.accumulate(hi[order])
+        new = np.ones(len(lo), bool)
+        new[1:] = lo[1:] > hi[:-1]
+        first = np.flatnonzero(new)
+        ends = hi[np.append(first[1:], len(hi)) - 1]
+        spans = [{"lo": a, "hi": b} for a, b in zip(lo[first].tolist(), ends.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([table.column("key")[0].as_py()], pa.binary()), pa.array([spans], pa.list_(_RANGE))],
+            names=["key", "spans"],
+        )
 
     return run
 
 
+_RANGE = pa.struct([("lo", pa.int64()), ("hi", pa.int64())])
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
+        rows, held = [], 0
         for doc, text, spans in zip(*(batch.column(c) for c in ("doc", "text", "spans")), strict=True):
             data = text.as_buffer()
-            digest, removed, runs, done = hashlib.sha256(), 0, 0, 0
-            covered = -1
-            for span in spans.as_py() or []:
-                if span["lo"] > covered:
-                    digest.update(data.slice(done, span["lo"] - done))
-                    runs += 1
-                    done = covered = span["lo"]
-                if span["hi"] > covered:
-                    removed += span["hi"] - covered
-                    done = covered = span["hi"]
-            digest.update(data.slice(done))
-            rows.append((doc.as_py(), data.size, removed, runs, digest.hexdigest()))
+            left, removed, done = [], 0, 0
+            found = spans.as_py() or []
+            for span in found:
+                left.append(data.slice(done, span["lo"] - done).to_pybytes())
+                removed += span["hi"] - span["lo"]
+                done = span["hi"]
+            rest = b"".join([*left, data.slice(done).to_pybytes()])
+            rows.append((
+                doc.as_py(), data.size, removed, len(found), hashlib.sha256(rest).hexdigest(), rest.decode(errors="ignore")
+            ))
+            held += len(rest)
+            if held > tx.SLICE_BYTES:
+                yield _kept_rows(rows)
+                rows, held = [], 0
         if rows:
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-            )
+            yield _kept_rows(rows)
+
+
+def _kept_rows(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int64()] * 4 + [pa.string()] * 2
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
+        names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"],
+    )
+
+
+def _runs(distinct: DataFrame, length: int) -> DataFrame:
+    """(h, cid, first, last): runs of starts of repeated strings in different stretches, which have
+    columns h, cid, reach, least, most, bytes, n."""
+    sizes, _ = materialize(
+        distinct.groupBy("h").agg(F.sum(F.octet_length("bytes")).alias("size"), F.sum("n").alias("places"),
+                                  F.max(F.col("most") - F.col("least")).alias("room")), "sizes",
+    )
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    large, many = materialize(
+        sizes.filter((F.col("size") > ANCHOR_BYTES) & (F.col("room") > 0)).select("h"), "large"
+    )
+    units = max(1, total // UNIT_BYTES)
+    small = distinct.join(large, "h", "left_anti") if many else distinct
+    runs = by_group(
+        small.select("h", "cid", "bytes", "n", F.pmod(F.xxhash64("h"), F.lit(units)).cast("int").alias("unit")),
+        ["unit"], _transformed(length), "h bigint, cid binary, first bigint, last bigint",
+    )
+    if not many:
+        return runs
+    parts, _ = materialize(distinct.join(large, "h").mapInArrow(
+        _halved(length), "h bigint, cid binary, sub bigint, off bigint, reach int, least int, most int, n bigint, bytes binary"
+    ).withColumn("part", F.unhex(F.md5("bytes"))), "halves")
+    # Only keys that stand for several places go on.
+    often = parts.groupBy("sub").agg(F.sum("n").alias("places")).filter("places > 1")
+    smaller = parts.join(often, "sub", "left_semi").groupBy(
+        F.col("sub").alias("h"), F.col("part").alias("cid"), "bytes", "reach", "least", "most"
+    ).agg(F.sum("n").alias("n"))
+    smaller, _ = materialize(smaller, "parts")
+    found = _runs(smaller, length).withColumnsRenamed({"h": "sub", "cid": "part"})
+    return runs.union(parts.select("h", "cid", "sub", "part", "off").join(found, ["sub", "part"]).select(
+        "h", "cid", (F.col("off") + F.col("first")).alias("first"), (F.col("off") + F.col("last")).alias("last")
+    ))
 
 
 def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """(key, spans) for texts with bytes in strings that occur more than once: MD5 of the text and
-    byte ranges `lo` to `hi`, sorted; they may overlap."""
+    byte ranges `lo` to `hi`, sorted and apart."""
     if length <= GRAM:
         raise ValueError(f"length must be over {GRAM}")
     plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -371,7 +483,7 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     found, _ = materialize(
         source.select("key", "text").filter(F.octet_length("text") >= length)
         .mapInArrow(
-            _anchored(length), "h bigint, key binary, spans array<struct<lo: bigint, hi: bigint>>"
+            _anchored(length), f"h bigint, key binary, spans {_SPANS_SQL}"
         ), "anchors",
     )
     often = found.groupBy("h").agg(F.sum(F.size("spans")).alias("n")).filter("n > 1")
@@ -385,46 +497,39 @@ def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length:
     chosen = source.join(wanted, (F.col("key") == F.col("wanted")) & F.col("doc").eqNullSafe(F.col("one")))
     members, _ = materialize(
         chosen.select("key", "text", "copies", "anchors").mapInArrow(
-            _stretched(length), "h bigint, key binary, lo bigint, copies bigint, bytes binary"
+            _stretched(length),
+            "h bigint, key binary, los array<bigint>, reach int, copies bigint, bytes binary",
         ).withColumn("cid", F.unhex(F.md5("bytes"))), "stretches",
     )
-
-    sizes, _ = materialize(
-        members.select("h", "cid", F.octet_length("bytes").alias("size")).distinct()
-        .groupBy("h").agg(F.sum("size").alias("size")), "sizes",
-    )
-    total = sizes.agg(F.sum("size")).first()[0] or 0
-    large, many = materialize(sizes.filter(F.col("size") > ANCHOR_BYTES).select("h"), "large")
-    distinct = members.groupBy("h", "cid", "bytes").agg(F.sum("copies").alias("n"))
-    units = max(1, total // UNIT_BYTES)
-    small = distinct.join(large, "h", "left_anti") if many else distinct
-    runs = by_group(
-        small.withColumn("unit", F.pmod(F.xxhash64("h"), F.lit(units)).cast("int")), ["unit"],
-        _transformed(length), "h bigint, cid binary, first bigint, last bigint",
+    distinct = members.groupBy("h", "cid", "bytes", "reach").agg(F.sum("copies").alias("n")).withColumns(
+        {"least": F.lit(0), "most": F.lit(length - GRAM)}
     )
-    if many:
-        each, _ = materialize(distinct.join(large, "h").mapInArrow(
-            _windows(length), "h bigint, cid binary, first bigint, a bigint, b bigint, n bigint"
-        ), "windows")
-        twice = each.groupBy("a", "b").agg(F.sum("n").alias("all_n")).filter("all_n > 1")
-        runs = runs.union(each.join(twice, ["a", "b"]).select("h", "cid", "first", F.col("first").alias("last")))
-    return members.select("h", "cid", "key", "lo").join(runs, ["h", "cid"]).groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct(
-            (F.col("lo") + F.col("first")).alias("lo"), (F.col("lo") + F.col("last") + length).alias("hi")
-        ))).alias("spans")
+    runs = _runs(distinct, length)
+    return by_group(
+        members.select("h", "cid", "key", "los").join(runs, ["h", "cid"]).select("key", "los", "first", "last"),
+        ["key"], _merged(length), "key binary, spans array<struct<lo: bigint, hi: bigint>>",
     )
 
 
 def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """One row per row of `docs`: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and what is left
+    as `text`."""
     spans, many = materialize(repeats(docs, doc_id, text, length), "spans")
-    if many <= BROADCAST_TEXTS:
-        spans = F.broadcast(spans)
+    held = spans.agg(F.sum(F.size("spans"))).first()[0] or 0
     plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     source = docs.select(
         F.col(f"`{doc_id}`").cast("bigint").alias("doc"), plain.alias("text"),
         F.unhex(F.md5(plain)).alias("key"),
     )
-    return source.join(spans, "key", "left").select("doc", "text", "spans").mapInArrow(
-        _kept, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
+    on = ["key"]
+    if 64 * many + 16 * held <= BROADCAST_BYTES:
+        spans = F.broadcast(spans)
+    else:
+        # A text may stand in many rows.
+        on = ["key", "dealt"]
+        source = source.withColumn("dealt", F.pmod(F.monotonically_increasing_id(), F.lit(DEALT)).cast("int"))
+        spans = spans.withColumn("dealt", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
+    return source.join(spans, on, "left").select("doc", "text", "spans").mapInArrow(
+        _kept,
+        "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string",
     )
