@@ -42,11 +42,12 @@ from candlestream.llm.groups import by_group
 from candlestream.session import materialize
 
 LENGTH = 400
-# Long enough that few grams repeat by chance; those that do only cost time.
+# Long enough that few grams repeat by chance; those that do only cost time. A power of two.
 GRAM = 64
 
-# Bytes of different stretches that share a transform, and that one anchor may bring.
-UNIT_BYTES = 1_500_000
+# Bytes of different stretches that share a transform, so few that its arrays stay in the caches,
+# and that one anchor may bring.
+UNIT_BYTES = 500_000
 ANCHOR_BYTES = 3_000_000
 
 # Bytes of spans to remove that are sent to all executors; more are joined by shuffle, where the
@@ -54,22 +55,24 @@ ANCHOR_BYTES = 3_000_000
 BROADCAST_BYTES = 32 << 20
 DEALT = 16
 
-# Window starts handled at once in a long text.
-PART = 1 << 22
+# Bytes of texts, and window starts in a long text, handled at once; few, for the same reason.
+PART = 1 << 17
 _PLACE = tx.U64((1 << 24) - 1)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A hash of the GRAM bytes from each place on."""
-    wide = data.astype(np.uint64)
+    """A hash of the GRAM bytes from each place on, from those of half as many."""
+    found = data.astype(np.uint64)
     for shift in (1, 2, 4):
-        wide = wide[:-shift] | (wide[shift:] << tx.U64(8 * shift))
-    n = len(data) - GRAM + 1
-    factors = tx.random_numbers(GRAM // 8, 41)
-    mixed = wide[:n] * factors[0]
-    for step, factor in zip(range(8, GRAM, 8), factors[1:], strict=True):
-        mixed = (mixed ^ (mixed >> tx.U64(29))) + wide[step:step + n] * factor
-    return tx.mix(mixed)
+        found = found[:-shift] | (found[shift:] << tx.U64(8 * shift))
+    steps = [8 << k for k in range((GRAM // 8).bit_length() - 1)]
+    for step, factor in zip(steps, tx.random_numbers(len(steps), 41), strict=True):
+        mixed = found[:-step] >> tx.U64(29)
+        mixed ^= found[:-step]
+        mixed *= factor
+        mixed += found[step:]
+        found = mixed
+    return tx.mix(found)
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -116,7 +119,7 @@ _ANCHORS = pa.schema([("h", pa.int64()), ("key", pa.binary()), ("spans", pa.list
 def _anchored(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for texts in tx.slices(batch.column("text")):
+            for texts in tx.slices(batch.column("text"), limit=PART):
                 for row, h, lo, hi, reach in _parts(texts, length):
                     if not len(row):
                         continue
