@@ -40,6 +40,8 @@ class Strategy:
     watermark: str = "10 seconds"
     trigger: str = "10 seconds"
     indicators: tuple[ind.Indicator, ...] = ()
+    # Whether candles without a symbol, close or time are left out.
+    complete_only: bool = False
 
     @property
     def rolling(self) -> bool:
@@ -61,7 +63,7 @@ class Strategy:
         indicators = [
             replace(i, carried=carried) if carried and i.total_of else i for i in self.indicators
         ]
-        prepared = self.prepare(candles)
+        prepared = self.prepare(complete(candles) if self.complete_only else candles)
         if indicators:
             prepared = ind.add_indicators(prepared, *indicators)
         return advise(prepared, self.rules)
@@ -93,14 +95,14 @@ MULTI = Strategy(
     ),
 )
 RSI14 = Strategy(
-    "rsi14", complete, signals.RSI14, (*_PRICES, "event_time", "rsi_14", "advice"),
-    indicators=(ind.Rsi(),),
+    "rsi14", lambda c: c, signals.RSI14, (*_PRICES, "event_time", "rsi_14", "advice"),
+    indicators=(ind.Rsi(),), complete_only=True,
 )
 CROSS = Strategy(
-    "cross", lambda c: candle_features(complete(c)), signals.CROSS,
+    "cross", candle_features, signals.CROSS,
     (*_FEATURES, *_WINDOW, "bb_middle", "bb_upper", "bb_lower", "bb_signal", "sma_9", "sma_21",
      "sma_crossover", "rsi_14", "advice"),
-    indicators=(ind.Bollinger(), ind.SmaCross(), ind.Rsi()),
+    indicators=(ind.Bollinger(), ind.SmaCross(), ind.Rsi()), complete_only=True,
 )
 
 STRATEGIES = {s.name: s for s in (BASIC, VWAP, MULTI, RSI14, CROSS)}

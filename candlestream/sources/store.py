@@ -1,33 +1,28 @@
 """Candle and indicator tables as Parquet folders.
 
-    <path>/candles/writer=<name>/batch_id=<n>/dt=<date>/...    appended by streams
-    <path>/labels/writer=<name>/batch_id=<n>/...               indicators and advice
-    <path>/tail/<name>/<0 or 1>                                newest candles per symbol
-    <path>/published/<table>/...                               replaced as a whole
-
-A replayed batch overwrites its own `batch_id` folder, so it leaves the rows it left before.
+    <path>/candles/...                         appended by streams, see `log`
+    <path>/labels/...                          indicators and advice, likewise
+    <path>/tail/<name>/<0 or 1>                newest candles per symbol
+    <path>/published/<table>/...               replaced as a whole
+
+Which files of a table count is said by a log, not by its folders. So a batch counts once, however
+often it is replayed, a read for some dates opens the files of these dates only, and closed dates
+can be compacted while others read and write.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
-
-from pyspark.errors import AnalysisException
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from candlestream.operators.latest import top_rows
 from candlestream.schemas import candle_schema
 from candlestream.session import written
-
-_FOLDER_KEYS = (
-    StructField("writer", StringType()),
-    StructField("batch_id", LongType()),
-    StructField("dt", DateType()),
-)
+from candlestream.sources.log import CommitLog, stored
 
 # Files one date is spread over: of a whole table, and of one batch of a stream.
 _FILES_PER_DATE, _FILES_PER_BATCH = 8, 1
@@ -47,14 +42,15 @@ def _by_date(df: DataFrame, files: int) -> DataFrame:
 class CandleStore:
     spark: SparkSession
     path: str
+    _logs: dict = field(default_factory=dict, compare=False, repr=False)
+
+    def log(self, table: str) -> CommitLog:
+        return self._logs.setdefault(table, CommitLog(self.spark, f"{self.path}/{table}"))
 
     def checkpoint(self, name: str) -> str:
         """Each stream has its own; it lives and dies with the tables its batches wrote."""
         return f"{self.path}/checkpoints/{name}"
 
-    def _batch(self, table: str, name: str, batch_id: int) -> str:
-        return f"{self.path}/{table}/writer={name}/batch_id={batch_id}"
-
     # Appended candles
 
     def append(
@@ -63,28 +59,34 @@ class CandleStore:
         """Store one batch; returns it as read back from the files, and its row count.
 
         A micro-batch runs once, here; what follows reads the files in the store's own session,
-        where adaptive execution is on.
+        where adaptive execution is on. A batch stored before is read back, not written again.
         """
-        path = self._batch("candles", name, batch_id)
         files = _FILES_PER_BATCH if candles.sparkSession is not self.spark else _FILES_PER_DATE
-        stored, rows = written(_by_date(candles, files), path, ("dt",), self.spark)
-        return stored.drop("dt"), rows
+        rows, n = self.log("candles").write(_by_date(candles, files), batch_id, name)
+        return rows.drop("dt"), n
 
     def candles(
-        self, columns: StructType | None = None, since: str | None = None, name: str | None = None
+        self, columns: StructType | None = None, since: str | None = None, name: str | None = None,
+        until: str | None = None,
     ) -> DataFrame:
         """Stored candles of one writer, or of all; columns a writer lacks are NULL.
 
-        `since` (a date) and `name` prune whole folders before any file is opened, though all
-        folders are listed.
+        `since` and `until` are dates; only the files of dates between them are opened.
         """
-        rows = self._table("candles", columns or candle_schema(), since)
-        return rows if name is None else rows.filter(F.col("writer") == name)
+        return self._table("candles", columns or candle_schema(), since, name, until)
+
+    def _table(
+        self, table: str, columns: StructType, since: str | None, name: str | None, until: str | None = None
+    ) -> DataFrame:
+        log = self.log(table)
+        return log.read(columns, log.writers() if name is None else [name], since, until)
 
-    def _table(self, table: str, columns: StructType, since: str | None) -> DataFrame:
-        schema = StructType([*columns.fields, *_FOLDER_KEYS])
-        rows = self.spark.read.schema(schema).parquet(f"{self.path}/{table}")
-        return rows if since is None else rows.filter(F.col("dt") >= F.lit(since).cast("date"))
+    def compact(self, table: str, columns: StructType, name: str, before: str) -> int:
+        """Merge the files of each date before `before`, which no batch adds to any more, into few;
+        returns how many files went."""
+        return self.log(table).compact(
+            columns, name, before, lambda rows: _by_date(rows, _FILES_PER_DATE), _FILES_PER_DATE
+        )
 
     def tail(
         self, name: str, n: int, columns: StructType | None = None, since: str | None = None
@@ -96,11 +98,12 @@ class CandleStore:
     # Labelled candles of one writer
 
     def write_labels(self, rows: DataFrame, batch_id: int, name: str) -> DataFrame:
-        path = self._batch("labels", name, batch_id)
-        return written(_by_date(rows, _FILES_PER_BATCH), path, ("dt",), self.spark)[0].drop("dt")
+        return self.log("labels").write(_by_date(rows, _FILES_PER_BATCH), batch_id, name)[0].drop("dt")
 
-    def labels(self, columns: StructType, name: str, since: str | None = None) -> DataFrame:
-        return self._table("labels", columns, since).filter(F.col("writer") == name)
+    def labels(
+        self, columns: StructType, name: str, since: str | None = None, until: str | None = None
+    ) -> DataFrame:
+        return self._table("labels", columns, since, name, until)
 
     # What a stream needs of its past: two slots in turn, never read and written at once
 
@@ -121,9 +124,8 @@ class CandleStore:
         full = StructType([*schema.fields, StructField("state_of", IntegerType())])
         found = []
         for slot in (0, 1):
-            try:
-                rows = self.spark.read.schema(full).parquet(self._slot(name, slot))
-            except AnalysisException:  # not written yet
+            rows = stored(self.spark, full, self._slot(name, slot))
+            if rows is None:
                 continue
             of = rows.agg(F.max("state_of")).first()[0]
             if of is not None and of < batch_id:
@@ -150,11 +152,8 @@ class CandleStore:
     def published(self, table: str = "indicators") -> DataFrame:
         """The newest complete version; of one published again, the last."""
         root = f"{self.path}/published/{table}"
-        try:
-            versions = self.spark.read.schema(
-                "version bigint, at timestamp, folder string"
-            ).parquet(f"{root}/versions")
-        except AnalysisException as error:
-            raise ValueError(f"{table} was never published") from error
+        versions = stored(self.spark, "version bigint, at timestamp, folder string", f"{root}/versions")
+        if versions is None:
+            raise ValueError(f"{table} was never published")
         newest = versions.agg(F.max_by("folder", F.struct("version", "at"))).first()[0]
         return self.spark.read.parquet(f"{root}/{newest}")

@@ -13,13 +13,15 @@ from candlestream.operators.indicators import EXACT_TOTAL
 from candlestream.operators.latest import top_rows
 from candlestream.plans.batch import bounded_history
 from candlestream.plans.strategies import Strategy
+from candlestream.session import new_folder, written
 from candlestream.sources.store import CandleStore
+from candlestream.streaming.state import CARRIED, KNOWN, with_past
 
 # Format and options of an outside store.
 Sink = tuple[str, dict[str, str]]
 
 # What a stream remembers of a candle: the candle, and the running volume total up to it.
-_TOTAL, _CARRIED, _KNOWN = "obv_total", "carried", "known"
+_TOTAL, _CARRIED, _KNOWN = "obv_total", CARRIED, KNOWN
 
 
 def start(
@@ -95,6 +97,14 @@ def label_batch(
             _KNOWN: F.lit(True),
         }).drop(_TOTAL)
         history = known.unionByName(history)
+    return label_history(history, rows, strategy, width, rows_per_block)
+
+
+def label_history(
+    history: DataFrame, rows: int, strategy: Strategy, width: str, rows_per_block: int = ROWS_PER_BLOCK
+) -> DataFrame:
+    """Label the candles not `known`, after the known ones of each symbol, which carry its total."""
+    empty_total = F.lit(None).cast(EXACT_TOTAL)
     history = bounded_history(history, rows, width, strategy.reach, rows_per_block)
     labelled = drop_halo(strategy.label(history, _CARRIED)).filter(~F.col(_KNOWN))
     if _TOTAL not in labelled.columns:
@@ -102,6 +112,40 @@ def label_batch(
     return labelled.drop(_CARRIED, _KNOWN)
 
 
+def stream_labels_in_state(
+    trades: DataFrame,
+    strategy: Strategy,
+    store: CandleStore,
+    name: str,
+    width: str | None = None,
+    watermark: str | None = None,
+    tie: str | None = None,
+    trigger: str | None = None,
+    rows_per_block: int = ROWS_PER_BLOCK,
+    once: bool = False,
+) -> StreamingQuery:
+    """As `stream_labels`, with what the stream remembers in the engine's state.
+
+    A batch reads and writes the state of the symbols it has candles of, wherever they are, and
+    nothing of the others; the store only gets its new candles and labels. The number of symbols
+    is bounded by the state store, not by what a batch can rewrite.
+    """
+    width = width or strategy.width
+    candles = ohlcv(trades, width, tie=tie, watermark=watermark or strategy.watermark)
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        # Once: what the state gives is read several times below.
+        history, rows = written(batch, new_folder(store.spark, "history"), reader=store.spark)
+        if rows:
+            store.append(history.filter(~F.col(_KNOWN)).drop(_CARRIED, _KNOWN), batch_id, name)
+            labels = label_history(history, rows, strategy, width, rows_per_block)
+            store.write_labels(labels, batch_id, name)
+
+    remembering = with_past(candles, strategy.reach, strategy.complete_only)
+    writer = remembering.writeStream.outputMode("append").foreachBatch(run)
+    return start(writer, store, name, trigger or strategy.trigger, once)
+
+
 def stream_labels(
     trades: DataFrame,
     strategy: Strategy,

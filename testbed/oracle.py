@@ -549,3 +549,6 @@ ORACLE["advice_multi_split"] = ORACLE["advice_multi"]
 ORACLE["advice_cross_split"] = ORACLE["advice_cross"]
 ORACLE["store_published"] = ORACLE["advice_rsi14"]
 ORACLE["stream_multi_split"] = ORACLE["stream_multi"]
+ORACLE["stream_indicators_state"] = ORACLE["stream_indicators"]
+ORACLE["stream_multi_state"] = ORACLE["stream_multi"]
+ORACLE["store_compacted"] = ORACLE["candles_1h"]

@@ -21,7 +21,7 @@ from candlestream.session import materialize, new_folder, stream_session
 from candlestream.sources.files import read_csv, read_lines, tab_lines, write_tab_lines
 from candlestream.sources.store import CandleStore
 from candlestream.streaming.audit import COUNTED, LATE, trade_audit
-from candlestream.streaming.jobs import stream_candles, stream_labels, streamed
+from candlestream.streaming.jobs import stream_candles, stream_labels, stream_labels_in_state, streamed
 from testbed import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +265,17 @@ def store_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(store.tail("hours", 33, c.schema).select(*c.columns))
 
 
+def store_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six batches of one writer, each sent twice, all dates but the last compacted."""
+    store = _store(spark)
+    c, _ = materialize(hourly(spark, sf_dir), "candles")
+    for batch in (0, 1, 1, 2, 3, 3, 4, 5):
+        store.append(c.filter(F.pmod(F.xxhash64(*KEY), F.lit(6)) == batch), batch, "hours")
+    newest = str(c.agg(F.to_date(F.max("event_time"))).first()[0])
+    store.compact("candles", c.schema, "hours", newest)
+    return edge(store.candles(c.schema, name="hours").select(*c.columns))
+
+
 def store_published(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark)
     t = tb.trades(spark, sf_dir)
@@ -319,12 +330,14 @@ def _name(purpose: str) -> str:
     return f"{purpose}_{uuid.uuid4().hex[:8]}"
 
 
-def streamed_labels(strategy: strategies.Strategy, parts: int = PARTS, **options: int) -> Query:
+def streamed_labels(
+    strategy: strategies.Strategy, parts: int = PARTS, job: Callable = stream_labels, **options: int
+) -> Query:
     """Events in several batches, so that each goes on from what the one before left."""
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = _store(spark)
         name = _name("labels")
-        stream_labels(
+        job(
             _feed(spark, _cut(spark, sf_dir, parts)), strategy, store, name, WIDTH, DELAY, TIE,
             once=True, **options,
         ).awaitTermination()
@@ -472,11 +485,16 @@ QUERIES: dict[str, Query] = {
     "csv_revenue": csv_revenue,
     "csv_students": csv_students,
     "store_tail": store_tail,
+    "store_compacted": store_compacted,
     "store_published": store_published,
     "stream_candles": streamed_candles,
     "stream_indicators": streamed_labels(strategies.CROSS),
     "stream_multi": streamed_labels(strategies.MULTI),
     "stream_multi_split": streamed_labels(strategies.MULTI, rows_per_block=SMALL_BLOCK),
+    "stream_indicators_state": streamed_labels(strategies.CROSS, job=stream_labels_in_state),
+    "stream_multi_state": streamed_labels(
+        strategies.MULTI, job=stream_labels_in_state, rows_per_block=SMALL_BLOCK
+    ),
     "stream_late_drop": stream_late_drop,
     "stream_late_continuous": stream_late_continuous,
 }

@@ -1,7 +1,13 @@
+import pathlib
+from urllib.parse import unquote
+
 import pytest
 from pyspark.sql import functions as F
 
 from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA, candle_schema
+from candlestream.sources import log
+from candlestream.sources import store as store_module
+from candlestream.sources.log import CommitLog, stored
 from candlestream.session import CHECKPOINT_CONF, new_folder, shared_folder
 from candlestream.sources import documents, kafka
 from candlestream.sources.files import read_csv, read_lines, write_tab_lines
@@ -110,7 +116,93 @@ def test_replayed_batch_leaves_the_same_rows(spark, store):
     store.append(second, 1)
     store.append(second, 1)
     got = store.candles()
-    assert got.count() == 13 and got.filter("batch_id = 1").count() == 4
+    assert got.count() == 13 and got.filter("commit LIKE '1-%'").count() == 4
+    again, n = store.append(second, 1)
+    assert n == 4 and rows_of(again) == rows_of(second)
+    # So does a process that knows nothing of the first one's commits.
+    other = CandleStore(spark, store.path)
+    assert other.append(second, 1)[1] == 4 and other.candles().count() == 13
+    assert other.append(second.limit(0), 2)[1] == 0 and other.candles().count() == 13
+
+
+def rows_of(df):
+    return sorted(map(str, df.select("symbol", "event_time", "close").collect()))
+
+
+def days(spark, n, seed=1, per_day=5):
+    """Candles of n dates."""
+    rows = [("A", 1440 * day + m, float(day + m + seed), 1.0) for day in range(n) for m in range(per_day)]
+    return candles(spark, rows)
+
+
+def data_files(store, table="candles"):
+    return {str(f) for f in pathlib.Path(f"{store.path}/{table}/data").rglob("*.parquet")}
+
+
+def test_a_read_opens_the_files_of_its_dates_only(spark, store):
+    for batch in range(3):
+        store.append(days(spark, 4, batch), batch, "a writer")
+    assert len(store.candles(name="a writer").inputFiles()) == len(data_files(store)) >= 12
+    one = store.candles(since="2024-01-02", until="2024-01-02", name="a writer")
+    assert one.count() == 15
+    assert {f.split("dt=")[1][:10] for f in one.inputFiles()} == {"2024-01-02"}
+    assert {unquote(f).split("data/")[1] for f in one.inputFiles()} == {
+        f.split("data/")[1] for f in data_files(store) if "dt=2024-01-02" in f}
+    assert store.candles(name="nobody").count() == 0 and store.candles(since="2030-01-01").count() == 0
+
+
+def test_what_was_written_and_not_committed_does_not_count(spark, store, monkeypatch):
+    store.append(days(spark, 2), 0)
+
+    def lost(*args):
+        raise RuntimeError("the driver is lost")
+
+    with monkeypatch.context() as broken:
+        broken.setattr(CommitLog, "_commit", lost)
+        with pytest.raises(RuntimeError):
+            store.append(days(spark, 2, 2), 1)
+    left = len(data_files(store))
+    assert store.candles().count() == 10 and len(store.candles().inputFiles()) < left
+    store.append(days(spark, 2, 2), 1)
+    assert store.candles().count() == 20
+    # Two runs of one batch that both commit: the first counts.
+    first, second = CandleStore(spark, store.path), CandleStore(spark, store.path)
+    for twin in (first, second):
+        twin.log("candles")._known("batch")
+    first.append(days(spark, 1, 3), 7)
+    second.append(days(spark, 1, 3), 7)
+    assert store.candles().count() == 25
+
+
+def test_epochs_and_compaction_change_no_rows(spark, store, monkeypatch):
+    monkeypatch.setattr(log, "EPOCH", 3)
+    monkeypatch.setattr(store_module, "_FILES_PER_DATE", 2)
+    for batch in range(8):
+        store.append(days(spark, 3, batch), batch, "live")
+    assert store.log("candles")._heads()["live"] == 2
+    want, tail = rows_of(store.candles(name="live")), rows_of(store.tail("live", 4))
+    reader = store.candles(name="live")
+    opened = len(reader.inputFiles())
+    gone = store.compact("candles", candle_schema(), "live", "2024-01-03")
+    assert gone == sum("2024-01-03" not in f for f in reader.inputFiles())
+    got = store.candles(name="live")
+    assert rows_of(got) == want == rows_of(reader) and rows_of(store.tail("live", 4)) == tail
+    assert len(got.inputFiles()) <= opened - gone + 4
+    assert store.compact("candles", candle_schema(), "live", "2024-01-03") == 0
+    # Commits, replays and epochs go on.
+    other = CandleStore(spark, store.path)
+    for batch in range(6, 12):
+        other.append(days(spark, 1, batch), batch, "live")
+    assert store.log("candles")._heads()["live"] > 2
+    assert store.candles(name="live").count() == 8 * 15 + 4 * 5
+
+
+def test_a_broken_table_is_an_error_not_an_empty_one(spark, tmp_path):
+    assert stored(spark, "a int", str(tmp_path / "none")) is None
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "x.parquet").write_text("no table")
+    with pytest.raises(Exception):
+        stored(spark, "a int", str(tmp_path / "bad")).collect()
 
 
 def test_writers_may_lack_columns(spark, store):
@@ -123,12 +215,11 @@ def test_writers_may_lack_columns(spark, store):
     assert got.filter("window_start IS NOT NULL").count() == 3
 
 
-def test_date_folders_are_pruned(spark, store, capsys):
+def test_date_folders_are_pruned(spark, store):
     store.append(candles(spark, [("A", 0, 1.0), ("A", 60 * 24 * 3, 2.0)]), 0)
     late = store.candles(since="2024-01-03")
     assert [r.close for r in late.collect()] == [2.0]
-    late.explain()
-    assert "PartitionFilters: [isnotnull(dt" in capsys.readouterr().out
+    assert all("dt=2024-01-04" in f for f in late.inputFiles())
 
 
 def test_tail(spark, store):

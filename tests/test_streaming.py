@@ -94,16 +94,21 @@ def test_row_by_row_stream_equals_batch(spark, feed):
     assert rows(got) == rows(want) and want.count() > 50
 
 
+def stream_in_state(*args, **options):
+    return jobs.stream_labels_in_state(*args, **{"once": True, **options})
+
+
+@pytest.mark.parametrize("job_of", [stream_labels, stream_in_state])
 @pytest.mark.parametrize("strategy, parts, block", [
     (strategies.MULTI, 2, 1 << 18), (strategies.CROSS, 5, 1 << 18), (strategies.MULTI, 3, 40),
     (strategies.RSI14, 1, 40),
 ])
-def test_split_points_do_not_matter(spark, feed, strategy, parts, block):
+def test_split_points_do_not_matter(spark, feed, job_of, strategy, parts, block):
     data = walk(2, {"A": 150, "B": 60, "C": 3}, gap=2)
     for part in cut(spark, data, parts):
         feed.add(part)
     job = name("labels")
-    finish(stream_labels(
+    finish(job_of(
         feed.stream(), strategy, feed.store, job, WIDTH, DELAY, rows_per_block=block
     ))
     want = closed(advice(ticks(spark, data), strategy, WIDTH), newest_of(data))
@@ -113,17 +118,68 @@ def test_split_points_do_not_matter(spark, feed, strategy, parts, block):
     assert stored.count() == want.count()
 
 
-def test_restart_goes_on_where_it_stopped(spark, feed):
+@pytest.mark.parametrize("job_of", [stream_labels, stream_in_state])
+def test_restart_goes_on_where_it_stopped(spark, feed, job_of):
     data = walk(3, {"A": 80, "B": 50})
     job = name("restart")
     for part in cut(spark, data, 3):
         feed.add(part)
-        finish(stream_labels(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
+        finish(job_of(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
     want = closed(advice(ticks(spark, data), strategies.MULTI, WIDTH), newest_of(data))
     got = feed.store.labels(strategies.MULTI.schema(spark), job)
     assert rows(got.select(*strategies.MULTI.columns)) == rows(want)
 
 
+def test_state_of_other_symbols_is_not_touched(spark, feed):
+    """Incomplete candles, fractional volumes, and batches of one symbol of three."""
+    data = [(s, m, c, v + m % 7 * 0.00012345) for s, m, c, v in walk(12, {"A": 60, "B": 60, "C": 60})]
+    early = [r for r in data if r[1] <= 30]
+    only_a = [r for r in data if r[1] > 30 and r[0] == "A"]
+    blank = trades(spark, [("A", 60 * 31 + 5, None, 2.0)])
+    job = name("labels")
+    only_a = [r for r in only_a if r[1] > 31]
+    for part in (ticks(spark, early), blank.unionByName(ticks(spark, only_a[:10]).select(*blank.columns)),
+                 ticks(spark, only_a[10:])):
+        feed.add(part)
+    query = finish(stream_in_state(feed.stream(), strategies.CROSS, feed.store, job, WIDTH, DELAY))
+    given = spark.read.parquet(f"{feed.path}/feed")
+    want = closed(advice(given, strategies.CROSS, WIDTH), newest_of(only_a))
+    got = feed.store.labels(strategies.CROSS.schema(spark), job).select(*strategies.CROSS.columns)
+    assert rows(got) == rows(want)
+    # Per symbol the remembered candles and one total are written: of A alone in the last batch.
+    updated = [
+        o["numRowsUpdated"] for p in query.recentProgress for o in p["stateOperators"]
+        if "transformWithState" in o["operatorName"]
+    ]
+    assert 0 < updated[-1] <= strategies.CROSS.reach + 1 < max(updated)
+
+
+def test_a_batch_replayed_after_its_commit_adds_nothing(spark, feed, monkeypatch):
+    """The driver is lost after the candles of a batch are stored, and once after its labels are."""
+    data = walk(13, {"A": 60, "B": 30})
+    job = name("replayed")
+    for k, part in enumerate(cut(spark, data, 3)):
+        feed.add(part)
+        if k:
+            with monkeypatch.context() as broken:
+                own = CandleStore.write_labels
+
+                def lost(*args, _own=own, _k=k):
+                    if _k == 2:
+                        _own(*args)
+                    raise RuntimeError("the driver is lost")
+
+                broken.setattr(CandleStore, "write_labels", lost)
+                with pytest.raises(Exception, match="lost"):
+                    finish(stream_in_state(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
+            feed.store = CandleStore(spark, feed.store.path)
+        finish(stream_in_state(feed.stream(), strategies.MULTI, feed.store, job, WIDTH, DELAY))
+    want = closed(advice(ticks(spark, data), strategies.MULTI, WIDTH), newest_of(data))
+    got = feed.store.labels(strategies.MULTI.schema(spark), job).select(*strategies.MULTI.columns)
+    assert rows(got) == rows(want)
+    assert feed.store.candles(name=job).count() == want.count()
+
+
 def fates(store, job, given):
     found = trade_audit(given, streamed(store, job), WIDTH).collect()
     total = {}
