@@ -5,7 +5,8 @@ of them into one task. `split_history` cuts the history of long symbols into blo
 each block a *halo*: copies of the candles just before it. A frame of finite reach then sees
 exactly the rows it would see in the whole history. Indicators partition by
 `partition_keys(...)`, which includes the block when there is one, and `drop_halo` removes the
-copies afterwards. Running totals, whose reach is unbounded, add `earlier_totals`.
+copies afterwards. Running totals, whose reach is unbounded, are summed over blocks first, see
+`with_earlier_totals`.
 """
 
 from __future__ import annotations
@@ -138,12 +139,21 @@ def drop_halo(c: DataFrame) -> DataFrame:
     return c.filter(~F.col(HALO)).drop(KEY, BLOCK, HALO) if BLOCK in c.columns else c
 
 
-def earlier_totals(c: DataFrame, value: str, name: str) -> DataFrame:
-    """Per block of a split history: the sum of `value` over all earlier blocks of its symbol.
+def with_earlier_totals(c: DataFrame, values: Sequence[str]) -> DataFrame:
+    """Adds `<value>_before` to a split history: the sum of `value` over all earlier blocks of the
+    candle's symbol.
 
-    A task here sees one row per block of a symbol, never the symbol's candles.
+    The candles, labelled so far, are written once. Each block is then one row: its sums are added
+    up per map task, and a task that adds up a symbol's blocks sees one row per block, never the
+    symbol's candles. These rows are counted before they are joined: broadcast up to the size of a
+    block map, shuffled beyond it. So the candles are exchanged once, for their windows.
     """
+    from candlestream.session import materialize
+
+    blocks, _ = materialize(c, "blocks")
     earlier = Window.partitionBy(KEY).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    return c.groupBy(KEY, BLOCK).agg(F.sum(value).alias("block_sum")).select(
-        KEY, BLOCK, F.coalesce(F.sum("block_sum").over(earlier), F.lit(0)).alias(name)
+    sums = blocks.groupBy(KEY, BLOCK).agg(*[F.sum(v).alias(f"{v}_sum") for v in values]).select(
+        KEY, BLOCK, *[F.coalesce(F.sum(f"{v}_sum").over(earlier), F.lit(0)).alias(f"{v}_before") for v in values]
     )
+    sums, size = materialize(sums, "block-totals")
+    return blocks.join(F.broadcast(sums) if size <= BROADCAST_ROWS else sums, [KEY, BLOCK], "left")

@@ -20,7 +20,7 @@ from itertools import zip_longest
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from candlestream.operators.history import BLOCK, HALO, KEY, earlier_totals, partition_keys
+from candlestream.operators.history import BLOCK, HALO, partition_keys, with_earlier_totals
 
 BY: tuple[str, ...] = ("symbol",)
 TIME = "event_time"
@@ -86,16 +86,12 @@ def add_indicators(
 ) -> DataFrame:
     """Candles with the columns of all `indicators`."""
     at = Frames.of(c, by, time)
-    first = None
+    totals = [i.total_of for i in indicators if i.total_of]
     stages = zip_longest(*(i.stages(at) for i in indicators), fillvalue={})
     for number, stage in enumerate(stages):
         c = c.withColumns({name: value for part in stage for name, value in part.items()})
-        if number == 0:
-            first = c
-        if number == 1 and at.split:
-            # One row per block, joined by the keys the rows are already placed and sorted by.
-            for total in filter(None, (i.total_of for i in indicators)):
-                c = c.join(earlier_totals(first, total, f"{total}_before"), [KEY, BLOCK], "left")
+        if number == 1 and at.split and totals:
+            c = with_earlier_totals(c, totals)
     return c.drop(*[name for name in c.columns if name.startswith("_")])
 
 

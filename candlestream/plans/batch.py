@@ -12,6 +12,7 @@ from candlestream.operators.history import (
     ROWS_PER_BLOCK, cell_of, check_reach, drop_halo, split_history,
 )
 from candlestream.operators.latest import complete, on_or_after, only_symbols, top_rows
+from candlestream.operators.totals import CARRIED, KNOWN, resumed
 from candlestream.plans.strategies import Strategy
 from candlestream.session import materialize
 
@@ -70,13 +71,15 @@ def stored_advice(
     symbols: Sequence[str] | None = None,
     warm: bool = False,
     rows_per_block: int = ROWS_PER_BLOCK,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """The strategy's result table from stored candles of one writer.
 
     Only complete candles of the last `interval` before `as_of` (now by default) are read, by
     their `dt` folders where there are some. Indicators start anew at the look-back's first
     candle; `warm` reads as many candles per symbol before it as they look back, so that the
-    first rows have the values they have in the whole history. Not for running totals.
+    first rows have the values they have in the whole history. Running totals go on from
+    `totals`, the index of the complete candles (see `operators.totals`).
     """
     rows = only_symbols(complete(candles), symbols)
     if interval is not None:
@@ -85,7 +88,7 @@ def stored_advice(
         inside = on_or_after(rows, since)
         if warm:
             if strategy.totals:
-                raise ValueError(f"{strategy.name} needs the whole history")
+                return _resumed_advice(rows, strategy, width or strategy.width, since, totals, rows_per_block)
             before = top_rows(rows.filter(F.col("event_time") < since), strategy.reach)
             inside = inside.withColumn("inside", F.lit(True)).unionByName(
                 before.withColumn("inside", F.lit(False))
@@ -99,3 +102,16 @@ def stored_advice(
     if "inside" in stored.columns:
         labelled = labelled.filter("inside")
     return labelled.select(*strategy.columns)
+
+
+def _resumed_advice(
+    rows: DataFrame, strategy: Strategy, width: str, since: Column, totals: DataFrame | None, rows_per_block: int
+) -> DataFrame:
+    if totals is None:
+        raise ValueError(f"{strategy.name} needs the whole history or an index of its totals")
+    starts = totals.select("symbol").distinct().withColumn("since", F.to_date(since))
+    stored, n = materialize(resumed(rows, totals, starts, strategy.reach), "candles")
+    labelled = drop_halo(strategy.label(
+        bounded_history(stored, n, width, strategy.reach, rows_per_block), CARRIED
+    ))
+    return labelled.filter(~F.col(KNOWN) & (F.col("event_time") >= since)).select(*strategy.columns)

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlestream.operators.latest import latest_n, only_symbols, top_rows
+from candlestream.operators.totals import CARRIED, KNOWN, newest_dates, resumed
 from candlestream.plans.strategies import Strategy
+from candlestream.session import materialize
 
 # Row limits of the panels and titles of their columns (fixed values).
 CHART_ROWS, INDICATOR_ROWS, TABLE_ROWS = 500, 300, 15
@@ -36,13 +38,21 @@ _CANDLE = ["open", "high", "low", "close"]
 _CHART = [*_CANDLE, "volume", "vwap", "rsi", "advice"]
 
 
-def newest_labels(candles: DataFrame, strategy: Strategy, n: int) -> DataFrame:
+def newest_labels(
+    candles: DataFrame, strategy: Strategy, n: int, totals: DataFrame | None = None
+) -> DataFrame:
     """The strategy's newest n rows per symbol without computing the rest of the history.
 
-    The newest n candles and as many before them as the indicators look back decide them. Not for strategies with running totals, whose reach is the whole history.
+    The newest n candles and as many before them as the indicators look back decide them. Running
+    totals also need `totals`, the index of these candles (see `operators.totals`).
     """
     if strategy.totals:
-        raise ValueError(f"{strategy.name} needs the whole history")
+        if totals is None:
+            raise ValueError(f"{strategy.name} needs the whole history or an index of its totals")
+        rows = resumed(candles, totals, newest_dates(totals, n), strategy.reach)
+        rows, _ = materialize(rows, "newest")
+        labelled = strategy.label(rows, CARRIED).filter(~F.col(KNOWN))
+        return top_rows(labelled.select(*strategy.columns), n)
     labelled = strategy.label(top_rows(candles, n + strategy.reach, place="newness"))
     return labelled.filter(F.col("newness") <= n).select(*strategy.columns)
 

@@ -542,6 +542,13 @@ fates AS (SELECT symbol, count(*) AS n, count(*) FILTER (closed) AS counted,
   FROM parts GROUP BY symbol)
 SELECT symbol, n + late + unusable AS trades, counted, late, unusable FROM fates""",
 }
+ORACLE["advice_stored_multi"] = _with(*_MULTI_PARTS, select=f"""SELECT {_MULTI_ROW} FROM labels
+  WHERE symbol IN ('click', 'view', 'purchase')
+    AND event_time >= (SELECT max(ts) FROM events) - INTERVAL 96 HOURS""")
+ORACLE["panel_multi"] = _with(
+    *_MULTI_PARTS, _newest("labels", "event_time", _INDICATOR_ROWS),
+    select=f"SELECT {_MULTI_ROW} FROM newest",
+)
 # Same results by another way of computing them.
 ORACLE["panel_bands_stored"] = ORACLE["panel_bands"]
 ORACLE["obv_fractional_split"] = ORACLE["obv_fractional"]
@@ -551,4 +558,5 @@ ORACLE["store_published"] = ORACLE["advice_rsi14"]
 ORACLE["stream_multi_split"] = ORACLE["stream_multi"]
 ORACLE["stream_indicators_state"] = ORACLE["stream_indicators"]
 ORACLE["stream_multi_state"] = ORACLE["stream_multi"]
+ORACLE["candles_rollup"] = ORACLE["candles_6h"]
 ORACLE["store_compacted"] = ORACLE["candles_1h"]

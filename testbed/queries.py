@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 
 from candlestream.functions.features import candle_features, risk_level, single_candle_rsi
 from candlestream.operators import indicators as ind
-from candlestream.operators.candles import ohlcv
+from candlestream.operators.candles import finished, ohlcv, partial_candles, rolled_up
 from candlestream.operators.history import ROWS_PER_BLOCK, drop_halo
 from candlestream.operators.ingest import decode_trades, normalize_raw, to_topic_payload
 from candlestream.operators.latest import latest_n, recent
+from candlestream.operators.totals import extended_index, total_index
 from candlestream.plans import panels, reports, strategies
 from candlestream.plans.batch import advice, bounded_history, stored_advice, stored_candles
 from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA
@@ -92,6 +93,15 @@ def rsi_single_candle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def candles_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-minute parts, stored; hours of these, stored again; six hours of the hours."""
+    store = _store(spark)
+    parts = partial_candles(tb.trades(spark, sf_dir), "10 minutes", tie=TIE)
+    store.append(parts, 0, "minutes")
+    store.append(rolled_up(store.candles(parts.schema, name="minutes"), WIDTH), 0, "hours")
+    return edge(finished(rolled_up(store.candles(parts.schema, name="hours"), "6 hours")))
+
+
 # Rolling indicators
 
 def rolling(
@@ -137,6 +147,36 @@ def advice_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(store.published())
 
 
+def _indexed_store(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored candles and the index of their totals: made of the older half of the dates and then
+    extended by the newer half."""
+    store = _store(spark)
+    c, _ = materialize(hourly(spark, sf_dir), "candles")
+    store.append(c, 0, "hours")
+    first, last = c.agg(F.to_date(F.min("event_time")), F.to_date(F.max("event_time"))).first()
+    middle = str(first + (last - first) / 2)
+    stored = store.candles(c.schema, name="hours")
+    index, _ = materialize(total_index(stored.filter(F.col("dt") < middle), WIDTH, SMALL_BLOCK), "index")
+    index, _ = materialize(extended_index(index, stored, middle, WIDTH), "index")
+    return stored, index
+
+
+def advice_stored_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last 96 hours of three symbols as in the whole history, read from their dates on."""
+    stored, index = _indexed_store(spark, sf_dir)
+    as_of = tb.table(spark, sf_dir, "events").agg(F.max("ts")).scalar()
+    return edge(stored_advice(
+        stored, strategies.MULTI, WIDTH, "96 HOURS", as_of, symbols=["click", "view", "purchase"],
+        warm=True, totals=index,
+    ))
+
+
+def panel_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows per symbol of the strategy with running totals, from the dates they need."""
+    stored, index = _indexed_store(spark, sf_dir)
+    return edge(panels.newest_labels(stored, strategies.MULTI, panels.INDICATOR_ROWS, index))
+
+
 # Panels
 
 def _mixed_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,6 +449,7 @@ QUERIES: dict[str, Query] = {
     "topic_payload": topic_payload,
     "candles_1h": candles("1 hour"),
     "candles_6h": candles("6 hours"),
+    "candles_rollup": candles_rollup,
     "candles_tie_break": candles("1 hour"),
     "candle_features": features,
     "candle_risk": candle_risk,
@@ -455,6 +496,8 @@ QUERIES: dict[str, Query] = {
     "advice_multi_split": labelled(strategies.MULTI, rows_per_block=SMALL_BLOCK),
     "advice_cross_split": labelled(strategies.CROSS, rows_per_block=SMALL_BLOCK),
     "advice_stored_rsi14": advice_stored,
+    "advice_stored_multi": advice_stored_multi,
+    "panel_multi": panel_multi,
     "chart_event_time": chart_event_time,
     "chart_window_start": chart(panels.window_chart),
     "chart_fallback_time": chart(panels.mixed_chart),
