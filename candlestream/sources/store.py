@@ -149,11 +149,20 @@ class CandleStore:
         ).coalesce(1).write.mode("append").parquet(f"{root}/versions")
         return rows
 
+    def _versions(self, table: str) -> DataFrame | None:
+        return stored(
+            self.spark, "version bigint, at timestamp, folder string", f"{self.path}/published/{table}/versions"
+        )
+
+    def version(self, table: str = "indicators") -> int | None:
+        """The newest published version, or None."""
+        versions = self._versions(table)
+        return None if versions is None else versions.agg(F.max("version")).first()[0]
+
     def published(self, table: str = "indicators") -> DataFrame:
         """The newest complete version; of one published again, the last."""
-        root = f"{self.path}/published/{table}"
-        versions = stored(self.spark, "version bigint, at timestamp, folder string", f"{root}/versions")
+        versions = self._versions(table)
         if versions is None:
             raise ValueError(f"{table} was never published")
         newest = versions.agg(F.max_by("folder", F.struct("version", "at"))).first()[0]
-        return self.spark.read.parquet(f"{root}/{newest}")
+        return self.spark.read.parquet(f"{self.path}/published/{table}/{newest}")

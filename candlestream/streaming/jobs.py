@@ -14,6 +14,7 @@ from candlestream.operators.latest import top_rows
 from candlestream.plans.batch import bounded_history
 from candlestream.plans.strategies import Strategy
 from candlestream.session import new_folder, written
+from candlestream.sources.outside import CommittedSink
 from candlestream.sources.store import CandleStore
 from candlestream.streaming.state import CARRIED, KNOWN, with_past
 
@@ -112,6 +113,23 @@ def label_history(
     return labelled.drop(_CARRIED, _KNOWN)
 
 
+def newest_table(name: str) -> str:
+    """Under which name a label stream publishes its newest rows."""
+    return f"newest-{name}"
+
+
+def publish_newest(store: CandleStore, labels: DataFrame, n: int, batch_id: int, name: str) -> None:
+    """Merge a batch's labels into the published newest n rows per symbol, reading these and the
+    batch only. Readers see the rows of one batch or of the next; a batch merged before is not
+    merged again."""
+    table = newest_table(name)
+    version = store.version(table)
+    if version is not None and version >= batch_id:
+        return
+    rows = labels if version is None else store.published(table).unionByName(labels)
+    store.publish(top_rows(rows, n), batch_id, table)
+
+
 def stream_labels_in_state(
     trades: DataFrame,
     strategy: Strategy,
@@ -122,13 +140,15 @@ def stream_labels_in_state(
     tie: str | None = None,
     trigger: str | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
+    newest: int | None = None,
     once: bool = False,
 ) -> StreamingQuery:
     """As `stream_labels`, with what the stream remembers in the engine's state.
 
     A batch reads and writes the state of the symbols it has candles of, wherever they are, and
     nothing of the others; the store only gets its new candles and labels. The number of symbols
-    is bounded by the state store, not by what a batch can rewrite.
+    is bounded by the state store, not by what a batch can rewrite. `newest` rows per symbol are
+    published after each batch, for panels (see `newest_table`).
     """
     width = width or strategy.width
     candles = ohlcv(trades, width, tie=tie, watermark=watermark or strategy.watermark)
@@ -139,7 +159,9 @@ def stream_labels_in_state(
         if rows:
             store.append(history.filter(~F.col(_KNOWN)).drop(_CARRIED, _KNOWN), batch_id, name)
             labels = label_history(history, rows, strategy, width, rows_per_block)
-            store.write_labels(labels, batch_id, name)
+            stored = store.write_labels(labels, batch_id, name)
+            if newest:
+                publish_newest(store, stored.select(*strategy.columns), newest, batch_id, name)
 
     remembering = with_past(candles, strategy.reach, strategy.complete_only)
     writer = remembering.writeStream.outputMode("append").foreachBatch(run)
@@ -156,16 +178,16 @@ def stream_labels(
     tie: str | None = None,
     trigger: str | None = None,
     rows_per_block: int = ROWS_PER_BLOCK,
-    sink: Sink | None = None,
+    sink: Sink | CommittedSink | None = None,
     once: bool = False,
 ) -> StreamingQuery:
     """Final candles into the store, and each new candle labelled over its symbol's history.
 
     A batch reads its own candles and, of each symbol that has one, as many stored candles as the
     strategy looks back, however long the history is. All its outputs are folders named by the
-    batch, so a replay changes nothing. An empty batch writes nothing. A `sink` (format and
-    options) gets the labels too, appended batch by batch; a replay appends them again, as to any
-    store without transactions.
+    batch, so a replay changes nothing. An empty batch writes nothing. A `sink` gets the labels
+    too, batch by batch: to a plain one (format and options) a replay appends them again; of a
+    `CommittedSink` readers see them once.
     """
     width = width or strategy.width
     candles = ohlcv(trades, width, tie=tie, watermark=watermark or strategy.watermark)
@@ -183,7 +205,9 @@ def stream_labels(
         labels = store.write_labels(
             label_batch(new, rows, near, strategy, width, rows_per_block), batch_id, name
         )
-        if sink:
+        if isinstance(sink, CommittedSink):
+            sink.write(labels.select(*strategy.columns), batch_id, name)
+        elif sink:
             kind, options = sink
             labels.select(*strategy.columns).write.format(kind).options(**options).mode("append").save()
         done = labels.select(*schema.names)

@@ -298,14 +298,14 @@ def _chart(time: str, columns: tuple[str, ...], where: str) -> str:
     )
 
 
-def _panel(n: int, titles: dict[str, str], lead: str = "symbol, time, ") -> str:
+def _panel(n: int, titles: dict[str, str], lead: str = "symbol, time, ", where: str = "TRUE") -> str:
     numbers = {"close", "bb_upper", "bb_middle", "bb_lower", "sma_9", "sma_21", "rsi_14"}
     columns = ", ".join(
         f'{_edge(c) if c in numbers else c} AS "{title}"'
         for c, title in titles.items()
     )
     return _with(
-        *_CROSS_PARTS, _newest("labels", "event_time", n), select=f"SELECT {lead}{columns} FROM newest"
+        *_CROSS_PARTS, _newest("labels", "event_time", n, where), select=f"SELECT {lead}{columns} FROM newest"
     )
 
 
@@ -549,6 +549,11 @@ ORACLE["panel_multi"] = _with(
     *_MULTI_PARTS, _newest("labels", "event_time", _INDICATOR_ROWS),
     select=f"SELECT {_MULTI_ROW} FROM newest",
 )
+ORACLE["csv_inferred"] = _STUDENTS + """SELECT address,
+  round(avg(G3 + CASE WHEN student = 1 THEN 0.5 ELSE 0 END), 6) AS Avg_G3,
+  CAST(sum(absences) AS BIGINT) AS absences, count(*) FILTER (student % 2 = 0) AS goout, max(Mjob) AS Mjob,
+  'double' AS grade_type, 'int' AS absences_type FROM students GROUP BY address"""
+ORACLE["panel_live"] = _panel(_INDICATOR_ROWS, _BAND_TITLES, where=_CLOSED)
 # Same results by another way of computing them.
 ORACLE["panel_bands_stored"] = ORACLE["panel_bands"]
 ORACLE["obv_fractional_split"] = ORACLE["obv_fractional"]
@@ -560,3 +565,5 @@ ORACLE["stream_indicators_state"] = ORACLE["stream_indicators"]
 ORACLE["stream_multi_state"] = ORACLE["stream_multi"]
 ORACLE["candles_rollup"] = ORACLE["candles_6h"]
 ORACLE["store_compacted"] = ORACLE["candles_1h"]
+ORACLE["stream_audit_incremental"] = ORACLE["stream_late_continuous"]
+ORACLE["sink_replayed"] = ORACLE["advice_rsi14"]

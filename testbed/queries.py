@@ -19,10 +19,15 @@ from candlestream.plans import panels, reports, strategies
 from candlestream.plans.batch import advice, bounded_history, stored_advice, stored_candles
 from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA
 from candlestream.session import materialize, new_folder, stream_session
-from candlestream.sources.files import read_csv, read_lines, tab_lines, write_tab_lines
+from candlestream.sources.files import infer_csv, read_csv, read_lines, tab_lines, write_tab_lines
 from candlestream.sources.store import CandleStore
-from candlestream.streaming.audit import COUNTED, LATE, trade_audit
-from candlestream.streaming.jobs import stream_candles, stream_labels, stream_labels_in_state, streamed
+from candlestream.sources.outside import CommittedSink
+from candlestream.streaming.audit import (
+    COUNTED, LATE, audited, fates, open_windows, stream_audit, trade_audit,
+)
+from candlestream.streaming.jobs import (
+    newest_table, stream_candles, stream_labels, stream_labels_in_state, streamed,
+)
 from testbed import adapters as tb
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +286,23 @@ def csv_students(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edge(reports.mean_grade(read_csv(spark, path, STUDENT_SCHEMA, ";"), "address"))
 
 
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found by reading, from files whose columns stand in two orders and one of which
+    lacks a column; a grade with a fraction in one row makes the whole column a double."""
+    path = new_folder(spark, "csv")
+    s = tb.students(spark, sf_dir).withColumn("G3", F.col("G3") + F.when(F.col("student") == 1, 0.5).otherwise(0))
+    first = F.col("student") % 2 == 0
+    s.filter(first).write.csv(path, header=True, mode="append")
+    backwards = s.filter(~first).select(*reversed([c for c in s.columns if c != "goout"]))
+    backwards.write.csv(path, header=True, mode="append")
+    found = infer_csv(spark, path)
+    return edge(found.groupBy("address").agg(
+        F.avg("G3").alias("Avg_G3"), F.sum("absences").alias("absences"), F.count("goout").alias("goout"),
+        F.max("Mjob").alias("Mjob"), F.lit(dict(found.dtypes)["G3"]).alias("grade_type"),
+        F.lit(dict(found.dtypes)["absences"]).alias("absences_type"),
+    ))
+
+
 def text_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Word counts per language as tab-separated text, read back and summed per word."""
     path = new_folder(spark, "pairs")
@@ -386,6 +408,29 @@ def streamed_labels(
     return query
 
 
+def panel_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows that a label stream keeps published, after five batches."""
+    store, name = _store(spark), _name("live")
+    stream_labels_in_state(
+        _feed(spark, _cut(spark, sf_dir)), strategies.CROSS, store, name, WIDTH, DELAY, TIE,
+        newest=panels.INDICATOR_ROWS, once=True,
+    ).awaitTermination()
+    return tb.zoneless(edge(panels.band_panel(store.published(newest_table(name)), n=None)))
+
+
+def sink_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels in four batches to an outside store; one is sent twice, and one is lost before its
+    commit and sent again."""
+    folder = new_folder(spark, "outside")
+    sink = CommittedSink("parquet", {"path": f"{folder}/rows"}, {"path": f"{folder}/commits"})
+    lost = CommittedSink("parquet", sink.rows, {"path": f"{folder}/lost"})
+    labels, _ = materialize(advice(tb.trades(spark, sf_dir), strategies.RSI14, WIDTH, TIE), "labels")
+    batch = F.pmod(F.xxhash64(*KEY), F.lit(4))
+    for k, to in ((0, sink), (1, sink), (1, sink), (2, lost), (2, sink), (3, sink)):
+        to.write(labels.filter(batch == k), k, "labels")
+    return edge(sink.read(spark, labels.schema).select(*labels.columns))
+
+
 def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Replay all events, then send the purchases again after a restart: the stored candles
     must not change, and the audit must find the purchases whose candle was closed."""
@@ -408,17 +453,16 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     run()
     given = tb.as_trades(events.union(again), "CAST(ts AS TIMESTAMP)")
     final = streamed(store, name)
-    fates = trade_audit(given, final, WIDTH).filter(F.col("fate") == LATE)
+    late_ones = trade_audit(given, final, WIDTH).filter(F.col("fate") == LATE)
     candles = final.select("symbol", F.lit(1).alias("c"), F.lit(0).cast("bigint").alias("l"))
-    return candles.union(fates.select("symbol", F.lit(0), "n")).groupBy("symbol").agg(
+    return candles.union(late_ones.select("symbol", F.lit(0), "n")).groupBy("symbol").agg(
         F.sum("c").alias("candles"), F.sum("l").alias("late")
     )
 
 
-def stream_late_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four spans of events in one run, the first one's purchases once more before the last, and
-    trades without a time: each trade has one fate."""
-    store, name = _store(spark), _name("continuous")
+def _late_feed(spark: SparkSession, sf_dir: str) -> str:
+    """Four spans of events, the first one's purchases once more before the last, and trades without
+    a time."""
     events = tb.table(spark, sf_dir, "events")
     timed, _ = materialize(events.withColumn("part", _quarter(events, 4)), "events")
     again = timed.filter("part = 0 AND event_type = 'purchase'")
@@ -429,11 +473,33 @@ def stream_late_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
     for part in (*(timed.filter(F.col("part") == k) for k in range(3)), again.union(lost),
                  timed.filter("part = 3")):
         part.drop("part").coalesce(1).write.mode("append").parquet(feed)
+    return feed
+
+
+def stream_late_continuous(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The late feed in one run: each trade has one fate."""
+    store, name, feed = _store(spark), _name("continuous"), _late_feed(spark, sf_dir)
     stream_candles(
         _feed(spark, feed), strategies.BASIC, store, name, WIDTH, DELAY, TIE, once=True
     ).awaitTermination()
     given = tb.as_trades(spark.read.parquet(feed), "CAST(ts AS TIMESTAMP)")
-    fates = trade_audit(given, streamed(store, name), WIDTH)
+    return _fates_per_symbol(trade_audit(given, streamed(store, name), WIDTH))
+
+
+def stream_audit_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, trades counted by a second stream that reads each once, and open windows read from
+    the first one's state."""
+    store, name, feed = _store(spark), _name("candles"), _late_feed(spark, sf_dir)
+    stream_candles(
+        _feed(spark, feed), strategies.BASIC, store, name, WIDTH, DELAY, TIE, once=True
+    ).awaitTermination()
+    counts = _name("audit")
+    for _ in range(2):
+        stream_audit(_feed(spark, feed), store, counts, WIDTH, once=True).awaitTermination()
+    return _fates_per_symbol(fates(audited(store, counts), streamed(store, name), open_windows(store, name)))
+
+
+def _fates_per_symbol(fates: DataFrame) -> DataFrame:
     return fates.groupBy("symbol").agg(
         F.sum("n").alias("trades"),
         F.coalesce(F.sum(F.when(F.col("fate") == COUNTED, F.col("n"))), F.lit(0)).alias("counted"),
@@ -527,6 +593,7 @@ QUERIES: dict[str, Query] = {
     "text_pairs": text_pairs,
     "csv_revenue": csv_revenue,
     "csv_students": csv_students,
+    "csv_inferred": csv_inferred,
     "store_tail": store_tail,
     "store_compacted": store_compacted,
     "store_published": store_published,
@@ -540,4 +607,7 @@ QUERIES: dict[str, Query] = {
     ),
     "stream_late_drop": stream_late_drop,
     "stream_late_continuous": stream_late_continuous,
+    "stream_audit_incremental": stream_audit_incremental,
+    "panel_live": panel_live,
+    "sink_replayed": sink_replayed,
 }

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from candlestream.schemas import SALES_SCHEMA, STUDENT_SCHEMA, candle_schema
 from candlestream.sources import log
 from candlestream.sources import store as store_module
+from candlestream.sources.outside import CommittedSink
 from candlestream.sources.log import CommitLog, stored
 from candlestream.session import CHECKPOINT_CONF, new_folder, shared_folder
 from candlestream.sources import documents, kafka
-from candlestream.sources.files import read_csv, read_lines, write_tab_lines
+from candlestream.sources.files import infer_csv, read_csv, read_lines, write_tab_lines
 from candlestream.sources.store import CandleStore
 from tests.data import candles, walk
 
@@ -244,3 +245,54 @@ def test_publish_replaces_at_once(spark, store):
     # A version published again leaves what is being read alone.
     store.publish(candles(spark, walk(11, {"A": 4})), 10)
     assert reader.count() == 3 and store.published().count() == 4
+
+
+def test_csv_types_are_found_in_all_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,x,day,at,flag,none,text,big\n1,1,2024-01-02,2024-01-02 03:04:05,true,,a,1\n"
+                                    "-2,2.5,2024-1-3,2024-01-02,FALSE, ,1,9999999999\n")
+    (tmp_path / "b.csv").write_text("text,flag,n,x,late\n2024-01-01,false,+3,1e3,7\n,,,,\n")
+    (tmp_path / "c.csv").write_text("")
+    got = infer_csv(spark, str(tmp_path))
+    assert dict(got.dtypes) == {
+        "n": "int", "x": "double", "day": "date", "at": "timestamp", "flag": "boolean", "none": "string",
+        "text": "string", "big": "bigint", "late": "int"}
+    assert got.count() == 4
+    assert sorted((r.n, r.x, r.text) for r in got.filter("n IS NOT NULL").collect()) == [
+        (-2, 2.5, "1"), (1, 1.0, "a"), (3, 1000.0, "2024-01-01")]
+    assert got.filter("n IS NULL AND text IS NULL AND flag IS NULL").count() == 1
+    (tmp_path / "d.csv").write_text("n\nx\n")
+    assert dict(infer_csv(spark, str(tmp_path)).dtypes)["n"] == "string"
+
+
+def test_csv_with_another_separator_or_no_rows(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a;b c\n")
+    got = infer_csv(spark, str(tmp_path / "a.csv"), ";")
+    assert got.dtypes == [("a", "string"), ("b c", "string")] and got.count() == 0
+    (tmp_path / "a.csv").write_text("")
+    with pytest.raises(ValueError, match="header"):
+        infer_csv(spark, str(tmp_path / "a.csv"))
+
+
+def test_a_sink_is_read_once_per_batch(spark, tmp_path, monkeypatch):
+    sink = CommittedSink("parquet", {"path": str(tmp_path / "rows")}, {"path": str(tmp_path / "commits")})
+    c = candles(spark, walk(5, {"A": 6, "B": 2}))
+    sink.write(c, 0, "one")
+    own, calls = CommittedSink._append, []
+
+    def fails(self, df, options):
+        calls.append(options)
+        if len(calls) == 2:
+            raise RuntimeError("lost before the commit")
+        own(self, df, options)
+
+    with monkeypatch.context() as broken:
+        broken.setattr(CommittedSink, "_append", fails)
+        with pytest.raises(RuntimeError):
+            sink.write(c, 1, "one")
+    assert sink.read(spark, c.schema).count() == 8
+    for _ in range(2):
+        sink.write(c, 1, "one")
+    sink.write(c, 0, "two")
+    got = sink.read(spark, c.schema)
+    assert dict(map(tuple, got.groupBy("writer").count().collect())) == {"one": 16, "two": 8}
+    assert rows_of(got.filter("writer = 'two'")) == rows_of(c)

@@ -11,7 +11,9 @@ from candlestream.plans import strategies
 from candlestream.plans.batch import advice
 from candlestream.sources.files import replay_stream
 from candlestream.sources.store import CandleStore
-from candlestream.streaming import jobs
+from candlestream.operators.latest import top_rows
+from candlestream.sources.outside import CommittedSink
+from candlestream.streaming import audit, jobs
 from candlestream.streaming.audit import COUNTED, LATE, OPEN, UNUSABLE, trade_audit
 from candlestream.streaming.jobs import streamed
 from tests.data import at, trades, walk
@@ -217,6 +219,71 @@ def test_a_trade_counted_in_a_later_batch_is_not_late(spark, feed):
     assert got["A", COUNTED] == 3 and ("A", LATE) not in got
 
 
+def test_audit_by_a_stream_of_its_own(spark, feed):
+    """Each trade is counted once over runs and replays, and the state says which windows are open."""
+    data = walk(14, {"A": 60, "B": 30})
+    parts = cut(spark, data, 4)
+    late = trades(spark, [("A", 10, 1.0, 1.0), ("B", 70, 1.0, 1.0), (None, 70, 2.0, 1.0)])
+    lost = late.limit(1).withColumn("event_time", F.lit(None).cast("timestamp"))
+    job, own = name("candles"), name("audit")
+    read = []
+    for more in ((parts[0], parts[1]), (late.union(lost), parts[2]), (parts[3],)):
+        for part in more:
+            feed.add(part)
+        finish(stream_candles(feed.stream(), strategies.BASIC, feed.store, job, WIDTH, DELAY))
+        query = finish(audit.stream_audit(feed.stream(), feed.store, own, WIDTH, once=True))
+        read.append(sum(p["numInputRows"] for p in query.recentProgress))
+        given = spark.read.parquet(f"{feed.path}/feed")
+        counts = audit.audited(feed.store, own)
+        assert rows(counts.groupBy("symbol", "window_start", "end").agg(F.sum("n"))) == rows(
+            audit.given_counts(given, WIDTH))
+        final = streamed(feed.store, job)
+        whole = rows(trade_audit(given, final, WIDTH))
+        assert rows(audit.fates(counts, final)) == whole
+        held = audit.open_windows(feed.store, job)
+        assert rows(audit.fates(counts, final, held)) == whole
+        assert held.count() == sum(r[2] == OPEN for r in whole) > 0
+    assert sum(read) == given.count() and read[2] == parts[3].count()
+
+
+def test_newest_rows_are_kept_published(spark, feed, monkeypatch):
+    data = walk(15, {"A": 90, "B": 20})
+    job = name("live")
+    for part in cut(spark, data, 4):
+        feed.add(part)
+    finish(stream_in_state(feed.stream(), strategies.RSI14, feed.store, job, WIDTH, DELAY, newest=7))
+    want = closed(advice(ticks(spark, data), strategies.RSI14, WIDTH), newest_of(data))
+    view = feed.store.published(jobs.newest_table(job))
+    assert rows(view) == rows(top_rows(want, 7)) and view.count() == 14
+    # A batch merged before changes nothing.
+    version = feed.store.version(jobs.newest_table(job))
+    jobs.publish_newest(feed.store, view, 7, version, job)
+    assert rows(feed.store.published(jobs.newest_table(job))) == rows(view)
+
+
+def test_a_sink_that_commits_sees_a_replayed_batch_once(spark, feed, monkeypatch):
+    data = walk(16, {"A": 60})
+    sink = CommittedSink("parquet", {"path": f"{feed.path}/rows"}, {"path": f"{feed.path}/commits"})
+    job = name("outside")
+    feed.add(ticks(spark, data))
+
+    def run():
+        finish(stream_labels(feed.stream(), strategies.RSI14, feed.store, job, WIDTH, DELAY, sink=sink))
+
+    with monkeypatch.context() as broken:
+        def lost(*args):
+            raise RuntimeError("the driver is lost")
+
+        broken.setattr(CandleStore, "write_state", lost)
+        with pytest.raises(Exception, match="lost"):
+            run()
+    run()
+    want = closed(advice(ticks(spark, data), strategies.RSI14, WIDTH), newest_of(data))
+    got = sink.read(spark, want.schema)
+    assert rows(got.select(*want.columns)) == rows(want)
+    assert spark.read.parquet(f"{feed.path}/rows").count() == 2 * want.count()
+
+
 def test_late_trades_change_nothing_after_a_restart(spark, feed):
     data = walk(4, {"A": 60, "B": 30})
     feed.add(ticks(spark, data))
