@@ -18,12 +18,16 @@ KEYS = ["symbol", "window_start"]
 def given_counts(trades: DataFrame, width: str) -> DataFrame:
     """(symbol, window_start, end, n): how many trades each window was given; those without a time
     have NULL for both ends. Counts of parts of the trades add up."""
-    window = F.window("event_time", width)
-    timed = trades.filter("event_time IS NOT NULL").groupBy("symbol", window.alias("candle")).agg(
+    untimed = F.isnull("event_time")
+    # A window drops rows without a time; these get one that is not looked at.
+    timed = trades.select(
+        "symbol", untimed.alias("untimed"), F.coalesce("event_time", F.timestamp_seconds(F.lit(0))).alias("time")
+    )
+    counted = timed.groupBy("symbol", "untimed", F.window("time", width).alias("candle")).agg(
         F.count(F.lit(1)).alias("n")
-    ).select("symbol", F.col("candle.start").alias("window_start"), F.col("candle.end").alias("end"), "n")
-    untimed = trades.filter("event_time IS NULL").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"))
-    return timed.unionByName(untimed, allowMissingColumns=True)
+    )
+    start, end = (F.when(~F.col("untimed"), F.col(f"candle.{edge}")) for edge in ("start", "end"))
+    return counted.select("symbol", start.alias("window_start"), end.alias("end"), "n")
 
 
 def fates(counts: DataFrame, candles: DataFrame, still_open: DataFrame | None = None) -> DataFrame:
