@@ -142,6 +142,9 @@ class CommitLog:
         read back, and its row count. A batch that has a commit is not written again. A batch
         without rows leaves no commit."""
         if batch_id in self._known(name)["batches"]:
+            if rows.sparkSession is not self.spark:
+                # The stream's own state is only brought forward by running its batch.
+                rows.write.format("noop").mode("overwrite").save()
             found = self.entries(name).filter(F.col("batch_id") == batch_id).select("file", "rows").collect()
             return self._batch(rows, [r["file"] for r in found if r["file"]]), sum(r["rows"] for r in found)
         commit = f"{batch_id}-{uuid.uuid4().hex}"
