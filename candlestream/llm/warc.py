@@ -230,7 +230,7 @@ def write(
     dealt = linked.mapInArrow(
         _sharded(cuts),
         "page_id bigint, url string, payload binary, first bigint, first_url string, shard int",
-    ).repartition(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "url", "payload")
+    ).repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "url", "payload")
 
     store, path = _filesystem(folder)
     store.create_dir(f"{path}/_temporary", recursive=True)
@@ -325,5 +325,9 @@ def _reader(folder: str, with_payload: bool):
 def read(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
     """The records of the files that the manifest of `folder` lists, digests checked."""
     manifest = spark.read.parquet(f"{folder}/manifest").select("name")
-    files = max(1, manifest.count())
-    return manifest.repartition(files, "name").mapInArrow(_reader(folder, with_payload), RECORD)
+    # One task per file: the place of a file among the sorted names, of which there are as many as files.
+    names = sorted(r["name"] for r in manifest.collect())
+    listed = spark.createDataFrame(list(enumerate(names)), "file int, name string")
+    return listed.repartitionById(max(1, len(names)), "file").select("name").mapInArrow(
+        _reader(folder, with_payload), RECORD
+    )
