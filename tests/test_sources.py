@@ -132,7 +132,7 @@ def rows_of(df):
 
 def days(spark, n, seed=1, per_day=5):
     """Candles of n dates."""
-    rows = [("A", 1440 * day + m, float(day + m + seed), 1.0) for day in range(n) for m in range(per_day)]
+    rows = [("A", 1440 * day + 10 * seed + m, float(day + m + seed), 1.0) for day in range(n) for m in range(per_day)]
     return candles(spark, rows)
 
 
