@@ -1,16 +1,14 @@
-"""Log probability of texts under a smoothed n-gram model: that of a weighted backoff automaton.
+"""Log probability of texts under a smoothed n-gram model, read off a weighted backoff automaton.
 
-States are the histories seen in training. From state h an arc for word w leads on with
-log10((c(hw) + k P(w)) / (c(h) + k)) when hw was seen; else the failure arc, with
-log10(k / (c(h) + k)), leads to the state of the shorter history, down to the empty one, where
-P(w) = (c(w) + 1) / (N + V + 1). Probabilities of all words and one unknown word sum to one in
-every state. The state after a word is its longest suffix that is a state, so it hangs on the words
-before a place alone. No arcs are built and no state is carried: the counts at all places of many
-texts are looked up as arrays, and a count of zero in an arc's formula gives the failure arc's weight.
+Smoothed n-grams are the states and arcs of an automaton with failure arcs (see backoff.py); one walk
+over a text from left to right carries the state and adds up the arcs' log probabilities. The
+probabilities of all words and one unknown word sum to one in every state.
 
-The model never is in one place. Documents are dealt into chunks; a chunk's distinct n-grams
+The automaton never is in one place. Documents are dealt into chunks; a chunk's distinct n-grams
 go, with its training counts, to the tasks that own their hash ranges, these add up, and each
-chunk gets the totals of its own n-grams back. An n-gram, however frequent, travels once per chunk.
+chunk gets the totals of its own n-grams back, which make the part of the automaton that its texts
+can reach. An n-gram, however frequent, travels once per chunk. Rows that repeat id and text are
+counted before the shuffle and travel once, so that they cannot fill a chunk.
 
 Defined cases: NULL and empty texts hold the end token only; a NULL id counts as training text;
 repeated rows count and are scored each; an empty table gives an empty result; columns other than
@@ -19,12 +17,15 @@ id and text are not read, so their names cannot clash.
 
 from __future__ import annotations
 
+from itertools import pairwise
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlestream.llm import text as tx
+from candlestream.llm.backoff import automaton
 from candlestream.session import materialize
 
 ORDER = 2
@@ -33,6 +34,11 @@ STRENGTH = 30.0
 CHUNK_BYTES = 3 << 20
 # N-grams of all chunks that one task adds up, about.
 RANGE_GRAMS = 500_000
+# Chunks or ranges of one task, at most on average, where the session's partitions would hold more.
+PER_TASK = 16
+
+# Hashes of repeated rows that are sent to all executors; more are joined.
+BROADCAST_REPEATED = 100_000
 
 START, END = tx.random_numbers(2, 31)
 
@@ -93,17 +99,18 @@ def _ranges(sorted_hashes: np.ndarray, ranges: int) -> np.ndarray:
 
 _COUNTED = "size int, range int, chunk int, hashes binary, counts binary, n bigint"
 _TOTALS = "chunk int, size int, range int, totals binary, known bigint, tokens bigint"
-_SCORED = "doc bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+_SCORED = "doc bigint, held_out boolean, copies bigint, n_tokens bigint, n_known bigint, base_score double, score double"
 
 
 def _counted(order: int, ranges: int):
     def count(key: tuple, table: pa.Table) -> pa.Table:
         tokens, counts = _tokens(table.column("text"))
-        learn = np.repeat(~table.column("held_out").to_numpy(), counts)
+        learned = np.where(table.column("held_out").to_numpy(), 0, table.column("copies").to_numpy())
+        learned = np.repeat(learned, counts)
         rows: dict[str, list] = {k: [] for k in ("size", "range", "chunk", "hashes", "counts", "n")}
         for size, grams in enumerate(_grams(tokens, counts, order), 1):
             distinct, at = np.unique(grams, return_inverse=True)
-            seen = np.bincount(at[learn], minlength=len(distinct)).astype(np.uint32)
+            seen = np.bincount(at, learned, len(distinct)).astype(np.uint64)
             edges = _ranges(distinct, ranges)
             for r in np.flatnonzero(np.diff(edges)).tolist():
                 part = slice(edges[r], edges[r + 1])
@@ -121,7 +128,7 @@ def _counted(order: int, ranges: int):
 
 def _added(key: tuple, table: pa.Table) -> pa.Table:
     hashes = [np.cumsum(_unplaned(x, np.uint64), dtype=np.uint64) for x in table.column("hashes").to_pylist()]
-    counts = [_unplaned(x, np.uint32) for x in table.column("counts").to_pylist()]
+    counts = [_unplaned(x, np.uint64) for x in table.column("counts").to_pylist()]
     distinct, at = np.unique(np.concatenate(hashes), return_inverse=True)
     sums = np.bincount(at, np.concatenate(counts), len(distinct)).astype(np.uint64)
     totals, done = [], 0
@@ -145,36 +152,37 @@ def _scored(order: int, strength: float, all_tokens: int, all_known: int):
         parts: dict[int, list[tuple[int, bytes]]] = {}
         for size, r, data in zip(*(found.column(c).to_pylist() for c in ("size", "range", "totals")), strict=True):
             parts.setdefault(size, []).append((r, data))
-        first = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        place = np.arange(len(tokens)) - np.repeat(first, counts)
-        ends = None
-        seen = []
+        edges = np.concatenate([[0], np.cumsum(counts)])
+        place = np.arange(len(tokens)) - np.repeat(edges[:-1], counts)
+        places, seen = [], []
         for size, grams in enumerate(_grams(tokens, counts, order), 1):
             distinct, at = np.unique(grams, return_inverse=True)
-            totals = np.concatenate([_unplaned(data, np.uint64) for _, data in sorted(parts[size])])
-            if ends is None:
-                ends = float(totals[np.searchsorted(distinct, END)])
-            seen.append(totals[at].astype(np.float64))
-        chance = (seen[0] + 1) / (all_tokens + all_known + 1)
-        base = np.log10(chance)
-        for size in range(2, order + 1):
-            # The history of a place is the shorter n-gram that ended before it, start marks
-            # included; that of a first token is start marks only, one per training text.
-            history = np.concatenate([[ends], seen[size - 2][:-1]])
-            history[place == 0] = ends
-            chance = (seen[size - 1] + strength * chance) / (history + strength)
-        known = seen[0] > 0
-        add = lambda x: np.add.reduceat(x, first)
+            places.append(at)
+            seen.append(np.concatenate([_unplaned(data, np.uint64) for _, data in sorted(parts[size])]))
+            if size == 1:
+                # Every training text has one end, and one start.
+                texts = int(seen[0][np.searchsorted(distinct, END)])
+        model = automaton(places, seen, place, texts, strength, all_tokens, all_known)
+        words = places[0].tolist()
+        walked = [model.walk(words[a:b], model.start)[0] for a, b in pairwise(edges.tolist())]
+        own = seen[0][places[0]]
+        base = np.log10((own + 1) / (all_tokens + all_known + 1))
         return pa.table({
-            "doc": table.column("doc"), "held_out": table.column("held_out"),
+            "doc": table.column("doc"), "held_out": table.column("held_out"), "copies": table.column("copies"),
             "n_tokens": pa.array(counts.astype(np.int64)),
-            "n_known": pa.array(add(known.astype(np.int64))),
-            "base_score": pa.array(add(base)), "score": pa.array(add(np.log10(chance))),
+            "n_known": pa.array(np.add.reduceat((own > 0).astype(np.int64), edges[:-1])),
+            "base_score": pa.array(np.add.reduceat(base, edges[:-1])), "score": pa.array(walked, pa.float64()),
         })
 
     return score
 
 
+def _spread(df: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Partitions by the number of groups, where the session's are too few for them."""
+    own = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(-(-groups // PER_TASK), *keys) if groups > own * PER_TASK else df
+
+
 def scores(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", learn: Column | None = None,
     order: int = ORDER, strength: float = STRENGTH,
@@ -185,19 +193,35 @@ def scores(
     plain = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     key = F.col(f"`{doc_id}`")
     out = held_out(key) if learn is None else ~learn
-    volume = docs.agg(F.sum(F.octet_length(plain) + 1)).first()[0] or 0
-    chunks = volume // CHUNK_BYTES + 1
-    ranges = max(1, volume // 6 // RANGE_GRAMS + 1)
     source = docs.select(
         key.cast("bigint").alias("doc"), plain.alias("text"), out.alias("held_out"),
-        F.pmod(F.xxhash64(key, plain), F.lit(chunks)).cast("int").alias("chunk"),
+        F.xxhash64(key, plain).alias("hash"),
+    )
+    repeated, many = materialize(
+        source.groupBy("hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash"), "repeated"
     )
-    counted = source.groupBy("chunk").applyInArrow(_counted(order, ranges), _COUNTED)
+    volume = source.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    chunks = volume // CHUNK_BYTES + 1
+    ranges = max(1, volume // 6 // RANGE_GRAMS + 1)
+    rows = source.withColumn("copies", F.lit(1).cast("bigint"))
+    if many:
+        repeated = F.broadcast(repeated) if many <= BROADCAST_REPEATED else repeated
+        once = source.join(repeated, "hash", "left_semi").groupBy("doc", "text", "held_out", "hash").agg(
+            F.count("*").alias("copies"))
+        rows = rows.join(repeated, "hash", "left_anti").unionByName(once)
+    rows = _spread(rows.select(
+        "doc", "text", "held_out", "copies", F.pmod("hash", F.lit(chunks)).cast("int").alias("chunk")
+    ), chunks, "chunk")
+    counted = rows.groupBy("chunk").applyInArrow(_counted(order, ranges), _COUNTED)
+    counted = _spread(counted, ranges * order, "size", "range")
     totals, _ = materialize(counted.groupBy("size", "range").applyInArrow(_added, _TOTALS), "totals")
     known, tokens = totals.filter("size = 1").agg(F.sum("known"), F.sum("tokens")).first()
-    scored = source.groupBy("chunk").cogroup(
-        totals.select("chunk", "size", "range", "totals").groupBy("chunk")
-    ).applyInArrow(_scored(order, strength, tokens or 0, known or 0), _SCORED)
+    found = _spread(totals.select("chunk", "size", "range", "totals"), chunks, "chunk")
+    scored = rows.groupBy("chunk").cogroup(found.groupBy("chunk")).applyInArrow(
+        _scored(order, strength, tokens or 0, known or 0), _SCORED
+    )
+    if many:
+        scored = scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
     return scored.select(
         F.col("doc").alias("doc_id"), "held_out", "n_tokens", "n_known",
         F.lit(tokens or 0).cast("bigint").alias("train_tokens"), "base_score", "score",

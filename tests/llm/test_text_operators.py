@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from candlestream.llm import decontamination, language_id, lm_scoring, packing, pii, quality
+from candlestream.llm import backoff, decontamination, language_id, lm_scoring, packing, pii, quality
 from tests.llm import brute, data
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -86,6 +86,60 @@ def test_scores_are_those_of_an_automaton(spark):
         (str(doc), round(walk(w), 4)) for doc, w in texts)
 
 
+def test_scores_of_rows_that_repeat(spark, monkeypatch):
+    """A third of all rows are equal, without id; each counts and is scored. Also with more tasks than
+    the session's partitions and the repeated rows found by shuffle."""
+    rows = [(None, "one two one")] * 50 + [(k, f"one w{k % 9} two") for k in range(100)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    plain = lm_scoring.scores(frame, order=3).collect()
+    equal = {r[1:] for r in plain if r.doc_id is None}
+    learned = sum(not held_out(doc, 7) for doc, _ in rows)
+    assert len(plain) == 150 and len(equal) == 1 and plain[0].train_tokens == 4 * learned
+    monkeypatch.setattr(lm_scoring, "PER_TASK", 1)
+    monkeypatch.setattr(lm_scoring, "CHUNK_BYTES", 20)
+    monkeypatch.setattr(lm_scoring, "BROADCAST_REPEATED", 0)
+    spread = lm_scoring.scores(frame, order=3).collect()
+    rounded = lambda got: sorted((str(r[0]), *r[1:5], round(r[5], 6), round(r[6], 6)) for r in got)
+    assert rounded(spread) == rounded(plain)
+
+
+def test_a_walk_follows_failure_arcs():
+    """Training text "a b c a b d" at order 3, walked over "a b c" and "a c d" with its states told."""
+    k, words = 2.0, ["a", "b", "c", "d", "\0end"]
+    training, walked = "a b c a b d".split() + ["\0end"], [["a", "b", "c", "\0end"], ["a", "c", "d", "\0end"]]
+    seen = Counter()
+    for size in (1, 2, 3):
+        marked = ["<"] * (size - 1) + training
+        seen.update(tuple(marked[p:p + size]) for p in range(len(training)))
+    at, totals = [], []
+    for size in (1, 2, 3):
+        grams = [tuple((["<"] * (size - 1) + w)[p:p + size]) for w in walked for p in range(len(w))]
+        names = sorted(set(grams))
+        at.append(np.array([names.index(g) for g in grams]))
+        totals.append(np.array([seen[g] for g in names], np.uint64))
+    numbers = {w: n for n, w in enumerate(sorted(set(words)))}
+    model = backoff.automaton(at, totals, np.array([0, 1, 2, 3] * 2), 1, k, 7, 5)
+    walks = [[numbers[w] for w in ws] for ws in walked]
+
+    def log(x):
+        return pytest.approx(math.log10(x))
+
+    uni = {w: (seen[(w,)] + 1) / 13 for w in words}
+    a = (1 + k * (1 + k * uni["a"]) / (1 + k)) / (1 + k)
+    total, state = model.walk(walks[0][:1], model.start)
+    assert total == log(a)
+    # "a c" was never seen: from the state of "< a" two failure arcs lead to the empty state.
+    gone, after = model.walk(walks[1][1:2], state)
+    assert gone == log(k / (1 + k) * k / (2 + k) * uni["c"])
+    b = (1 + k * (2 + k * uni["b"]) / (2 + k)) / (1 + k)
+    assert model.walk(walks[0][1:2], state)[0] == log(b)
+    # "c" is a state, "c d" was not seen there.
+    assert model.walk(walks[1][2:3], after)[0] == log(k / (1 + k) * uni["d"])
+    whole = model.walk(walks[1], model.start)[0]
+    assert whole == pytest.approx(total + gone + math.log10(k / (1 + k) * uni["d"]) + math.log10(
+        (1 + k * uni["\0end"]) / (1 + k)))
+
+
 def test_scores_of_nothing(spark):
     assert lm_scoring.scores(data.frame(spark, [])).collect() == []
 
