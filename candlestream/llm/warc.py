@@ -1,8 +1,9 @@
 """Deterministic, sharded WARC archives, written and read in tasks.
 
-Records are ordered by id: cut points from a sample chosen by a hash of the ids, so the same for
-the same table, deal them into shards of about `SHARD_BYTES` of payload, and a shard is sorted. A
-shard's records, each a gzip member, go into files that roll before `FILE_BYTES` compressed bytes.
+Records are ordered by id and hash of the content, their bytes are summed up in this order, and every
+`SHARD_BYTES` a new shard begins, so many rows of one id, or without any, are many shards too; equal
+rows are one row with a number until they are written. The driver gets one key per shard. A shard's
+records, each a gzip member, go into files that roll before `FILE_BYTES` compressed bytes.
 Headers, record ids and digests are made anew from the row alone. Of equal payloads of at least
 `revisit_bytes` bytes, rows with the smallest id are responses and all others revisits of them.
 
@@ -29,22 +30,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from candlestream.session import written
 
 SHARD_BYTES = 32 << 20
 FILE_BYTES = 8 << 20
-# Ids that the cut points of one shard are estimated from, about.
-SAMPLE_PER_SHARD = 200
+# Bytes of a record beside its payload, about.
+HEAD_BYTES = 600
 
 # Digests of payloads that occur more than once and are sent to all executors; more are joined.
 BROADCAST_DIGESTS = 100_000
 
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
+NAMES = uuid.NAMESPACE_URL
 
 MANIFEST = "name string, temporary string, records bigint, bytes bigint, digest string"
 RECORD = (
@@ -151,8 +152,8 @@ def _writer(folder: str, file_bytes: int, date: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, done = None, []
         for batch in batches:
-            columns = (batch.column(c) for c in ("shard", "page_id", "url", "payload", "first", "first_url"))
-            for at, page_id, url, payload, first, first_url in zip(*columns, strict=True):
+            columns = (batch.column(c) for c in ("shard", "times", "page_id", "url", "payload", "first", "first_url"))
+            for at, times, page_id, url, payload, first, first_url in zip(*columns, strict=True):
                 if shard is None or shard.shard != at.as_py():
                     if shard is not None:
                         shard.close()
@@ -160,7 +161,9 @@ def _writer(folder: str, file_bytes: int, date: str):
                     shard = _Shard(folder, at.as_py(), file_bytes)
                 refers_to = first.as_py()
                 data = record(page_id.as_py(), url.as_py(), payload.as_py(), refers_to, first_url.as_py(), date)
-                shard.add(gzip_member(data))
+                member = gzip_member(data)
+                for _ in range(times.as_py()):
+                    shard.add(member)
         if shard is not None:
             shard.close()
             done += shard.done
@@ -170,30 +173,78 @@ def _writer(folder: str, file_bytes: int, date: str):
     return write
 
 
-def _cuts(ids: DataFrame, shards: int, rows: int) -> np.ndarray:
-    """Ids that divide the table into `shards` parts of about the same number of rows."""
-    if shards < 2:
-        return np.empty(0, np.int64)
-    every = max(1, rows // (shards * SAMPLE_PER_SHARD))
-    sample = ids.filter(F.pmod(F.xxhash64("page_id"), F.lit(every)) == 0).filter("page_id IS NOT NULL")
-    found = np.sort(sample.toArrow().column("page_id").to_numpy())
-    if not len(found):
-        return np.empty(0, np.int64)
-    return np.unique(found[(np.arange(1, shards) * len(found)) // shards])
+def _keys(pages: DataFrame, folder: str, shard_bytes: int) -> DataFrame:
+    """For each id and content: how many rows (`times`) of how many bytes (`size`) there are, and the
+    `shard` and `start`, in bytes, of the first in the order of ids and hashes.
+
+    Bytes are summed up in parts by range, then over the parts, of which there are few.
+    """
+    sums = pages.groupBy("page_id", "hash").agg(F.count("*").alias("times"), F.max("size").alias("size"))
+    parts, _ = written(
+        sums.withColumn("bytes", F.col("times") * F.col("size")).repartitionByRange("page_id", "hash")
+        .withColumn("part", F.spark_partition_id()), f"{folder}/_work/parts",
+    )
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.groupBy("part").agg(F.sum("bytes").alias("bytes")).select(
+        "part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("part_start"))
+    own = Window.partitionBy("part").orderBy("page_id", "hash").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("part_start") + F.coalesce(F.sum("bytes").over(own), F.lit(0))
+    placed = parts.join(F.broadcast(starts), "part").withColumn("start", start)
+    return placed.select(
+        "page_id", "hash", "times", "size", "start",
+        F.expr(f"start div {int(shard_bytes)}").cast("int").alias("shard"),
+    )
+
+
+def _ordered(page_ids: pa.Array, hashes: pa.Array) -> np.ndarray:
+    """Byte strings in the order of ids, NULL first, and hashes."""
+    out = np.zeros((len(page_ids), 17), np.uint8)
+    out[:, 0] = page_ids.is_valid().to_numpy(zero_copy_only=False)
+    for at, column in ((1, page_ids.fill_null(0)), (9, hashes)):
+        shifted = column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+        out[:, at:at + 8] = shifted.astype(">u8").view(np.uint8).reshape(-1, 8)
+    return out.view("S17").ravel()
+
+
+def _cuts(keys: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of the shards that a key begins in, and the first such key of each."""
+    first = keys.groupBy("shard").agg(F.min(F.struct("page_id", "hash")).alias("first"))
+    found = first.select("shard", "first.page_id", "first.hash").toArrow().combine_chunks().sort_by("shard")
+    page_ids, hashes = (found.column(c).combine_chunks() for c in ("page_id", "hash"))
+    return found.column("shard").to_numpy(), _ordered(page_ids, hashes)
 
 
-def _sharded(cuts: np.ndarray):
+def _sharded(shards: np.ndarray, cuts: np.ndarray):
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("page_id")
-            at = np.searchsorted(cuts, ids.fill_null(-(1 << 63)).to_numpy(), side="right")
+            key = _ordered(batch.column("page_id"), batch.column("hash"))
+            at = shards[np.searchsorted(cuts, key, side="right") - 1]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(at.astype(np.int32))], names=[*batch.schema.names, "shard"]
+                [*batch.columns, pa.array(at.astype(np.int32)), pa.array(np.ones(len(at), np.int64))],
+                names=[*batch.schema.names, "shard", "times"],
             )
 
     return shard
 
 
+def _dealt(repeated: DataFrame, keys: DataFrame, shard_bytes: int) -> DataFrame:
+    """Equal rows as one row per shard that they reach into, with how many of them start there."""
+    at = keys.filter("times > 1").withColumnRenamed("page_id", "id").withColumnRenamed("shard", "begin")
+    once = repeated.groupBy("page_id", "url", "hash", F.sha1("payload").alias("sha")).agg(
+        F.first("payload").alias("payload"), F.count("*").alias("copies"))
+    spans = once.join(at, (once["hash"] == at["hash"]) & once["page_id"].eqNullSafe(at["id"])).drop(at["hash"])
+    last = F.expr(f"(start + (copies - 1) * size) div {int(shard_bytes)}").cast("int")
+    spans = spans.withColumn("shard", F.explode(F.sequence("begin", last)))
+
+    def up_to(shard: Column) -> Column:
+        rows = F.ceil((shard.cast("bigint") * shard_bytes - F.col("start")) / F.col("size"))
+        return F.least(F.greatest(rows, F.lit(0)), F.col("copies"))
+
+    times = up_to(F.col("shard") + 1) - up_to(F.col("shard"))
+    return spans.withColumn("times", times).filter("times > 0").select(
+        "page_id", "url", "payload", "hash", "shard", "times")
+
+
 def write(
     pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", html: str = "html",
     revisit_bytes: int = 0, shard_bytes: int = SHARD_BYTES, file_bytes: int = FILE_BYTES,
@@ -207,30 +258,41 @@ def write(
         F.col(f"`{page_id}`").cast("bigint").alias("page_id"), F.col(f"`{url}`").alias("url"),
         payload.alias("payload"),
     )
-    digests = source.select("page_id", "url", F.sha1("payload").alias("digest"),
-                            F.octet_length("payload").alias("n"))
-    rows, volume = digests.agg(F.count("*"), F.sum("n")).first()
-    repeated, many = written(
+    source = source.withColumn("hash", F.xxhash64("page_id", "url", "payload"))
+    digests, _ = written(
+        source.select("page_id", "url", "hash", F.sha1("payload").alias("digest"), F.octet_length("payload").alias("n")),
+        f"{folder}/_work/digests",
+    )
+    firsts, many = written(
         digests.filter(F.col("n") >= revisit_bytes).groupBy("digest").agg(
             F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("*").alias("copies")
         ).filter("copies > 1").select("digest", "first.page_id", "first.url"),
         f"{folder}/_work/repeated",
     )
-    repeated = repeated.toDF("digest", "first", "first_url")
+    firsts = firsts.toDF("digest", "first", "first_url")
     if many <= BROADCAST_DIGESTS:
-        repeated = F.broadcast(repeated)
-    linked = source.withColumn("digest", F.sha1("payload")).join(repeated, "digest", "left")
+        firsts = F.broadcast(firsts)
+    sizes = digests.withColumn("size", (F.col("n") + HEAD_BYTES).cast("bigint"))
+    keys, _ = written(_keys(sizes, folder, shard_bytes), f"{folder}/_work/keys")
+    equal, several = written(keys.filter("times > 1").select("hash").distinct(), f"{folder}/_work/equal")
+    if several and several <= BROADCAST_DIGESTS:
+        equal = F.broadcast(equal)
+    shards, cuts = _cuts(keys)
+    dealt = (source.join(equal, "hash", "left_anti") if several else source).select(
+        "page_id", "url", "payload", "hash"
+    ).mapInArrow(
+        _sharded(shards, cuts),
+        "page_id bigint, url string, payload binary, hash bigint, shard int, times bigint",
+    )
+    if several:
+        dealt = dealt.unionByName(_dealt(source.join(equal, "hash", "left_semi"), keys, shard_bytes))
     later = F.col("page_id") > F.col("first")
-    linked = linked.select(
-        "page_id", "url", "payload", F.when(later, F.col("first")).alias("first"),
+    dealt = dealt.withColumn("digest", F.sha1("payload")).join(firsts, "digest", "left").select(
+        "page_id", "url", "payload", "hash", "shard", "times", F.when(later, F.col("first")).alias("first"),
         F.when(later, F.col("first_url")).alias("first_url"),
     )
-    shards = max(1, -(-(volume or 0) // shard_bytes))
-    cuts = _cuts(source.select("page_id"), shards, rows)
-    dealt = linked.mapInArrow(
-        _sharded(cuts),
-        "page_id bigint, url string, payload binary, first bigint, first_url string, shard int",
-    ).repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("shard", "page_id", "url", "payload")
+    total = keys.agg(F.max(F.expr(f"(start + (times - 1) * size) div {int(shard_bytes)}"))).first()[0] or 0
+    dealt = dealt.repartitionById(total + 1, "shard").sortWithinPartitions("shard", "page_id", "hash", "url", "payload")
 
     store, path = _filesystem(folder)
     store.create_dir(f"{path}/_temporary", recursive=True)

@@ -62,6 +62,30 @@ def test_a_page_without_id_hides_no_revisits(spark, tmp_path):
     assert got == Counter({(None, "response", None): 4, (4, "response", None): 1, (9, "revisit", 4): 1})
 
 
+def test_shards_of_hot_ids_are_of_equal_size(spark, tmp_path):
+    """A third of the pages have no id, a third are one page that repeats, and some are larger than others."""
+    rows = [(None, f"http://n.net/{k}", f"page {k} " + "n" * 900) for k in range(300)]
+    rows += [(7, "http://r.net/", "same" * 250)] * 300
+    rows += [(1000 + k, f"http://i.net/{k}", f"{k} " + "i" * (20 * (k % 100))) for k in range(300)]
+    folder = f"file://{tmp_path}/warc"
+    manifest = warc.write(pages(spark, rows), folder, shard_bytes=40_000, file_bytes=1 << 30).collect()
+    got = warc.read(spark, folder).collect()
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == Counter(
+        (page, len(html), base32(html), "response", None) for page, _, html in rows)
+    held = {}
+    for r in manifest:
+        data = gzip.decompress((tmp_path / "warc" / r.name).read_bytes())
+        held[r.name] = sum(int(f["X-Payload-Length"]) + warc.HEAD_BYTES for f, _ in warc.parse(
+            iter([(tmp_path / "warc" / r.name).read_bytes()])))
+        assert data.count(b"WARC/1.1\r\n") == r.records
+    sizes = [held[name] for name in sorted(held)]
+    total = sum(len(html) + warc.HEAD_BYTES for _, _, html in rows)
+    assert len(sizes) == -(-total // 40_000) and max(sizes) < 43_000 and min(sizes[:-1]) > 37_000
+    order = [r.page_id for name in sorted(held) for r in spark.createDataFrame([(name,)], "name string").mapInArrow(
+        warc._reader(folder, False), warc.RECORD).collect()]
+    assert order == sorted(order, key=lambda x: (x is not None, x or 0))
+
+
 def test_archives_of_one_table_are_equal(spark, tmp_path):
     made = []
     for k in range(2):
