@@ -16,7 +16,7 @@ other columns are not read, so their names cannot clash.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlestream.llm.native import let, once, shingle_hashes, words
@@ -29,6 +29,10 @@ BLOCKS, BLOCK_BITS = 4, 16
 # At a similarity of 0.8 two fingerprints differ in 9.7 bits on average, 2.9 the deviation.
 RADIUS = 19
 
+# Items of more shingles are found by sliding windows, in time linear in an item's length; for shorter
+# ones it is quicker to write the windows out. Results are the same.
+LONG = 512
+
 # Up to so many distinct benchmark shingles, places that cannot match are passed over by a Bloom
 # filter sent with the plan, 32 bytes of one slot each per shingle; larger benchmarks are joined.
 # Either way places are then joined exactly.
@@ -133,6 +137,86 @@ def _hits(docs: DataFrame, vocabulary: DataFrame, size: int) -> DataFrame:
     return numbered.join(places, "n").select("doc", "sh", "at")
 
 
+def _near(windows: DataFrame, own: DataFrame, radius: int) -> DataFrame:
+    """The windows with each item of their size `n` whose fingerprint is within the radius of `fp`."""
+    keys = windows.select("*", F.explode(blocks(F.col("fp"))).alias("b")).select(
+        *windows.columns, "b.block", "b.value"
+    )
+    near = F.expr(
+        f"filter(sequence(0, {(1 << BLOCK_BITS) - 1}), m -> bit_count(m) <= {radius // BLOCKS})"
+    )
+    index = own.select(
+        "item", F.size("item_sh").alias("n"), F.explode(blocks(F.col("item_fp"))).alias("b"),
+    ).select(
+        "item", "n", "b.block", F.explode(near).alias("mask"), "b.value",
+    ).select("item", "n", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
+
+    # The index holds some ten thousand rows per item: its size is guessed too small, so no broadcast.
+    pairs = keys.join(index.hint("merge"), ["n", "block", "value"]).join(own.drop("item_sh"), "item")
+    # A pair that meets in several blocks counts in the first.
+    first = F.lit(True)
+    for b in range(BLOCKS):
+        apart = F.bit_count(_block(F.col("fp").bitwiseXOR(F.col("item_fp")), b)) > radius // BLOCKS
+        first = first & ((F.col("block") <= b) | apart)
+    return pairs.filter(first & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius))
+
+
+def _sliding(docs: DataFrame, own: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """(doc, item, at, similarity) of the windows that reach the threshold, for long items.
+
+    No window is written out. Running counts of each bit along a document give any window's
+    fingerprint as a difference of two rows. Shared shingles slide too: of the shingles in a window
+    that equal one the item holds c times, the first c count, so one at place q counts in the
+    windows that begin after the c-th equal place before q and reach q.
+    """
+    numbered, _ = materialize(docs.withColumn("no", F.monotonically_increasing_id()), "shingles")
+    vocabulary = own.select(F.explode("item_sh").alias("h"), F.size("item_sh").alias("n")).distinct()
+    tokens = numbered.select("no", F.posexplode("sh").alias("at", "h"))
+    hits, _ = materialize(tokens.join(vocabulary, "h").select("no", "at", "n"), "places")
+    long = numbered.join(hits.select("no").distinct(), "no", "left_semi")
+    tokens = long.select("no", F.posexplode("sh").alias("at", "h"))
+
+    # Two bits to a long: no document holds the 2 ** 31 shingles that would fill a lane.
+    before = Window.partitionBy("no").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    ends = long.select("no", F.size("sh").alias("at"), F.lit(0).cast("bigint").alias("h"))
+    lanes = [
+        F.coalesce(F.sum(
+            F.shiftrightunsigned("h", k).bitwiseAND(1)
+            + F.shiftrightunsigned("h", k + 1).bitwiseAND(1) * F.lit(1 << 32)
+        ).over(before), F.lit(0)) for k in range(0, 64, 2)
+    ]
+    sums, _ = materialize(tokens.unionByName(ends).select("no", "at", F.array(*lanes).alias("sums")), "counts")
+    spans = hits.join(numbered.select("no", F.size("sh").alias("length")), "no").withColumn(
+        "until", F.least(F.col("at") + F.col("n"), F.col("length"))
+    )
+    spans = spans.join(sums, ["no", "at"]).join(
+        sums.select("no", F.col("at").alias("until"), F.col("sums").alias("until_sums")), ["no", "until"])
+    held = F.zip_with("until_sums", "sums", lambda b, a: b - a)
+    fingerprint = let(held, lambda counts: _majorities(counts, F.col("until") - F.col("at"), 2))
+    found, _ = materialize(_near(spans.select(
+        "no", "n", "at", (F.col("until") - F.col("at")).alias("size"), fingerprint.alias("fp")
+    ), own, radius).select("no", "item", "at", "n", "size"), "near")
+
+    counts = own.select("item", F.size("item_sh").alias("n"), F.explode("item_sh").alias("h")).groupBy(
+        "item", "n", "h").agg(F.count("*").alias("c"))
+    equal = found.select("no", "item").distinct().join(counts, "item").join(tokens, ["no", "h"]).withColumn(
+        "rank", F.row_number().over(Window.partitionBy("no", "item", "h").orderBy("at")))
+    equal, _ = materialize(equal.select("no", "item", "n", "h", "c", "at", "rank"), "equal")
+    earlier = equal.select("no", "item", "h", (F.col("rank") + F.col("c")).alias("rank"), F.col("at").alias("earlier"))
+    counted = equal.join(earlier, ["no", "item", "h", "rank"], "left").select("no", "item", F.inline(F.array(
+        F.struct(F.greatest(F.col("earlier") + 1, F.col("at") - F.col("n") + 1, F.lit(0)).alias("at"), F.lit(1).alias("step")),
+        F.struct((F.col("at") + 1).alias("at"), F.lit(-1).alias("step")),
+    )))
+    none = F.lit(None).cast("int")
+    steps = counted.withColumns({"n": none, "size": none}).unionByName(found.withColumn("step", F.lit(0)))
+    up_to = Window.partitionBy("no", "item").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    shared = steps.withColumn("shared", F.sum("step").over(up_to)).filter("n IS NOT NULL")
+    return shared.withColumn(
+        "similarity", F.col("shared") / (F.col("size") + F.col("n") - F.col("shared"))
+    ).filter(F.col("similarity") >= threshold).join(numbered.select("no", "doc"), "no").select(
+        "doc", "item", "at", "similarity")
+
+
 def leaks(
     docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
     item_id: str = "item_id", item_text: str = "text", threshold: float = THRESHOLD,
@@ -143,7 +227,9 @@ def leaks(
     own = _shingled(items, item_id, item_text, "item").filter(F.size("sh") > 0).select(
         "item", F.col("sh").alias("item_sh"), simhash(F.col("sh")).alias("item_fp")
     )
-    own, _ = materialize(own, "items")
+    every, _ = materialize(own, "items")
+    shingled = _shingled(docs, doc_id, text, "doc")
+    own = every.filter(F.size("item_sh") <= LONG)
     vocabulary, size = materialize(
         own.select(F.explode("item_sh").alias("h"), F.size("item_sh").alias("n")).distinct(),
         "vocabulary",
@@ -152,7 +238,7 @@ def leaks(
     if size <= MAP_LIMIT:
         sizes = F.broadcast(sizes)
 
-    placed = _hits(_shingled(docs, doc_id, text, "doc"), vocabulary, size)
+    placed = _hits(shingled, vocabulary, size)
     placed = placed.withColumn("h", F.get("sh", F.col("at"))).join(sizes, "h")
     windows = placed.select("doc", "at", F.explode("sizes").alias("n"), "sh").select(
         "doc", "at", "n", F.slice("sh", F.col("at") + 1, F.col("n")).alias("win")
@@ -163,33 +249,17 @@ def leaks(
     distinct = windows.groupBy("n", "win").agg(F.lit(1).alias("one")).select(
         "n", "win", simhash(F.col("win")).alias("fp")
     )
-    keys = distinct.select("n", "win", "fp", F.explode(blocks(F.col("fp"))).alias("b")).select(
-        "n", "win", "fp", "b.block", "b.value"
-    )
-    near = F.expr(
-        f"filter(sequence(0, {(1 << BLOCK_BITS) - 1}), m -> bit_count(m) <= {radius // BLOCKS})"
-    )
-    index = own.select(
-        "item", F.size("item_sh").alias("n"), "item_sh", "item_fp",
-        F.explode(blocks(F.col("item_fp"))).alias("b"),
-    ).select(
-        "item", "n", "b.block", F.explode(near).alias("mask"), "b.value",
-    ).select("item", "n", "block", F.col("value").bitwiseXOR(F.col("mask")).alias("value"))
-
-    # The index holds some ten thousand rows per item: its size is guessed too small, so no broadcast.
-    pairs = keys.join(index.hint("merge"), ["n", "block", "value"]).join(own.drop("item_sh"), "item")
-    # A pair that meets in several blocks counts in the first.
-    first = F.lit(True)
-    for b in range(BLOCKS):
-        apart = F.bit_count(_block(F.col("fp").bitwiseXOR(F.col("item_fp")), b)) > radius // BLOCKS
-        first = first & ((F.col("block") <= b) | apart)
-    pairs = pairs.filter(first & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius))
+    pairs = _near(distinct, own, radius)
     verified = pairs.join(own.select("item", "item_sh"), "item").withColumn(
         "similarity", similarity(F.col("win"), F.col("item_sh"))
     ).filter(F.col("similarity") >= threshold).select("n", "win", "item", "similarity")
 
+    found = windows.join(verified, ["n", "win"]).select("doc", "item", "at", "similarity")
+    long = every.filter(F.size("item_sh") > LONG)
+    if not long.isEmpty():
+        found = found.unionByName(_sliding(shingled, long, threshold, radius))
     best = F.struct(F.col("similarity"), (-F.col("at")).alias("early"))
-    return windows.join(verified, ["n", "win"]).groupBy("doc", "item").agg(
+    return found.groupBy("doc", "item").agg(
         F.max(best).alias("best"), F.count("*").alias("n_windows")
     ).select(
         F.col("doc").alias("doc_id"), F.col("item").alias("item_id"),

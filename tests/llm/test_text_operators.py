@@ -1,6 +1,7 @@
 """Scoring, packing, leaks, surrogates, quality and language against plain Python."""
 
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -221,9 +222,11 @@ def items():
             (6, " ".join(base[180:200]), None), (7, " ".join(["same"] * 12), None)]
 
 
-@pytest.mark.parametrize("limit", [decontamination.MAP_LIMIT, 0])
-def test_leaks(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit, long", [(decontamination.MAP_LIMIT, 512), (0, 512), (0, 0), (0, 40)])
+def test_leaks(spark, monkeypatch, limit, long):
+    """Also with all or some items found by sliding windows."""
     monkeypatch.setattr(decontamination, "MAP_LIMIT", limit)
+    monkeypatch.setattr(decontamination, "LONG", long)
     rows = [r for r in data.documents() if r[0] != 8]
     rows += [(50, " ".join([*data.prose(50, 30), "same"] + ["same"] * 14), None)]
     got = decontamination.leaks(data.frame(spark, rows), data.frame(spark, items()), item_id="doc_id").collect()
@@ -231,6 +234,28 @@ def test_leaks(spark, monkeypatch, limit):
     assert {(r.doc_id, r.item_id, round(r.similarity, 9)) for r in got} == want and len(got) == len(want)
 
 
+def test_leaks_near_the_threshold(spark):
+    """600 items copied with one or two words changed: nearly all of those at 0.8 to 0.9 are found."""
+    draw = random.Random(5)
+    word = lambda: f"w{draw.randrange(5000)}"
+    own = [(k, " ".join(word() for _ in range(draw.randrange(50, 120)))) for k in range(600)]
+    rows = []
+    for k, text in own:
+        copied = text.split()
+        for at in draw.sample(range(len(copied)), 1 if len(copied) < 100 else 2):
+            copied[at] = "changed"
+        rows.append((k, " ".join([word() for _ in range(20)] + copied + [word() for _ in range(20)])))
+    want = brute.leaks(rows, own)
+    assert len(want) > 550 and sum(v < 0.9 for _, _, v in want) > 400
+    got = decontamination.leaks(
+        spark.createDataFrame(rows, "doc_id bigint, text string"),
+        spark.createDataFrame(own, "item_id bigint, text string"),
+    ).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    pairs = {(d, i) for d, i, _ in want}
+    assert found <= pairs and len(found) >= 0.99 * len(pairs)
+
+
 def test_leaks_of_nothing(spark):
     none, some = data.frame(spark, []), data.frame(spark)
     assert decontamination.leaks(none, some, item_id="doc_id").collect() == []
@@ -532,3 +557,52 @@ def test_languages_without_labels(spark):
     assert language_id.identify(data.frame(spark, [])).collect() == []
     got = language_id.identify(data.frame(spark, [(1, "some words", None)])).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)]
+
+
+def plain_languages(rows):
+    """Language and score per row: sets of filled slots for each language instead of bit masks."""
+    def mixed(x):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ x >> shift) * factor % (1 << 64)
+        return x ^ x >> 31
+
+    def slots(gram):
+        h = mixed(int.from_bytes(gram, "big"))
+        return [h >> language_id.SLOT_BITS * k & (1 << language_id.SLOT_BITS) - 1 for k in range(language_id.PROBES)]
+
+    def grams(text):
+        text = b" " + lowered(text).encode() + b" "
+        return [text[k:k + language_id.SIZE] for k in range(len(text) - language_id.SIZE + 1)]
+
+    learned = [(t, x) for doc, t, x in rows if t is not None and x is not None and not held_out(doc, 4)]
+    names = sorted({x for _, x in learned})
+    counts = {x: Counter(g for t, y in learned if x == y for g in grams(t)) for x in names}
+    totals = {x: max(1, c.total()) for x, c in counts.items()}
+    filled = {x: set() for x in names}
+    for gram in set().union(*counts.values()):
+        top = max(counts[x][gram] / totals[x] for x in names)
+        for x in names:
+            if counts[x][gram] >= language_id.LEAST_COUNT and counts[x][gram] / totals[x] >= top * language_id.RATIO:
+                filled[x].update(slots(gram))
+    chance = {x: (len(filled[x]) / (1 << language_id.SLOT_BITS)) ** language_id.PROBES for x in names}
+    usual = max(names, key=lambda x: sum(x == y for _, y in learned))
+    out = []
+    for doc, text, _ in rows:
+        if text is None or not any(c.isalpha() for c in text):
+            out.append((doc, held_out(doc, 4), "und", 0.0))
+            continue
+        own = [slots(g) for g in grams(text)]
+        hits = {x: max(0, sum(filled[x].issuperset(s) for s in own) - len(own) * chance[x]) / (1 - chance[x]) for x in names}
+        total = sum(hits.values())
+        best = max(names, key=lambda x: hits[x]) if total else usual
+        out.append((doc, held_out(doc, 4), best, hits[best] / total if total else 0.0))
+    return out
+
+
+def test_languages_against_plain_python(spark):
+    rows = [(k, t, x) for k, (_, t, x) in enumerate(labelled())]
+    rows += [(1000, None, "aa"), (1001, "12 34", None), (1002, "a", None), (1003, "Mixed " + rows[0][1] + " " + rows[-1][1], None),
+             (1004, "Überall \u4f60\u597d", None), (1005, "", "zz"), *[(1010 + k, t, None) for k, (_, t, _) in enumerate(rows[:20])]]
+    got = language_id.identify(data.frame(spark, rows)).collect()
+    assert sorted((r.doc_id, r.held_out, r.lang_pred, round(r.score, 9)) for r in got) == [
+        (doc, out, x, round(score, 9)) for doc, out, x, score in plain_languages(rows)]
